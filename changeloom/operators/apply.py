@@ -156,9 +156,14 @@ def apply_summary(
             return target[c]
         return F.when(F.col(set_name(c)).isNotNull(), F.col(value_name(c))).otherwise(target[c]).alias(c)
 
+    # The second condition always holds. It makes this branch read the same summary columns as the
+    # inserts below, so that both are fed by one shuffle of the feed.
+    untouched_or_updated = F.col(LAST_DELETE).isNull() & (
+        F.coalesce(F.col(LAST_UPSERT), F.lit(BEFORE_ALL)) >= BEFORE_ALL
+    )
     kept = (
         target.join(joined_side, same_key(target), "left")
-        .where(F.col(LAST_DELETE).isNull())
+        .where(untouched_or_updated)
         .select(*[updated(c) for c in target.columns])
     )
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from changeloom.names import CREATED_AT, OPERATION_TYPE, TRACKING_ID, require_columns
 from changeloom.sources.scratch import new_folder
+from changeloom.sources.versions import take_snapshot
 
 _NET = "_net"
 _COPIES = "_copies"
@@ -58,6 +59,9 @@ def capture_diff(
     A key with one row before and another after is an ``update``. Any other difference is a
     ``delete`` per row that went and an ``insert`` per row that came. A change in any column is
     logged, whichever ``columns`` are asked for.
+
+    The rows that differ are written to the shared folder: they are needed three times, and what
+    they are worked out from is both versions in full.
     """
     require_columns(old, keys, "key column")
     names = old.columns
@@ -69,7 +73,7 @@ def capture_diff(
     if absent:
         raise ValueError(f"columns must include {', '.join(absent)}")
 
-    changed = _net_rows(old, new)
+    changed = take_snapshot(_net_rows(old, new), new_folder(old.sparkSession, "changed"))
     came, went = F.greatest(F.col(_NET), F.lit(0)), F.greatest(-F.col(_NET), F.lit(0))
     per_key = changed.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
         F.sum(went).alias("_went"), F.sum(came).alias("_came")

@@ -42,20 +42,23 @@ def to_state(
     return summarise(marked, [key, KEYLESS_SEQ], columns, present, seq, operation)
 
 
-def merge_states(states: list[DataFrame], key: str, columns: list[str]) -> DataFrame:
-    """One state that holds the changes of all; order and repeats do not matter."""
-    together = reduce(DataFrame.unionByName, states)
+def _merge(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     parts: list[Column] = []
     for c in columns:
         parts += [
             F.max_by(value_name(c), set_name(c)).alias(value_name(c)),
             F.max(set_name(c)).alias(set_name(c)),
         ]
-    return together.groupBy(key, KEYLESS_SEQ).agg(
+    return rows.groupBy(*keys).agg(
         F.max(LAST_DELETE).alias(LAST_DELETE), F.max(LAST_UPSERT).alias(LAST_UPSERT), *parts
     )
 
 
+def merge_states(states: list[DataFrame], key: str, columns: list[str]) -> DataFrame:
+    """One state that holds the changes of all; order and repeats do not matter."""
+    return _merge(reduce(DataFrame.unionByName, states), [key, KEYLESS_SEQ], columns)
+
+
 def apply_state(
     target: DataFrame,
     state: DataFrame,
@@ -64,9 +67,13 @@ def apply_state(
     defaults: dict[str, Column] | None = None,
     broadcast_state: bool = False,
 ) -> DataFrame:
-    """The target after all changes in a merged state. Target rows count as before every change."""
-    keyed = state.where(F.col(KEYLESS_SEQ).isNull()).drop(KEYLESS_SEQ)
+    """The target after all changes in a state, or in the rows of many states put together.
+
+    Target rows count as before every change. Rows with a key are merged by the key alone, so that
+    the join with the target needs no further shuffle of them.
+    """
+    keyed = _merge(state.where(F.col(KEYLESS_SEQ).isNull()), [key], columns)
     applied = apply_summary(target, keyed, key, columns, defaults, broadcast_state)
-    keyless = state.where(F.col(KEYLESS_SEQ).isNotNull() & F.col(LAST_UPSERT).isNotNull())
+    upserts = state.where(F.col(KEYLESS_SEQ).isNotNull() & F.col(LAST_UPSERT).isNotNull())
     row = insert_columns(target, F.col, [key], live_value, columns, defaults)
-    return applied.unionByName(keyless.select(*row))
+    return applied.unionByName(_merge(upserts, [key, KEYLESS_SEQ], columns).select(*row))

@@ -58,7 +58,7 @@ class ChangeSink:
         """The target with all changes so far."""
         if not self.changes.live_folders():
             return target
-        return apply_state(target, self.state(), self.key, self.columns, defaults)
+        return apply_state(target, self.changes.read(), self.key, self.columns, defaults)
 
     def fold_into(self, table: VersionedTable) -> None:
         """Write the target with all changes as its new version, and start collecting afresh.
