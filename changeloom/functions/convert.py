@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changeloom.functions.binding import evaluate_once
 from changeloom.functions.datetimes import format_datetime, parse_datetime, truncate_to_second
 from changeloom.functions.jsontext import nested_to_json
 from changeloom.names import (
@@ -15,7 +16,6 @@ from changeloom.names import (
     OBJECT_NAME_PATTERN,
     ColumnType,
     Split,
-    evaluate_once,
     split_on,
 )
 

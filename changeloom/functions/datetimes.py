@@ -8,12 +8,13 @@ layout, and the whole expression stays on the JVM.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from changeloom.functions.binding import bound
+
 # English month and weekday names in the accepted layouts (any letter case).
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 WEEKDAYS = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
@@ -102,17 +103,12 @@ def _wall_clock(parts: Column) -> Column:
     )
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` worked out once, however often ``use`` refers to it."""
-    return F.transform(F.array(value), use)[0]
-
-
 def parse_datetime(text: Column) -> Column:
     """The wall clock written in ``text``, to the second; NULL when no layout fits.
 
     Text without a year (clock or stamp layouts) names no storable date and gives NULL too.
     """
-    return _bound(text, lambda t: _bound(_parts(t), _wall_clock))
+    return bound(text, lambda t: bound(_parts(t), _wall_clock))
 
 
 def format_datetime(value: Column) -> Column:

@@ -6,20 +6,36 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changeloom.functions.binding import bound
+
 
 def is_absent(text: Column) -> Column:
     """True when there is no document at all: NULL or zero bytes."""
     return F.coalesce(F.octet_length(text) == 0, F.lit(True))
 
 
-def _is_null_literal(text: Column) -> Column:
-    return F.coalesce(F.trim(text) == "null", F.lit(False))
+OBJECT = "map<string,variant>"
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def parse_object(text: Column) -> Column:
+    """A JSON object as name to typed value; NULL when absent or not an object.
+
+    JSON ``null`` counts as an object without members. The text is parsed as the first of two list
+    elements: a parser that is given the bare text stops at the end of the object and does not see
+    what follows it.
+    """
+    listed = F.concat(F.lit("["), text, F.lit(",{}]"))
+    empty = F.from_json(F.lit("{}"), OBJECT)
+    return bound(
+        F.from_json(listed, f"array<{OBJECT}>", _STRICT),
+        lambda elements: F.when(F.size(elements) == 2, F.coalesce(elements[0], empty)),
+    )
 
 
-def object_names(text: Column) -> Column:
-    """Upper-cased member names; empty for JSON ``null``; NULL when absent or not an object."""
-    names = F.transform(F.json_object_keys(text), lambda name: F.upper(name))
-    return F.when(_is_null_literal(text), F.array().cast("array<string>")).otherwise(names)
+def object_names(parsed: Column) -> Column:
+    """The names of a parsed object in upper case."""
+    return F.transform(F.map_keys(parsed), lambda name: F.upper(name))
 
 
 def has_repeated_names(names: Column) -> Column:
@@ -27,16 +43,9 @@ def has_repeated_names(names: Column) -> Column:
     return F.coalesce(F.size(F.array_distinct(names)) != F.size(names), F.lit(False))
 
 
-def object_values(text: Column, names: Column) -> Column:
-    """Upper-cased name to typed value (``variant``); NULL when ``names`` is, or has repeats."""
-    values = F.from_json(text, "map<string,variant>")
-    upper = F.transform_keys(values, lambda name, _: F.upper(name))
-    empty = F.from_json(F.lit("{}"), "map<string,variant>")
-    return (
-        F.when(names.isNull() | has_repeated_names(names), F.lit(None).cast("map<string,variant>"))
-        .when(_is_null_literal(text), empty)
-        .otherwise(upper)
-    )
+def object_values(parsed: Column, names: Column) -> Column:
+    """The values of a parsed object by upper-cased name; NULL when names are repeated."""
+    return F.when(~has_repeated_names(names), F.map_from_arrays(names, F.map_values(parsed)))
 
 
 # Characters written as escapes inside JSON text so that it is safe in HTML.

@@ -5,7 +5,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 # The control columns of a tracking table.
 TRACKING_ID = "CONNECTOR_TRACKING_ID"
@@ -74,17 +73,6 @@ def require_columns(df: DataFrame, wanted: list[str], what: str) -> None:
         raise ValueError(f"{what} not found: {', '.join(absent)}")
 
 
-def evaluate_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Adds columns that later filters and selections read instead of working them out again.
-
-    Spark moves a filter below a selection by writing the selected expressions into it, so that a
-    costly one is run for the filter and again for the result. It does not do so with the output
-    of a generator, here one that makes a single row.
-    """
-    row = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return df.select("*", F.inline(F.array(row)))
-
-
 def split_on(df: DataFrame, reason: Column) -> Split:
     """Part the rows of ``df`` by a reason column that is NULL for good rows."""
     marked = df.withColumn(REASON, reason)

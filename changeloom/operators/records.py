@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changeloom.functions.binding import evaluate_once
 from changeloom.functions.datetimes import parse_datetime
 from changeloom.functions.jsontext import (
     escape_json,
@@ -18,8 +19,9 @@ from changeloom.functions.jsontext import (
     is_absent,
     object_names,
     object_values,
+    parse_object,
 )
-from changeloom.names import METADATA_TABLE, REASON, Split, evaluate_once
+from changeloom.names import METADATA_TABLE, REASON, Split
 
 DELETE = "delete"
 END_OF_FEED = (1 << 63) - 1
@@ -58,20 +60,21 @@ def parse_records(records: DataFrame, default_table: str, default_key: str) -> D
     Values are ``variant``: they keep their JSON type until the target type is known. A payload
     without the key column takes the value from the record key, and lists it as present.
     """
-    keys = object_names(F.col("key_json"))
-    names = object_names(F.col("after_json"))
     parsed = evaluate_once(
         records,
         {
-            "key_names": keys,
-            "key_values": object_values(F.col("key_json"), keys),
-            "present": F.when(~is_delete(), names),
-            "payload": F.when(~is_delete(), object_values(F.col("after_json"), names)),
+            "_key": parse_object(F.col("key_json")),
+            "_after": F.when(~is_delete(), parse_object(F.col("after_json"))),
         },
+    )
+    parsed = parsed.withColumns(
+        {"key_names": object_names(F.col("_key")), "present": object_names(F.col("_after"))}
     ).withColumns(
         {
             "table_name": table_of(default_table),
             "key_column": key_column_of(F.col("key_names"), default_key),
+            "key_values": object_values(F.col("_key"), F.col("key_names")),
+            "payload": object_values(F.col("_after"), F.col("present")),
         }
     )
     key_column = F.col("key_column")
@@ -83,7 +86,7 @@ def parse_records(records: DataFrame, default_table: str, default_key: str) -> D
     merge_key = F.when(in_payload, F.element_at(F.col("payload"), key_column)).otherwise(
         F.element_at(F.col("key_values"), key_column)
     )
-    return parsed.withColumns({"merge_key": merge_key, "present": injected})
+    return parsed.withColumns({"merge_key": merge_key, "present": injected}).drop("_key", "_after")
 
 
 def typed_value(value: Column, data_type: T.DataType) -> Column:
@@ -135,11 +138,18 @@ def reason_of(schema: T.StructType | None = None, tables: list[str] | None = Non
     return F.coalesce(*[F.when(failed, F.lit(text)) for failed, text in checks])
 
 
+def mark_records(
+    parsed: DataFrame, schema: T.StructType | None = None, tables: list[str] | None = None
+) -> DataFrame:
+    """Parsed records with their ``reject_reason``."""
+    return evaluate_once(parsed, {REASON: reason_of(schema, tables)})
+
+
 def check_records(
     parsed: DataFrame, schema: T.StructType | None = None, tables: list[str] | None = None
 ) -> Split:
     """Records that can be applied, and those set aside with a reason."""
-    marked = evaluate_once(parsed, {REASON: reason_of(schema, tables)})
+    marked = mark_records(parsed, schema, tables)
     return Split(
         good=marked.where(F.col(REASON).isNull()).drop(REASON),
         rejects=marked.where(F.col(REASON).isNotNull()),

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeloom.names import REASON
 from changeloom.operators.apply import apply_changes, apply_summary, keyless_inserts, summarise, without_key
-from changeloom.operators.records import applied_prefix, parse_records, reason_of, typed_columns
+from changeloom.operators.records import applied_prefix, mark_records, parse_records, typed_columns
 from changeloom.sources.scratch import new_folder
 from changeloom.sources.versions import take_snapshot
 
@@ -22,32 +22,39 @@ def upper_schema(df: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(f.name.upper(), f.dataType, True) for f in df.schema])
 
 
+def land_records(
+    records: DataFrame, schema: T.StructType, tables: list[str], default_table: str, default_key: str
+) -> DataFrame:
+    """JSON records as typed changes for tables of one schema, each with its ``reject_reason``.
+
+    Parsing is the costly step, and the changes are read more than once afterwards, so the result
+    is written to the shared folder.
+    """
+    path = new_folder(records.sparkSession, "records")
+    marked = mark_records(parse_records(records, default_table, default_key), schema, tables)
+    kept = ["seq", "operation", "table_name", "key_column", "present", "key_json", "after_json", REASON]
+    marked.select(*kept, *typed_columns(schema)).write.parquet(path)
+    return records.sparkSession.read.parquet(path)
+
+
 def apply_records(
     target: DataFrame, records: DataFrame, table: str, key: str, stop_at_first_bad: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """The target after the records that go to it, and the records set aside.
 
-    The records are parsed once and written with their reasons. With ``stop_at_first_bad`` only
-    those before the first bad one are applied. Records may name different key columns: each run
-    of records with one key column is one apply step, and one run is the usual case.
+    With ``stop_at_first_bad`` only those before the first bad one are applied. Records may name
+    different key columns: each run of records with one key column is one apply step, and one run
+    is the usual case.
     """
-    spark = target.sparkSession
     after = target.toDF(*[c.upper() for c in target.columns])
-    schema = upper_schema(target)
-    path = new_folder(spark, "records")
-    parsed = parse_records(records, table, key)
-    kept = ["seq", "operation", "table_name", "key_column", "present", "key_json", "after_json"]
-    parsed.select(
-        *kept, *typed_columns(schema), reason_of(schema, [table]).alias(REASON)
-    ).write.parquet(path)
-    marked = spark.read.parquet(path)
+    marked = land_records(records, upper_schema(target), [table], table, key)
     rejects = marked.where(F.col(REASON).isNotNull()).select("seq", "key_json", "after_json", REASON)
     good = applied_prefix(marked) if stop_at_first_bad else marked.where(F.col(REASON).isNull())
 
     runs = 0
     for run_key, run in key_runs(good):
         if runs:
-            after = take_snapshot(after, new_folder(spark, "run"))
+            after = take_snapshot(after, new_folder(after.sparkSession, "run"))
         after = apply_changes(after, run, run_key, present="present")
         runs += 1
     return after.toDF(*target.columns), rejects
@@ -88,16 +95,14 @@ def apply_routed(
     return apply_changes(together, feed, ["table_name", key], columns, present)
 
 
-def split_by_table(feed: DataFrame) -> tuple[str, SparkSession]:
-    """Writes a feed for tables of many shapes once, with a folder per table."""
+def split_by_table(feed: DataFrame) -> DataFrame:
+    """A feed for tables of many shapes, written once with a folder per table.
+
+    A filter on ``table_name`` then reads the folder of that table only.
+    """
     path = new_folder(feed.sparkSession, "routed")
     feed.write.partitionBy("table_name").parquet(path)
-    return path, feed.sparkSession
-
-
-def table_part(path: str, spark: SparkSession, table: str) -> DataFrame:
-    """The part of a split feed that goes to one table; other folders are not read."""
-    return spark.read.parquet(path).where(F.col("table_name") == table.upper())
+    return feed.sparkSession.read.parquet(path)
 
 
 def apply_measured(

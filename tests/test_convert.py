@@ -172,7 +172,9 @@ def test_payload_kinds(spark):
     texts = {
         '{"id":1,"Name":null}': ["ID", "NAME"], "{}": [], "null": [], " null ": [], "": None,
         "[1]": None, "12": None, '"x"': None, '{"a":1': None, "junk": None,
+        '{"a":1} x': None, '{"a":1},{"b":1}': None, '{"a":1}]': None, '{"a":1}] {}': None,
+        "{'a':1}": None, '{"a":NaN}': None, '[{"a":1}]': None, ' {"a":1} ': ["A"],
     }
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    parsed = df.select("t", jsontext.object_names(F.col("t")).alias("names"))
+    parsed = df.select("t", jsontext.object_names(jsontext.parse_object(F.col("t"))).alias("names"))
     assert {r.t: r.names for r in parsed.collect()} == texts

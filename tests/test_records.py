@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from changeloom.functions.jsontext import object_names, parse_object
 from changeloom.names import METADATA_TABLE, REASON
 from changeloom.operators import records as ops
 from changeloom.plans import sync
@@ -160,12 +161,14 @@ def test_nothing_to_apply(spark, rows):
 
 def test_tables_of_different_shapes_are_split_once(spark, rows):
     feed = spark.createDataFrame([("A", 1), ("B", 2), ("A", 3)], "table_name string, n int")
-    path, session = sync.split_by_table(feed)
-    assert rows(sync.table_part(path, session, "a"), "n") == [(1,), (3,)]
-    assert rows(sync.table_part(path, session, "B"), "n") == [(2,)]
+    split = sync.split_by_table(feed)
+    only_a = split.where("table_name = 'A'")
+    assert rows(only_a, "n") == [(1,), (3,)]
+    assert "PartitionFilters: [isnotnull(table_name" in only_a._jdf.queryExecution().executedPlan().toString()
+    assert rows(split.where("table_name = 'B'"), "n") == [(2,)]
 
 
 @pytest.mark.parametrize(("key", "expected"), [('{"b":1}', "B"), ("{}", "ID"), ("x", "ID"), (None, "ID")])
 def test_key_column(spark, key, expected):
     df = spark.createDataFrame([(key,)], "key_json string")
-    assert df.select(ops.key_column_of(ops.object_names(F.col("key_json")), "id")).first()[0] == expected
+    assert df.select(ops.key_column_of(object_names(parse_object(F.col("key_json"))), "id")).first()[0] == expected

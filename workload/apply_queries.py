@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeloom.functions.jsontext import object_names, parse_object
 from changeloom.names import REASON
 from changeloom.operators import apply as apply_ops
 from changeloom.operators import records as record_ops
@@ -137,9 +138,8 @@ SELECT table_name, k, CASE WHEN event_type <> 'view' THEN value END,
 FROM changed WHERE event_type <> 'error' AND k NOT IN (SELECT k FROM target)""")
 def apply_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = apply_target(spark, sf_dir).toDF("K", "VALUE", "PROPS")
-    parsed = record_ops.parse_records(json_records(spark, sf_dir).drop("k"), "T_OTHER", "K")
-    good = record_ops.check_records(parsed, target.schema, TABLES).good
-    feed = record_ops.typed_changes(good, target.schema)
+    records = json_records(spark, sf_dir).drop("k")
+    feed = sync.land_records(records, target.schema, TABLES, "T_OTHER", "K").where(F.col(REASON).isNull())
     routed = sync.apply_routed({t: target for t in TABLES}, feed, "K", ["VALUE", "PROPS"], present="present")
     return routed.select("table_name", *[F.col(c).alias(c.lower()) for c in target.columns])
 
@@ -166,8 +166,7 @@ def prefix_ack(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "value")
     records = json_records(spark, sf_dir).drop("k").join(events, "seq")
     parsed = record_ops.parse_records(_bad_when(records, F.col("value") > 100), "T_OTHER", "K")
-    marked = parsed.withColumn(REASON, record_ops.reason_of())
-    return record_ops.applied_prefix(marked).select("seq")
+    return record_ops.applied_prefix(record_ops.mark_records(parsed)).select("seq")
 
 
 @QUERIES.add("""
@@ -183,7 +182,7 @@ def key_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "view", "no key")
     )
     records = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), key_json.alias("key_json"))
-    names = record_ops.object_names(F.col("key_json"))
+    names = object_names(parse_object(F.col("key_json")))
     return records.select("seq", record_ops.key_column_of(names, "k").alias("key_column"))
 
 

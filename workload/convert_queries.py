@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.functions import convert, jsontext
+from changeloom.functions.binding import evaluate_once
 from changeloom.names import REASON, ColumnType
 from workload.fixtures import json_records, table
 from workload.registry import Registry
@@ -183,8 +184,9 @@ def parse_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("after_json"))
     )
     rows = json_records(spark, sf_dir).select("seq", text.alias("after_json"))
-    names = jsontext.object_names(F.col("after_json"))
-    values = jsontext.object_values(F.col("after_json"), names)
+    rows = evaluate_once(rows, {"parsed": jsontext.parse_object(F.col("after_json"))})
+    names = jsontext.object_names(F.col("parsed"))
+    values = jsontext.object_values(F.col("parsed"), names)
     return rows.select(
         "seq",
         F.when(jsontext.is_absent(F.col("after_json")), "none")
