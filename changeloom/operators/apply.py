@@ -135,13 +135,19 @@ def apply_summary(
     columns: list[str],
     defaults: dict[str, Column] | None = None,
     broadcast_summary: bool = False,
+    unique_target: bool = False,
 ) -> DataFrame:
     """The target after the changes in ``summary``.
 
     Target rows that share a key are all updated or deleted; a key that is deleted and inserted
     again gets one row. Target columns the feed does not carry keep their value, and in new rows
-    get their entry of ``defaults`` or NULL. Ask for ``broadcast_summary`` only after measuring
-    the summary: then the target is not shuffled at all.
+    get their entry of ``defaults`` or NULL.
+
+    Ask for ``broadcast_summary`` only after measuring the summary: then the target is not shuffled
+    at all. Say ``unique_target`` when no two target rows share a key: a bucketed target is then
+    joined where it lies. Otherwise a key may hold a large part of the target. Adaptive execution
+    splits such a partition, but only if both sides come straight from a shuffle; the null-safe
+    comparison asks for one of the summary, whose own is by the bare key.
     """
     keys = _as_list(key)
     require_columns(target, [*keys, *columns], "target column")
@@ -151,6 +157,11 @@ def apply_summary(
     def same_key(left: DataFrame) -> list[Column]:
         return [left[k] == F.col(f"_key_{k}") for k in keys]
 
+    def target_key() -> list[Column]:
+        if unique_target or broadcast_summary:
+            return same_key(target)
+        return [target[k].eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+
     def updated(c: str) -> Column:
         if c in keys or c not in columns:
             return target[c]
@@ -162,7 +173,7 @@ def apply_summary(
         F.coalesce(F.col(LAST_UPSERT), F.lit(BEFORE_ALL)) >= BEFORE_ALL
     )
     kept = (
-        target.join(joined_side, same_key(target), "left")
+        target.join(joined_side, target_key(), "left")
         .where(untouched_or_updated)
         .select(*[updated(c) for c in target.columns])
     )
@@ -222,6 +233,7 @@ def apply_changes(
     operation: str = "operation",
     defaults: dict[str, Column] | None = None,
     broadcast_summary: bool = False,
+    unique_target: bool = False,
 ) -> DataFrame:
     """The target table after a batch of changes, as a new DataFrame.
 
@@ -234,12 +246,18 @@ def apply_changes(
         columns = [c for c in target.columns if c not in keys]
     keyed = feed.where(~without_key(feed, keys))
     summary = summarise(keyed, keys, columns, present, seq, operation)
-    applied = apply_summary(target, summary, keys, columns, defaults, broadcast_summary)
+    applied = apply_summary(
+        target, summary, keys, columns, defaults, broadcast_summary, unique_target
+    )
     return applied.unionByName(
         keyless_inserts(target, feed, keys, columns, present, operation, defaults)
     )
 
 
 def delete_keys(target: DataFrame, deletes: DataFrame, key: str) -> DataFrame:
-    """The target without the rows whose key is in ``deletes``; absent keys change nothing."""
-    return target.join(deletes.select(key).distinct(), key, "left_anti")
+    """The target without the rows whose key is in ``deletes``; absent keys change nothing.
+
+    A NULL key deletes nothing. See ``apply_summary`` for the null-safe comparison.
+    """
+    gone = deletes.where(F.col(key).isNotNull()).select(F.col(key).alias("_gone")).distinct()
+    return target.join(gone, target[key].eqNullSafe(F.col("_gone")), "left_anti")

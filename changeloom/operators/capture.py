@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeloom.names import CREATED_AT, OPERATION_TYPE, TRACKING_ID, require_columns
 from changeloom.sources.scratch import new_folder
@@ -32,20 +33,23 @@ def _net_rows(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.groupBy(*names).agg(F.sum(_NET).alias(_NET)).where(F.col(_NET) != 0)
 
 
-def _repeat(rows: DataFrame) -> DataFrame:
-    """Each row as often as ``_copies`` says."""
-    once = rows.where(F.col(_COPIES) == 1)
+def _repeat(rows: DataFrame, copy_number: str) -> DataFrame:
+    """Each row as often as ``_copies`` says, the copies numbered from 1."""
+    once = rows.where(F.col(_COPIES) == 1).withColumn(copy_number, F.lit(1).cast("bigint"))
+    last_step = F.expr(f"({_COPIES} - 1) div {_COPIES_PER_STEP}")
     steps = rows.where(F.col(_COPIES) > 1).withColumn(
-        "_step", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({_COPIES} - 1) div {_COPIES_PER_STEP}")))
-    )
-    in_step = F.least(
-        F.lit(_COPIES_PER_STEP), F.col(_COPIES) - F.col("_step") * F.lit(_COPIES_PER_STEP)
+        "_step", F.explode(F.sequence(F.lit(0).cast("bigint"), last_step))
     )
+    before = F.col("_step") * F.lit(_COPIES_PER_STEP)
+    in_step = F.least(F.lit(_COPIES_PER_STEP), F.col(_COPIES) - before)
     # The steps of a row are dealt out before they are written out.
-    many = steps.repartition("_step", *rows.columns).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_step))
+    many = (
+        steps.repartition("_step", *rows.columns)
+        .withColumn(copy_number, F.explode(F.sequence(F.lit(1).cast("bigint"), in_step)))
+        .withColumn(copy_number, F.col(copy_number) + before)
+        .drop("_step")
     )
-    return once.unionByName(many.drop("_step", "_copy")).drop(_COPIES)
+    return once.unionByName(many).drop(_COPIES)
 
 
 def capture_diff(
@@ -53,12 +57,14 @@ def capture_diff(
     new: DataFrame,
     keys: list[str],
     columns: list[str] | None = None,
+    copy_number: str | None = None,
 ) -> DataFrame:
     """The changes that lead from ``old`` to ``new``: the logged columns and the operation type.
 
     A key with one row before and another after is an ``update``. Any other difference is a
     ``delete`` per row that went and an ``insert`` per row that came. A change in any column is
-    logged, whichever ``columns`` are asked for.
+    logged, whichever ``columns`` are asked for. A column named ``copy_number``, if wanted, tells
+    equal changes apart.
 
     The rows that differ are written to the shared folder: they are needed three times, and what
     they are worked out from is both versions in full.
@@ -91,7 +97,8 @@ def capture_diff(
             F.abs(_NET).alias(_COPIES),
         )
     )
-    return _repeat(labelled)
+    repeated = _repeat(labelled, copy_number or "_copy")
+    return repeated if copy_number else repeated.drop("_copy")
 
 
 def number_changes(
@@ -102,13 +109,21 @@ def number_changes(
 ) -> DataFrame:
     """A tracking table: the changes with an id that rises by one in the given order.
 
-    The order must tell all rows apart. The sorted rows are written to the shared folder together
+    Rows that are equal in it are ordered by their other columns. If many rows may be equal in all
+    columns, let one tell them apart (see ``copy_number`` of ``capture_diff``), or they meet in one
+    partition. The sorted rows are written to the shared folder together
     with their place inside their partition, since only a written partitioning stays the same when
     it is read twice. The ids then need one small table, with a row per partition, and no window
     over all rows.
     """
     path = new_folder(changes.sparkSession, "numbered")
-    sort_keys = [F.col(o) if isinstance(o, str) else o for o in order]
+    named = [o for o in order if isinstance(o, str)]
+    others = [
+        f.name
+        for f in changes.schema
+        if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
+    sort_keys = [F.col(o) if isinstance(o, str) else o for o in [*order, *others]]
     identity = F.monotonically_increasing_id()
     (
         changes.withColumn(CREATED_AT, F.current_timestamp() if created_at is None else created_at)

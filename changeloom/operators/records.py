@@ -37,6 +37,7 @@ UNKNOWN_COLUMN = "unknown column"
 NO_COLUMN = "no column to write"
 BAD_VALUE = "value does not fit the column"
 UNKNOWN_TABLE = "unknown table"
+OTHER_KEY = "key column is not the target's"
 
 
 def is_delete() -> Column:

@@ -66,6 +66,7 @@ def apply_state(
     columns: list[str],
     defaults: dict[str, Column] | None = None,
     broadcast_state: bool = False,
+    unique_target: bool = False,
 ) -> DataFrame:
     """The target after all changes in a state, or in the rows of many states put together.
 
@@ -73,7 +74,7 @@ def apply_state(
     the join with the target needs no further shuffle of them.
     """
     keyed = _merge(state.where(F.col(KEYLESS_SEQ).isNull()), [key], columns)
-    applied = apply_summary(target, keyed, key, columns, defaults, broadcast_state)
+    applied = apply_summary(target, keyed, key, columns, defaults, broadcast_state, unique_target)
     upserts = state.where(F.col(KEYLESS_SEQ).isNotNull() & F.col(LAST_UPSERT).isNotNull())
     row = insert_columns(target, F.col, [key], live_value, columns, defaults)
     return applied.unionByName(_merge(upserts, [key, KEYLESS_SEQ], columns).select(*row))

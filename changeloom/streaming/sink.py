@@ -8,9 +8,14 @@ takes late, repeated and reordered changes, so a restart may replay any batch.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from changeloom.names import REASON
+from changeloom.operators.records import OTHER_KEY
 from changeloom.operators.state import apply_state, merge_states, to_state
+from changeloom.plans.sync import land_records
 from changeloom.sources.versions import VersionedTable
 
 
@@ -68,3 +73,29 @@ class ChangeSink:
         """
         table.replace(self.current(table.read()))
         self.changes.replace(self.changes.read().limit(0))
+
+
+class RecordSink:
+    """Collects JSON records for one table, and sets bad ones aside under ``rejects``.
+
+    Changes are merged by one key column. Records that name another are set aside too, since no
+    order-free merge can mix them.
+    """
+
+    def __init__(self, sink: ChangeSink, schema: T.StructType, table: str, rejects: str):
+        self.sink = sink
+        self.schema = schema
+        self.table = table
+        self.rejects = rejects.rstrip("/")
+
+    def write_batch(self, batch: DataFrame, batch_id: int = 0) -> None:
+        marked = land_records(batch, self.schema, [self.table], self.table, self.sink.key)
+        other_key = F.when(F.col("key_column") != self.sink.key.upper(), F.lit(OTHER_KEY))
+        marked = marked.withColumn(REASON, F.coalesce(REASON, other_key))
+        bad = marked.where(F.col(REASON).isNotNull()).select("seq", "key_json", "after_json", REASON)
+        # A batch that is run again replaces what it set aside before.
+        bad.write.mode("overwrite").parquet(f"{self.rejects}/batch={batch_id}")
+        self.sink.write_batch(marked.where(F.col(REASON).isNull()))
+
+    def writer(self, stream: DataFrame) -> DataStreamWriter:
+        return stream.writeStream.foreachBatch(self.write_batch)

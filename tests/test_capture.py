@@ -51,6 +51,10 @@ def test_many_equal_rows_are_all_logged(spark, monkeypatch):
         changes = capture.capture_diff(old.limit(n), new, ["id"])
         assert changes.count() == n
         assert changes.distinct().count() == 1
+    numbered = capture.capture_diff(old, new, ["id"], copy_number="n")
+    assert sorted(r.n for r in numbered.collect()) == list(range(1, 101))
+    ids = capture.number_changes(numbered, ["id"])
+    assert [(r[TRACKING_ID], r.n) for r in ids.orderBy(TRACKING_ID).collect()] == [(i, i) for i in range(1, 101)]
 
 
 def test_numbered_changes_lead_from_old_to_new(spark, rows):

@@ -13,7 +13,7 @@ from changeloom.operators import state as state_ops
 from workload import ALL, fixtures
 from tests.harness import SF_DIR
 
-STREAMING = {"stream_tail", "stream_resume", "stream_replay", "stream_bootstrap", "late_rows"}
+STREAMING = {"stream_tail", "stream_resume", "stream_replay", "stream_bootstrap", "late_rows", "stream_records"}
 
 
 def plan(df):
@@ -51,6 +51,52 @@ def test_apply_shuffles_partial_aggregates_and_the_target_once(spark, no_broadca
     assert "ReusedExchange" in final
 
 
+SKEW = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+}
+
+
+@pytest.fixture
+def small_skew_limits(spark, no_broadcast):
+    for name, value in SKEW.items():
+        spark.conf.set(name, value)
+    yield
+    for name in SKEW:
+        spark.conf.unset(name)
+
+
+def hot_rows(spark, n):
+    """A third of the rows have one key."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id"))
+    return spark.range(0, n, 1, 8).select(key.alias("k"), F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("w"))
+
+
+def test_a_hot_target_key_is_split(spark, small_skew_limits):
+    target = hot_rows(spark, 200000)
+    feed = spark.range(0, 100000, 1, 4).select(
+        F.col("id").alias("seq"), F.lit("update").alias("operation"), F.col("id").alias("k"), F.lit(-1).alias("v")
+    )
+    applied = apply_ops.apply_changes(target, feed, "k", ["v"])
+    counts = applied.groupBy("v").count().where("v = -1")
+    df = applied.select("k", "v")
+    rows = df.collect()
+    assert len(rows) == 200000 + len(set(range(0, 100000, 3)) - {5})
+    assert "SortMergeJoin(skew=true)" in plan(df)
+    assert counts.first()["count"] == sum(1 for r in rows if r.v == -1)
+    deleted = apply_ops.delete_keys(target, feed.where("k <= 5"), "k")
+    assert len(deleted.collect()) == 200000 - 66667 - 4
+    assert "SortMergeJoin(skew=true)" in plan(deleted)
+
+
+def test_a_hot_key_of_changed_rows_is_split(spark, small_skew_limits):
+    old = hot_rows(spark, 100000)
+    changes = capture.capture_diff(old, old.where("v < 0"), ["k"])
+    assert len(changes.collect()) == 100000
+    assert "SortMergeJoin(skew=true)" in plan(changes)
+
+
 def test_measured_apply_does_not_shuffle_the_target(spark):
     df = ALL["apply_partial_measured"].run(spark, SF_DIR)
     df.collect()

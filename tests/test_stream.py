@@ -5,11 +5,12 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from changeloom.names import TRACKING_ID
+from changeloom.names import REASON, TRACKING_ID
 from changeloom.operators.apply import apply_changes
+from changeloom.operators.records import EMPTY_KEY, OTHER_KEY, UNKNOWN_TABLE
 from changeloom.sources import scratch
 from changeloom.sources.versions import VersionedTable
-from changeloom.streaming.sink import ChangeSink
+from changeloom.streaming.sink import ChangeSink, RecordSink
 from changeloom.streaming.tail import land, start, tail
 
 FEED = f"{TRACKING_ID} bigint, seq bigint, operation string, k int, v string, present array<string>"
@@ -122,6 +123,28 @@ def test_fold_into_a_new_version(spark, tmp_path, target, rows):
     assert rows(sink.current(table.read())) == [(2, "bb"), (3, "c")]
 
 
+def test_record_sink_sets_bad_records_aside(spark, tmp_path, target, rows):
+    schema = "seq bigint, operation string, metadata map<string,string>, key_json string, after_json string"
+    records = spark.createDataFrame(
+        [
+            (1, "update", {}, '{"K":1}', '{"v":"new"}'),
+            (2, "delete", {}, "{}", None),
+            (3, "update", {}, '{"V":"new"}', '{"k":5}'),
+            (4, "create", {"oracle.table": "other"}, None, '{"k":6}'),
+            (5, "create", {}, None, '{"k":7,"v":"seven"}'),
+        ],
+        schema,
+    )
+    upper = target.toDF("K", "V")
+    sink = ChangeSink(spark, str(tmp_path / "changes"), "K", ["V"], "present")
+    record_sink = RecordSink(sink, upper.schema, "users", str(tmp_path / "rejects"))
+    for _ in range(2):
+        record_sink.write_batch(records, 3)
+    assert rows(sink.current(upper)) == [(1, "new"), (2, "b"), (7, "seven")]
+    rejects = spark.read.parquet(str(tmp_path / "rejects"))
+    assert rows(rejects, "seq", REASON) == [(2, EMPTY_KEY), (3, OTHER_KEY), (4, UNKNOWN_TABLE)]
+
+
 class _Conf(dict):
     pass
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.functions.jsontext import object_names, parse_object
@@ -153,19 +153,18 @@ def apply_key_injection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync.apply_records(apply_target(spark, sf_dir), records, "CUSTOMER", "k")[0]
 
 
-def _bad_when(records: DataFrame, bad: Column) -> DataFrame:
-    """Upserts become empty where ``bad``."""
-    return records.withColumn("after_json", F.when(~bad, F.col("after_json")))
-
-
 @QUERIES.add("""
-WITH bad AS (SELECT coalesce(min(event_id), 9223372036854775807) AS first_bad FROM events
-             WHERE event_type <> 'error' AND value > 100)
+WITH upserts AS (SELECT event_id, value FROM events WHERE event_type <> 'error'),
+bad AS (SELECT min(event_id) AS first_bad FROM upserts WHERE value = (SELECT max(value) FROM upserts))
 SELECT event_id AS seq FROM events, bad WHERE event_id < first_bad""")
 def prefix_ack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "value")
-    records = json_records(spark, sf_dir).drop("k").join(events, "seq")
-    parsed = record_ops.parse_records(_bad_when(records, F.col("value") > 100), "T_OTHER", "K")
+    """The upserts with the largest value lack a payload: what comes before the first is kept."""
+    upserts = table(spark, sf_dir, "events").where(F.col("event_type") != "error")
+    largest = upserts.agg(F.max("value")).scalar()
+    values = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "value")
+    records = json_records(spark, sf_dir).drop("k").join(values, "seq")
+    records = records.withColumn("after_json", F.when(F.col("value") < largest, F.col("after_json")))
+    parsed = record_ops.parse_records(records, "T_OTHER", "K")
     return record_ops.applied_prefix(record_ops.mark_records(parsed)).select("seq")
 
 

@@ -17,6 +17,7 @@ from workload.fixtures import (
     apply_target,
     table,
     table_versions,
+    tracked_operation,
     tracking_table,
 )
 from workload.registry import Registry
@@ -164,10 +165,12 @@ def cdc_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 @QUERIES.add("""
 SELECT event_id AS "CONNECTOR_TRACKING_ID", event_type AS "CONNECTOR_OPERATION_TYPE",
        'unknown operation type' AS reject_reason
-FROM events WHERE event_type NOT IN ('insert', 'update', 'delete') OR event_type IS NULL""")
+FROM events WHERE event_type IN ('view', 'purchase')""")
 def cdc_bad_op(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("event_type")
+    operation = F.when(kind.isin("view", "purchase"), kind).otherwise(tracked_operation())
     feed = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias(TRACKING_ID), F.col("event_type").alias(OPERATION_TYPE)
+        F.col("event_id").alias(TRACKING_ID), operation.alias(OPERATION_TYPE)
     )
     return envelope.split_operations(feed).rejects.select(TRACKING_ID, OPERATION_TYPE, REASON)
 
@@ -274,5 +277,5 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, "CONNECTOR_OPERA
 FROM ({_DIFF})""")
 def tracking_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = table_versions(spark, sf_dir)
-    changes = capture.capture_diff(old, new, ["c_custkey"])
-    return capture.number_changes(changes, ["c_custkey", OPERATION_TYPE]).drop(CREATED_AT)
+    changes = capture.capture_diff(old, new, ["c_custkey"], copy_number="copy")
+    return capture.number_changes(changes, ["c_custkey", OPERATION_TYPE]).drop(CREATED_AT, "copy")

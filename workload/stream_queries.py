@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from changeloom.names import TRACKING_ID
 from changeloom.operators import envelope
 from changeloom.sources.scratch import new_folder
-from changeloom.streaming.sink import ChangeSink
+from changeloom.streaming.sink import ChangeSink, RecordSink
 from changeloom.streaming.tail import land, start, tail
 from workload.apply_queries import COLUMNS, FULL_SQL, PARTIAL_SQL
-from workload.fixtures import TRACKING_SQL, apply_target, change_feed, table, tracking_table
+from workload.fixtures import TRACKING_SQL, apply_target, change_feed, json_records, tracking_table
 from workload.registry import Registry
 
 QUERIES = Registry()
@@ -105,3 +105,20 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         land(part, f"{root}/landing")
         _stream_into(spark, sink, f"{root}/landing", f"{root}/checkpoint", feed.schema)
     return sink.current(apply_target(spark, sf_dir))
+
+
+@QUERIES.add(PARTIAL_SQL)
+def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON records as they come, parsed, checked and applied batch by batch."""
+    root = new_folder(spark, "stream-records")
+    records = json_records(spark, sf_dir).drop("k").withColumn(
+        "metadata", F.create_map().cast("map<string,string>")
+    )
+    feed = _landable(records)
+    land(feed, f"{root}/landing")
+    target = apply_target(spark, sf_dir).toDF("K", "VALUE", "PROPS")
+    sink = ChangeSink(spark, f"{root}/changes", "K", ["VALUE", "PROPS"], present="present")
+    record_sink = RecordSink(sink, target.schema, "CUSTOMER", f"{root}/rejects")
+    stream = tail(spark, f"{root}/landing", feed.schema, max_files=_batch_files(spark))
+    start(record_sink.writer(stream), f"{root}/checkpoint").awaitTermination()
+    return sink.current(target).toDF("k", "value", "props")
