@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeloom.functions.binding import evaluate_once
+from changeloom.functions.convert import number1_to_bool
 from changeloom.functions.datetimes import parse_datetime
 from changeloom.functions.jsontext import (
     escape_json,
@@ -92,12 +93,20 @@ def parse_records(records: DataFrame, default_table: str, default_key: str) -> D
 
 def typed_value(value: Column, data_type: T.DataType) -> Column:
     """A ``variant`` as the target type; NULL when it is NULL or does not fit."""
-    is_text = F.schema_of_variant(value) == "STRING"
+    def is_type(name: str) -> Column:
+        return F.schema_of_variant(value) == name
+
+    is_text = is_type("STRING")
     text = F.try_variant_get(value, "$", "string")
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.when(is_text, parse_datetime(text)).cast(data_type)
     if isinstance(data_type, T.BinaryType):
         return F.when(is_text, F.encode(text, "UTF-8"))
+    if isinstance(data_type, T.BooleanType):
+        number = F.try_variant_get(value, "$", "double")
+        return F.when(is_type("BOOLEAN"), F.try_variant_get(value, "$", "boolean")).otherwise(
+            number1_to_bool(number)
+        )
     if isinstance(data_type, T.StringType):
         nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
         return F.when(nested, escape_json(F.to_json(value))).otherwise(text)

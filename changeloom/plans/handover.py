@@ -7,7 +7,8 @@ from typing import Any, NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.names import MODE_CDC, MODE_SNAPSHOT, TRACKING_ID
+from changeloom.functions.convert import read_rows
+from changeloom.names import MODE_CDC, MODE_SNAPSHOT, REASON, TRACKING_ID, ColumnType, Split
 from changeloom.operators.envelope import cdc_records, key_columns, snapshot_records
 
 # What snapshot and change records have in common.
@@ -44,19 +45,31 @@ def source_records(
     columns: list[str] | None = None,
     snapshot: bool = True,
     position: Position | None = None,
-) -> DataFrame:
-    """All records from a position on.
+    types: dict[str, ColumnType] | None = None,
+) -> Split:
+    """All records from a position on, and as JSON text the rows of which none can be made.
 
     With a snapshot wanted, and no position or one inside the snapshot: the rest of the snapshot,
     then the feed from its start. Otherwise only changes: those beyond a change position, or all.
+    Columns with a database type are converted (see ``read_rows``).
     """
     keys = key_columns(keys, primary_keys, ordering)
     in_cdc = position is not None and position.mode == MODE_CDC
     if in_cdc:
         feed = feed.where(F.col(TRACKING_ID) > position.last_processed_val)
-    changes = cdc_records(feed, table, ordering, keys).good
+    feed, bad_changes = read_rows(feed, types or {})
+    changes, unknown = cdc_records(feed, table, ordering, keys)
+    rejects = _as_text(bad_changes).unionByName(_as_text(unknown))
     if in_cdc or not snapshot:
-        return changes
+        return Split(changes, rejects)
     if position is not None and position.mode == MODE_SNAPSHOT:
         rows = rows.where(F.col(ordering) > position.last_processed_val)
-    return snapshot_then_cdc(snapshot_records(rows, table, ordering, keys, columns=columns), changes)
+    rows, bad_rows = read_rows(rows, types or {})
+    copied = snapshot_records(rows, table, ordering, keys, columns=columns)
+    return Split(snapshot_then_cdc(copied, changes), rejects.unionByName(_as_text(bad_rows)))
+
+
+def _as_text(rejects: DataFrame) -> DataFrame:
+    """Rows of different shapes in one form."""
+    row = F.struct(*[F.col(c) for c in rejects.columns if c != REASON])
+    return rejects.select(F.to_json(row).alias("row_json"), REASON)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from changeloom.names import MAX_BATCH_SIZE, MIN_BATCH_SIZE, TRACKING_ID
 
@@ -81,3 +83,13 @@ def write(
     if mode == "overwrite":
         settings.setdefault("truncate", "true")
     df.write.format("jdbc").options(**settings).mode(mode).save()
+
+
+def stage_batches(stream: DataFrame, url: str, table: str, **options: str) -> DataStreamWriter:
+    """A stream into a staging table. Rows carry the number of their micro-batch, by which the
+    database can tell a batch that was written twice."""
+
+    def stage(batch: DataFrame, batch_id: int) -> None:
+        write(batch.withColumn("batch_id", F.lit(batch_id)), url, table, **options)
+
+    return stream.writeStream.foreachBatch(stage)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +27,8 @@ class VersionedTable:
     def _log(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_entries")
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
 

@@ -6,6 +6,7 @@ checkpoint. Files per micro-batch are the bound that a page size is for a databa
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,10 +15,36 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from changeloom.names import TRACKING_ID
 
 
-def land(feed: DataFrame, path: str, files: int | None = None) -> None:
-    """Append changes to a landing folder as files of neighbouring tracking ids."""
+# Rows of a landed file at most, so that a number of files bounds a micro-batch.
+ROWS_PER_FILE = 1_000_000
+
+
+def land(
+    feed: DataFrame, path: str, files: int | None = None, rows_per_file: int = ROWS_PER_FILE
+) -> None:
+    """Append changes to a landing folder as files of neighbouring tracking ids.
+
+    ``files`` is how many tasks write; a task starts a new file after ``rows_per_file`` rows.
+    """
     files = files or feed.sparkSession.sparkContext.defaultParallelism
-    feed.repartitionByRange(files, F.col(TRACKING_ID)).write.mode("append").parquet(path)
+    ranged = feed.repartitionByRange(files, F.col(TRACKING_ID))
+    ranged.write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
+def land_new(feed: DataFrame, path: str, look_back: int = 0, files: int | None = None) -> None:
+    """Append what a tracking table holds beyond the last landed id; run it as often as wanted.
+
+    A change that is committed late, with a lower id, is found if its id is at most ``look_back``
+    below the last one. Changes that land twice do not matter to ``ChangeSink``.
+    """
+    last = None
+    try:
+        last = feed.sparkSession.read.parquet(path).agg(F.max(TRACKING_ID)).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    new = feed if last is None else feed.where(F.col(TRACKING_ID) > last - look_back)
+    land(new, path, files)
 
 
 def tail(

@@ -89,6 +89,15 @@ def test_payload_values_take_the_column_types(spark, rows):
     ]
 
 
+def test_flags_kept_as_booleans(spark, rows):
+    target = spark.createDataFrame([], "id int, flag boolean")
+    payloads = ["true", "false", "1", "0", "5", "null", '"x"']
+    records = [(i, "create", None, f'{{"id":{i},"flag":{p}}}') for i, p in enumerate(payloads)]
+    after, rejects = run(spark, target, records)
+    assert rows(after) == [(0, True), (1, False), (2, True), (3, False), (4, False), (5, None)]
+    assert rows(rejects, REASON) == [(ops.BAD_VALUE + " FLAG",)]
+
+
 def run(spark, target, records, **options):
     frame = spark.createDataFrame([(s, o, {}, k, a) for s, o, k, a in records], RECORDS)
     return sync.apply_records(target, frame, "users", "id", **options)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from changeloom.names import CREATED_AT, OPERATION_TYPE, REASON, TRACKING_ID
+from changeloom.names import CREATED_AT, OPERATION_TYPE, REASON, TRACKING_ID, ColumnType
 from changeloom.operators import envelope, paging
 from changeloom.plans.handover import Position, source_records
 from changeloom.sources import jdbc
@@ -59,7 +59,7 @@ def test_cdc_records(spark, feed):
 
 
 def read(users, feed, **options):
-    records = source_records(users, feed, "USERS", "ID", **options)
+    records = source_records(users, feed, "USERS", "ID", **options).good
     return sorted((r.position.mode, int(r.position.last_processed_val)) for r in records.collect())
 
 
@@ -74,8 +74,24 @@ def test_reading_modes(users, feed):
     assert read(users, feed, snapshot=False, position=Position("snapshot", 2)) == changes
 
 
+def test_typed_rows_and_rows_set_aside(spark):
+    table = "ID string, ACTIVE int"
+    rows = spark.createDataFrame([("1", 1), ("2", 5), ("3.5", 0)], table)
+    feed = spark.createDataFrame(
+        [("4", 0, 1, "insert", None), ("x", 1, 2, "insert", None), ("5", 1, 3, "merge", None)],
+        f"{table}, {TRACKING_ID} bigint, {OPERATION_TYPE} string, {CREATED_AT} timestamp",
+    )
+    types = {"ID": ColumnType("NUMBER"), "ACTIVE": ColumnType("NUMBER", 1, 0)}
+    good, rejects = source_records(rows, feed, "USERS", "ID", types=types)
+    assert {(r.after.ID, r.after.ACTIVE) for r in good.collect()} == {(1, True), (2, False), (4, False)}
+    found = rejects.select(F.get_json_object("row_json", "$.ID").alias("ID"), REASON).collect()
+    assert {(r.ID, r[REASON]) for r in found} == {
+        ("3.5", "ID: not a whole number"), ("x", "ID: not a whole number"), ("5", "unknown operation type"),
+    }
+
+
 def test_an_ordering_column_of_text_can_be_handed_over(users, feed):
-    records = source_records(users, feed, "USERS", "NAME", keys=["ID"])
+    records = source_records(users, feed, "USERS", "NAME", keys=["ID"]).good
     assert {r.position.last_processed_val for r in records.collect()} == {"one", "two", "three", "1", "2", "3"}
 
 
@@ -130,7 +146,7 @@ def test_positions(spark):
 
 
 def test_resume_positions(users, feed):
-    records = source_records(users, feed, "USERS", "ID")
+    records = source_records(users, feed, "USERS", "ID").good
     found = {r.mode: int(r.last_processed_val) for r in envelope.resume_positions(records).collect()}
     assert found == {"snapshot": 3, "cdc": 3}
 

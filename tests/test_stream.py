@@ -11,7 +11,7 @@ from changeloom.operators.records import EMPTY_KEY, OTHER_KEY, UNKNOWN_TABLE
 from changeloom.sources import scratch
 from changeloom.sources.versions import VersionedTable
 from changeloom.streaming.sink import ChangeSink, RecordSink
-from changeloom.streaming.tail import land, start, tail
+from changeloom.streaming.tail import land, land_new, start, tail
 
 FEED = f"{TRACKING_ID} bigint, seq bigint, operation string, k int, v string, present array<string>"
 
@@ -56,6 +56,21 @@ def test_files_per_batch_do_not_change_the_result(spark, tmp_path, target, rows)
         assert rows(sink.current(target)) == wanted
 
 
+def test_landing_what_is_new(spark, tmp_path, rows):
+    landing = str(tmp_path / "landing")
+    feed = changes(spark, *[(i, "create", i, "x", None) for i in (1, 2, 3, 6, 7)])
+    land_new(feed.where("seq <= 3"), landing)
+    land_new(feed, landing)
+    land_new(feed, landing)
+    assert rows(spark.read.parquet(landing), "seq") == [(1,), (2,), (3,), (6,), (7,)]
+    # Ids 4 and 5 are committed late: the strict rule misses them, looking back finds them.
+    late = feed.unionByName(changes(spark, (4, "create", 4, "x", None), (5, "create", 5, "x", None)))
+    land_new(late, landing)
+    assert spark.read.parquet(landing).count() == 5
+    land_new(late, landing, look_back=4)
+    assert rows(spark.read.parquet(landing).select("seq").distinct()) == [(i,) for i in range(1, 8)]
+
+
 def test_first_start_from_a_position(spark, tmp_path, rows):
     landing, out, checkpoint = (str(tmp_path / n) for n in ("landing", "out", "checkpoint"))
     feed = changes(spark, *[(i, "create", i, "x", None) for i in range(6)])

@@ -145,7 +145,7 @@ def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = source_records(
         _snapshot_of_target(spark, sf_dir), tracking_table(spark, sf_dir), "CUSTOMER", "K", snapshot=False
-    )
+    ).good
     return _flat(records, "K", "VALUE", "PROPS")
 
 
