@@ -86,16 +86,17 @@ def _parts(text: Column) -> Column:
 
 def _wall_clock(parts: Column) -> Column:
     def number(index: int) -> Column:
-        return parts[index].try_cast("int")
+        return parts[index].cast("int")
 
+    # Only digits are cast: a cast that fails costs far more than the rest of the parsing.
     century = F.when(F.length(parts[0]) == 4, 0).when(number(0) >= CENTURY_PIVOT, 1900).otherwise(2000)
-    named_month = F.instr(F.lit("".join(MONTHS).upper()), F.upper(parts[1])) + 2
-    month = F.coalesce(number(1), F.floor(named_month / 3).cast("int"))
+    place = F.instr(F.lit("".join(MONTHS).upper()), F.upper(parts[1]))
+    month = F.when(F.length(parts[1]) == 2, number(1)).otherwise(F.floor((place + 2) / 3).cast("int"))
     half_day = parts[6]
     hour = F.when(half_day == "", number(3)).when(
         number(3) <= 12, number(3) % 12 + F.when(half_day == "PM", 12).otherwise(0)
     )
-    second = F.coalesce(number(5), F.lit(0))
+    second = F.when(parts[5] == "", 0).otherwise(number(5))
     # Second 60 would roll over into the next minute, so it is checked here.
     return F.when(
         second < 60,

@@ -8,12 +8,24 @@ the folder is appended to a small log. A reader follows the log, so it sees no h
 from __future__ import annotations
 
 import uuid
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOG_SCHEMA = "entry bigint, folder string, replaces boolean"
+
+class Entry(NamedTuple):
+    """A write: its number, its folder, the first entry it stands for, and how often its rows
+    have been put together with others."""
+
+    number: int
+    folder: str
+    first: int
+    level: int
+
+
+_LOG_SCHEMA = "number bigint, folder string, first bigint, level int"
 
 
 class VersionedTable:
@@ -36,47 +48,55 @@ class VersionedTable:
         """The number of the last write; -1 when there was none."""
         if self._last is None:
             log = self._log()
-            self._last = -1 if log is None else log.agg(F.coalesce(F.max("entry"), F.lit(-1))).first()[0]
+            self._last = -1 if log is None else log.agg(F.coalesce(F.max("number"), F.lit(-1))).first()[0]
         return self._last
 
-    def live_folders(self, through: int | None = None) -> list[str]:
-        """The folders that make up the table: the last full state and the additions after it."""
+    def live_entries(self, through: int | None = None) -> list[Entry]:
+        """The writes that make up the table, now or after an earlier write, oldest first.
+
+        Only names are collected: one for the last full state and one for each write since then.
+        """
         log = self._log()
         if log is None:
             return []
         if through is not None:
-            log = log.where(F.col("entry") <= through)
-        full = log.where("replaces").agg(F.coalesce(F.max("entry"), F.lit(0))).scalar()
-        live = log.where(F.col("entry") >= full).orderBy("entry")
-        return [f"{self.root}/{row.folder}" for row in live.collect()]
-
-    def _commit(self, df: DataFrame, replaces: bool) -> int:
-        entry = self.last_entry() + 1
-        folder = f"part-{entry}-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{folder}")
-        row = self.spark.range(1).select(
-            F.lit(entry).cast("bigint").alias("entry"),
-            F.lit(folder).alias("folder"),
-            F.lit(replaces).alias("replaces"),
-        )
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/_entries")
-        self._last = entry
-        return entry
+            log = log.where(F.col("number") <= through)
+        full = log.where("first = 0").agg(F.coalesce(F.max("number"), F.lit(0))).scalar()
+        recent = log.where(F.col("number") >= full).orderBy(F.col("number").desc())
+        live: list[Entry] = []
+        for row in recent.collect():
+            if not live or row.number < live[-1].first:
+                live.append(Entry(*row))
+        return live[::-1]
+
+    def read_entries(self, entries: list[Entry]) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.root}/{entry.folder}" for entry in entries])
 
-    def replace(self, df: DataFrame) -> int:
-        """Make ``df``, which may be built from earlier entries, the table's content."""
-        return self._commit(df, True)
+    def read(self, through: int | None = None) -> DataFrame:
+        """The table now, or as it was after an earlier write."""
+        entries = self.live_entries(through)
+        if not entries:
+            raise ValueError(f"nothing was written to {self.root}")
+        return self.read_entries(entries)
 
     def append(self, df: DataFrame) -> int:
         """Add the rows of ``df``."""
-        return self._commit(df, False)
+        return self.replace(df, first=self.last_entry() + 1)
 
-    def read(self, through: int | None = None) -> DataFrame:
-        """The table now, or as it was after an earlier entry."""
-        folders = self.live_folders(through)
-        if not folders:
-            raise ValueError(f"nothing was written to {self.root}")
-        return self.spark.read.parquet(*folders)
+    def replace(self, df: DataFrame, first: int = 0, level: int = 0) -> int:
+        """Put ``df``, which may be built from earlier writes, in the place of all since ``first``."""
+        number = self.last_entry() + 1
+        folder = f"part-{number}-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.root}/{folder}")
+        row = self.spark.range(1).select(
+            F.lit(number).cast("bigint").alias("number"),
+            F.lit(folder).alias("folder"),
+            F.lit(first).cast("bigint").alias("first"),
+            F.lit(level).alias("level"),
+        )
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/_entries")
+        self._last = number
+        return number
 
 
 def take_snapshot(df: DataFrame, path: str) -> DataFrame:

@@ -18,6 +18,9 @@ from changeloom.operators.state import apply_state, merge_states, to_state
 from changeloom.plans.sync import land_records
 from changeloom.sources.versions import VersionedTable
 
+# Level of the empty write that stands for changes folded into the target: nothing is merged with it.
+FOLDED = 1 << 20
+
 
 class ChangeSink:
     """Collects changes under ``root`` for a target with one key column."""
@@ -29,23 +32,18 @@ class ChangeSink:
         key: str,
         columns: list[str],
         present: str | None = None,
-        compact_every: int = 50,
+        merge_every: int = 10,
     ):
         self.key = key
         self.columns = columns
         self.present = present
-        self.compact_every = compact_every
+        self.merge_every = merge_every
         self.changes = VersionedTable(spark, root)
-        self._batches: int | None = None
 
     def write_batch(self, batch: DataFrame, batch_id: int = 0) -> None:
         """Add a batch of changes. Adding it once more changes nothing."""
-        if self._batches is None:
-            self._batches = len(self.changes.live_folders())
         self.changes.append(to_state(batch, self.key, self.columns, self.present))
-        self._batches += 1
-        if self._batches >= self.compact_every:
-            self.compact()
+        self.merge_recent()
 
     def writer(self, stream: DataFrame) -> DataStreamWriter:
         return stream.writeStream.foreachBatch(self.write_batch)
@@ -54,14 +52,29 @@ class ChangeSink:
         """All changes so far, one row per key."""
         return merge_states([self.changes.read()], self.key, self.columns)
 
+    def merge_recent(self) -> None:
+        """Merge the newest writes once there are ``merge_every`` of one level.
+
+        The merged write is of the next level. So a row is written again once per level, and the
+        number of levels grows with the logarithm of the number of batches.
+        """
+        live = self.changes.live_entries()
+        while live:
+            level = live[-1].level
+            same = [entry for entry in live if entry.level == level]
+            if len(same) < self.merge_every:
+                return
+            merged = merge_states([self.changes.read_entries(same)], self.key, self.columns)
+            self.changes.replace(merged, same[0].first, level + 1)
+            live = self.changes.live_entries()
+
     def compact(self) -> None:
-        """Merge the collected batches into one; late and replayed changes stay welcome."""
-        self.changes.replace(self.state())
-        self._batches = 1
+        """Merge all writes into one; late and replayed changes stay welcome."""
+        self.changes.replace(self.state(), level=self.changes.live_entries()[0].level)
 
     def current(self, target: DataFrame, defaults: dict[str, Column] | None = None) -> DataFrame:
         """The target with all changes so far."""
-        if not self.changes.live_folders():
+        if not self.changes.live_entries():
             return target
         return apply_state(target, self.changes.read(), self.key, self.columns, defaults)
 
@@ -72,7 +85,7 @@ class ChangeSink:
         order of the folded changes is no longer known afterwards.
         """
         table.replace(self.current(table.read()))
-        self.changes.replace(self.changes.read().limit(0))
+        self.changes.replace(self.changes.read().limit(0), level=FOLDED)
 
 
 class RecordSink:

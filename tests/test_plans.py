@@ -97,6 +97,23 @@ def test_a_hot_key_of_changed_rows_is_split(spark, small_skew_limits):
     assert "SortMergeJoin(skew=true)" in plan(changes)
 
 
+def test_a_bucketed_target_stays_where_it_is(spark, no_broadcast):
+    hot_rows(spark, 3000).where("k <> 5").write.bucketBy(8, "k").sortBy("k").saveAsTable("bucketed_target")
+    try:
+        feed = spark.range(0, 5000).select(
+            F.col("id").alias("seq"), F.lit("update").alias("operation"), F.col("id").alias("k"), F.lit(-1).alias("v")
+        )
+        df = apply_ops.apply_changes(spark.table("bucketed_target"), feed, "k", ["v"], unique_target=True)
+        kept_branch = plan(df).split("LeftAnti")[0]
+        left_join = kept_branch[kept_branch.index("LeftOuter"):]
+        target_side = left_join[: left_join.index("SortAggregate") if "SortAggregate" in left_join else None]
+        assert "bucketed_target" in target_side or "Bucketed: true" in left_join
+        assert "Exchange hashpartitioning(k" not in left_join[: left_join.index("Bucketed: true")]
+        assert df.count() == 5000
+    finally:
+        spark.sql("DROP TABLE bucketed_target")
+
+
 def test_measured_apply_does_not_shuffle_the_target(spark):
     df = ALL["apply_partial_measured"].run(spark, SF_DIR)
     df.collect()

@@ -170,8 +170,12 @@ def test_versions(spark, tmp_path, rows):
     assert table.append(spark.range(7, 8)) == 3
     assert rows(table.read()) == [(1,), (2,), (7,)]
     assert rows(table.read(through=1)) == [(0,), (1,), (2,)]
+    # A write may stand for the newest ones only.
+    assert table.replace(spark.range(8, 10), first=3, level=1) == 4
+    assert rows(table.read()) == [(1,), (2,), (8,), (9,)]
+    assert rows(table.read(through=3)) == [(1,), (2,), (7,)]
     again = VersionedTable(spark, str(tmp_path / "table"))
-    assert again.last_entry() == 3 and len(again.live_folders()) == 2
+    assert again.last_entry() == 4 and [e.number for e in again.live_entries()] == [2, 4]
 
 
 def test_jdbc_options():

@@ -50,7 +50,7 @@ def test_files_per_batch_do_not_change_the_result(spark, tmp_path, target, rows)
     land(feed, str(tmp_path / "landing"), files=8)
     wanted = rows(apply_changes(target, feed, "k", ["v"], "present"))
     for files in (1, 3, 100):
-        sink = ChangeSink(spark, str(tmp_path / f"changes{files}"), "k", ["v"], "present", compact_every=4)
+        sink = ChangeSink(spark, str(tmp_path / f"changes{files}"), "k", ["v"], "present", merge_every=2)
         stream = tail(spark, str(tmp_path / "landing"), feed.schema, max_files=files)
         start(sink.writer(stream), str(tmp_path / f"checkpoint{files}")).awaitTermination()
         assert rows(sink.current(target)) == wanted
@@ -111,13 +111,13 @@ def test_committed_files_are_purged(spark, tmp_path, rows):
 
 
 def test_sink_takes_late_and_repeated_changes(spark, tmp_path, target, rows):
-    sink = ChangeSink(spark, str(tmp_path / "changes"), "k", ["v"], "present", compact_every=3)
+    sink = ChangeSink(spark, str(tmp_path / "changes"), "k", ["v"], "present", merge_every=2)
     assert rows(sink.current(target)) == rows(target)
     newer = changes(spark, (10, "update", 1, "ten", None), (11, "delete", 2, None, None), (12, "create", None, "n", None))
     older = changes(spark, (5, "delete", 1, None, None), (6, "update", 2, "six", ["v"]), (7, "update", 3, None, []))
     for batch in (newer, older, newer, older, newer):
         sink.write_batch(batch)
-    assert len(sink.changes.live_folders()) < 5
+    assert len(sink.changes.live_entries()) == 2
     expected = [(None, "n"), (1, "ten"), (3, None)]
     assert rows(sink.current(target)) == expected
     # Another process goes on with the same folder.
@@ -126,6 +126,26 @@ def test_sink_takes_late_and_repeated_changes(spark, tmp_path, target, rows):
     assert rows(again.current(target)) == [(None, "n"), (1, "ten"), (2, "back"), (3, None)]
 
 
+def test_writes_are_merged_by_level(spark, tmp_path, target, rows):
+    sink = ChangeSink(spark, str(tmp_path / "changes"), "k", ["v"], merge_every=3)
+    shapes = []
+    for i in range(14):
+        # Another writer object, as after a restart.
+        sink = ChangeSink(spark, str(tmp_path / "changes"), "k", ["v"], merge_every=3)
+        sink.write_batch(changes(spark, (i, "update", i % 4, f"v{i}", None)))
+        shapes.append([entry.level for entry in sink.changes.live_entries()])
+    assert shapes[:5] == [[0], [0, 0], [1], [1, 0], [1, 0, 0]]
+    assert shapes[7:9] == [[1, 1, 0, 0], [2]]
+    assert shapes[-1] == [2, 1, 0, 0]
+    expected = [(0, "v12"), (1, "v13"), (2, "v10"), (3, "v11")]
+    assert rows(sink.current(target)) == expected
+    sink.compact()
+    assert len(sink.changes.live_entries()) == 1
+    assert rows(sink.current(target)) == expected
+    sink.write_batch(changes(spark, (3, "update", 5, "late", None), (2, "delete", 1, None, None)))
+    assert rows(sink.current(target)) == [*expected, (5, "late")]
+
+
 def test_fold_into_a_new_version(spark, tmp_path, target, rows):
     table = VersionedTable(spark, str(tmp_path / "table"))
     table.replace(target)

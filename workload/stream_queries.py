@@ -75,7 +75,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "stream-replay")
     feed = _landable(change_feed(spark, sf_dir))
     land(feed, f"{root}/landing")
-    sink = ChangeSink(spark, f"{root}/changes", "k", COLUMNS, present="present", compact_every=5)
+    sink = ChangeSink(spark, f"{root}/changes", "k", COLUMNS, present="present", merge_every=3)
     for run in (1, 2):
         _stream_into(spark, sink, f"{root}/landing", f"{root}/checkpoint-{run}", feed.schema)
     return sink.current(apply_target(spark, sf_dir))
