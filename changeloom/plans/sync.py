@@ -10,7 +10,14 @@ from pyspark.sql import types as T
 
 from changeloom.names import REASON
 from changeloom.operators.apply import apply_changes, apply_summary, keyless_inserts, summarise, without_key
-from changeloom.operators.records import applied_prefix, mark_records, parse_records, typed_columns
+from changeloom.operators.records import (
+    UNKNOWN_TABLE,
+    applied_prefix,
+    mark_records,
+    parse_records,
+    table_of,
+    typed_columns,
+)
 from changeloom.sources.scratch import new_folder
 from changeloom.sources.versions import take_snapshot
 
@@ -22,19 +29,22 @@ def upper_schema(df: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(f.name.upper(), f.dataType, True) for f in df.schema])
 
 
-def land_records(
+def typed_records(
     records: DataFrame, schema: T.StructType, tables: list[str], default_table: str, default_key: str
 ) -> DataFrame:
-    """JSON records as typed changes for tables of one schema, each with its ``reject_reason``.
-
-    Parsing is the costly step, and the changes are read more than once afterwards, so the result
-    is written to the shared folder.
-    """
-    path = new_folder(records.sparkSession, "records")
+    """JSON records as typed changes for tables of one schema, each with its ``reject_reason``."""
     marked = mark_records(parse_records(records, default_table, default_key), schema, tables)
     kept = ["seq", "operation", "table_name", "key_column", "present", "key_json", "after_json", REASON]
-    marked.select(*kept, *typed_columns(schema)).write.parquet(path)
-    return records.sparkSession.read.parquet(path)
+    return marked.select(*kept, *typed_columns(schema))
+
+
+def land_records(
+    records: DataFrame, schema: T.StructType, tables: list[str], default_table: str, default_key: str
+) -> DataFrame:
+    """Typed records, written to the shared folder: parsing is the costly step, and the changes
+    are read more than once afterwards."""
+    typed = typed_records(records, schema, tables, default_table, default_key)
+    return take_snapshot(typed, new_folder(records.sparkSession, "records"))
 
 
 def apply_records(
@@ -105,6 +115,25 @@ def split_by_table(feed: DataFrame) -> DataFrame:
     return feed.sparkSession.read.parquet(path)
 
 
+def apply_to_tables(
+    targets: dict[str, DataFrame], records: DataFrame, default_table: str, keys: dict[str, str]
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Tables of many shapes after the records that go to each, and the records set aside.
+
+    ``keys`` has the configured key column per table. The records are split by table first, so
+    that each is parsed once, for its own table.
+    """
+    split = split_by_table(records.withColumn("table_name", table_of(default_table)))
+    unknown = split.where(~F.col("table_name").isin(*[name.upper() for name in targets]))
+    rejects = unknown.select("seq", "key_json", "after_json", F.lit(UNKNOWN_TABLE).alias(REASON))
+    after = {}
+    for name, target in targets.items():
+        own = split.where(F.col("table_name") == name.upper()).drop("table_name")
+        after[name], bad = apply_records(target, own, name, keys[name])
+        rejects = rejects.unionByName(bad)
+    return after, rejects
+
+
 def apply_measured(
     target: DataFrame,
     feed: DataFrame,

@@ -25,5 +25,10 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """The path of a folder nobody has used before."""
-    return f"{shared_root(spark)}/changeloom/{purpose}-{uuid.uuid4().hex}"
+    """The path of a folder nobody has used before.
+
+    Results may be read from it as long as the application runs; what lies under its id can be
+    deleted afterwards.
+    """
+    application = spark.conf.get("spark.app.id", "application")
+    return f"{shared_root(spark)}/changeloom/{application}/{purpose}-{uuid.uuid4().hex}"

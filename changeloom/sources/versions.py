@@ -34,7 +34,7 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._last: int | None = None
+        self._live: list[Entry] | None = None
 
     def _log(self) -> DataFrame | None:
         try:
@@ -44,12 +44,15 @@ class VersionedTable:
                 raise
             return None
 
+    def own_entries(self) -> list[Entry]:
+        """The live writes as the one writer knows them, without reading the log each time."""
+        if self._live is None:
+            self._live = self.live_entries()
+        return self._live
+
     def last_entry(self) -> int:
         """The number of the last write; -1 when there was none."""
-        if self._last is None:
-            log = self._log()
-            self._last = -1 if log is None else log.agg(F.coalesce(F.max("number"), F.lit(-1))).first()[0]
-        return self._last
+        return self.own_entries()[-1].number if self.own_entries() else -1
 
     def live_entries(self, through: int | None = None) -> list[Entry]:
         """The writes that make up the table, now or after an earlier write, oldest first.
@@ -86,16 +89,16 @@ class VersionedTable:
     def replace(self, df: DataFrame, first: int = 0, level: int = 0) -> int:
         """Put ``df``, which may be built from earlier writes, in the place of all since ``first``."""
         number = self.last_entry() + 1
-        folder = f"part-{number}-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{folder}")
+        entry = Entry(number, f"part-{number}-{uuid.uuid4().hex}", first, level)
+        df.write.parquet(f"{self.root}/{entry.folder}")
         row = self.spark.range(1).select(
             F.lit(number).cast("bigint").alias("number"),
-            F.lit(folder).alias("folder"),
+            F.lit(entry.folder).alias("folder"),
             F.lit(first).cast("bigint").alias("first"),
             F.lit(level).alias("level"),
         )
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/_entries")
-        self._last = number
+        self._live = [e for e in self.own_entries() if e.number < first] + [entry]
         return number
 
 

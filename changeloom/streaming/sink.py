@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from changeloom.names import REASON
 from changeloom.operators.records import OTHER_KEY
 from changeloom.operators.state import apply_state, merge_states, to_state
-from changeloom.plans.sync import land_records
+from changeloom.plans.sync import typed_records
 from changeloom.sources.versions import VersionedTable
 
 # Level of the empty write that stands for changes folded into the target: nothing is merged with it.
@@ -58,19 +58,17 @@ class ChangeSink:
         The merged write is of the next level. So a row is written again once per level, and the
         number of levels grows with the logarithm of the number of batches.
         """
-        live = self.changes.live_entries()
-        while live:
+        while live := self.changes.own_entries():
             level = live[-1].level
             same = [entry for entry in live if entry.level == level]
             if len(same) < self.merge_every:
                 return
             merged = merge_states([self.changes.read_entries(same)], self.key, self.columns)
             self.changes.replace(merged, same[0].first, level + 1)
-            live = self.changes.live_entries()
 
     def compact(self) -> None:
         """Merge all writes into one; late and replayed changes stay welcome."""
-        self.changes.replace(self.state(), level=self.changes.live_entries()[0].level)
+        self.changes.replace(self.state(), level=self.changes.own_entries()[0].level)
 
     def current(self, target: DataFrame, defaults: dict[str, Column] | None = None) -> DataFrame:
         """The target with all changes so far."""
@@ -102,13 +100,19 @@ class RecordSink:
         self.rejects = rejects.rstrip("/")
 
     def write_batch(self, batch: DataFrame, batch_id: int = 0) -> None:
-        marked = land_records(batch, self.schema, [self.table], self.table, self.sink.key)
+        marked = typed_records(batch, self.schema, [self.table], self.table, self.sink.key)
         other_key = F.when(F.col("key_column") != self.sink.key.upper(), F.lit(OTHER_KEY))
-        marked = marked.withColumn(REASON, F.coalesce(REASON, other_key))
-        bad = marked.where(F.col(REASON).isNotNull()).select("seq", "key_json", "after_json", REASON)
-        # A batch that is run again replaces what it set aside before.
-        bad.write.mode("overwrite").parquet(f"{self.rejects}/batch={batch_id}")
-        self.sink.write_batch(marked.where(F.col(REASON).isNull()))
+        # Kept for the two writes below; what an executor loses of it is parsed again.
+        marked = marked.withColumn(REASON, F.coalesce(REASON, other_key)).persist()
+        try:
+            bad = marked.where(F.col(REASON).isNotNull())
+            # A batch that is run again replaces what it set aside before.
+            bad.select("seq", "key_json", "after_json", REASON).write.mode("overwrite").parquet(
+                f"{self.rejects}/batch={batch_id}"
+            )
+            self.sink.write_batch(marked.where(F.col(REASON).isNull()))
+        finally:
+            marked.unpersist()
 
     def writer(self, stream: DataFrame) -> DataStreamWriter:
         return stream.writeStream.foreachBatch(self.write_batch)

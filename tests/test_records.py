@@ -177,6 +177,26 @@ def test_tables_of_different_shapes_are_split_once(spark, rows):
     assert rows(split.where("table_name = 'B'"), "n") == [(2,)]
 
 
+def test_records_for_tables_of_many_shapes(spark, rows):
+    users = spark.createDataFrame([(1, "one")], "id int, name string")
+    orders = spark.createDataFrame([("a", 5.0)], "code string, price double")
+    data = [
+        (1, "update", {METADATA_TABLE: "Users"}, '{"id":1}', '{"name":"uno"}'),
+        (2, "create", {METADATA_TABLE: "orders"}, '{"code":"b"}', '{"price":7.5}'),
+        (3, "delete", {METADATA_TABLE: "ORDERS"}, '{"code":"a"}', None),
+        (4, "create", {}, None, '{"id":2,"name":"two"}'),
+        (5, "create", {}, None, '{"id":3,"price":1}'),
+        (6, "create", {METADATA_TABLE: "nowhere"}, None, '{"id":3}'),
+    ]
+    after, rejects = sync.apply_to_tables(
+        {"users": users, "orders": orders}, spark.createDataFrame(data, RECORDS), "users",
+        {"users": "id", "orders": "code"},
+    )
+    assert rows(after["users"]) == [(1, "uno"), (2, "two")]
+    assert rows(after["orders"]) == [("b", 7.5)]
+    assert rows(rejects, "seq", REASON) == [(5, ops.UNKNOWN_COLUMN), (6, ops.UNKNOWN_TABLE)]
+
+
 @pytest.mark.parametrize(("key", "expected"), [('{"b":1}', "B"), ("{}", "ID"), ("x", "ID"), (None, "ID")])
 def test_key_column(spark, key, expected):
     df = spark.createDataFrame([(key,)], "key_json string")
