@@ -94,10 +94,10 @@ def summarise(
     return feed.groupBy(*keys).agg(deleted, upserted, *parts)
 
 
-def is_live(prefix: str = "") -> Column:
+def is_live() -> Column:
     """True for a summary row whose key exists after the feed because of an upsert in it."""
-    last_delete = F.coalesce(F.col(prefix + LAST_DELETE), F.lit(BEFORE_ALL))
-    return F.coalesce(F.col(prefix + LAST_UPSERT) > last_delete, F.lit(False))
+    last_delete = F.coalesce(F.col(LAST_DELETE), F.lit(BEFORE_ALL))
+    return F.coalesce(F.col(LAST_UPSERT) > last_delete, F.lit(False))
 
 
 def live_value(column: str) -> Column:

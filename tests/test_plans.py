@@ -70,7 +70,8 @@ def small_skew_limits(spark, no_broadcast):
 def hot_rows(spark, n):
     """A third of the rows have one key."""
     key = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id"))
-    return spark.range(0, n, 1, 8).select(key.alias("k"), F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("w"))
+    wide = F.sha2(F.col("id").cast("string"), 256)
+    return spark.range(0, n, 1, 8).select(key.alias("k"), F.col("id").alias("v"), wide.alias("w"))
 
 
 def test_a_hot_target_key_is_split(spark, small_skew_limits):

@@ -3,7 +3,6 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from changeloom.names import REASON, TRACKING_ID
 from changeloom.operators.apply import apply_changes
@@ -113,7 +112,9 @@ def test_committed_files_are_purged(spark, tmp_path, rows):
 def test_sink_takes_late_and_repeated_changes(spark, tmp_path, target, rows):
     sink = ChangeSink(spark, str(tmp_path / "changes"), "k", ["v"], "present", merge_every=2)
     assert rows(sink.current(target)) == rows(target)
-    newer = changes(spark, (10, "update", 1, "ten", None), (11, "delete", 2, None, None), (12, "create", None, "n", None))
+    newer = changes(
+        spark, (10, "update", 1, "ten", None), (11, "delete", 2, None, None), (12, "create", None, "n", None)
+    )
     older = changes(spark, (5, "delete", 1, None, None), (6, "update", 2, "six", ["v"]), (7, "update", 3, None, []))
     for batch in (newer, older, newer, older, newer):
         sink.write_batch(batch)
