@@ -27,6 +27,19 @@ from changeloom.names import METADATA_TABLE, REASON, Split
 DELETE = "delete"
 END_OF_FEED = (1 << 63) - 1
 
+# Fields of a record next to the columns of a table. Names of columns begin with a letter.
+RECORD_FIELDS = {
+    "seq": "_seq",
+    "operation": "_operation",
+    "table_name": "_table",
+    "key_column": "_key_column",
+    "present": "_present",
+    "key_json": "_key_json",
+    "after_json": "_after_json",
+    REASON: "_reason",
+}
+REJECT_COLUMNS = ["seq", "key_json", "after_json", REASON]
+
 # Why a record is set aside.
 BAD_PAYLOAD = "payload is not a JSON object"
 EMPTY_PAYLOAD = "payload is empty"
@@ -166,15 +179,15 @@ def check_records(
     )
 
 
-def applied_prefix(marked: DataFrame) -> DataFrame:
+def applied_prefix(marked: DataFrame, seq: str = "seq", reason: str = REASON) -> DataFrame:
     """The records before the first bad one, for writers that stop at the first failure.
 
-    ``marked`` has a ``reject_reason``. The first bad ``seq`` is a single value, worked out before
+    Bad records have a ``reason``. The first bad ``seq`` is a single value, worked out before
     the scan, so it can be pushed into it.
     """
-    bad = marked.where(F.col(REASON).isNotNull())
-    first_bad = bad.agg(F.coalesce(F.min("seq"), F.lit(END_OF_FEED))).scalar()
-    return marked.where(F.col("seq") < first_bad).drop(REASON)
+    bad = marked.where(F.col(reason).isNotNull())
+    first_bad = bad.agg(F.coalesce(F.min(seq), F.lit(END_OF_FEED))).scalar()
+    return marked.where(F.col(seq) < first_bad).drop(reason)
 
 
 def typed_columns(schema: T.StructType) -> list[Column]:
@@ -191,7 +204,16 @@ def typed_columns(schema: T.StructType) -> list[Column]:
     return columns
 
 
-def typed_changes(good: DataFrame, schema: T.StructType) -> DataFrame:
-    """Good records as the input of ``apply_changes``."""
-    fixed = ["seq", "operation", "table_name", "key_column", "present"]
-    return good.select(*fixed, *typed_columns(schema))
+def typed_records(parsed: DataFrame, schema: T.StructType, tables: list[str] | None = None) -> DataFrame:
+    """Parsed records as typed changes, each with its reject reason.
+
+    What belongs to the record gets names that no column can have (see ``RECORD_FIELDS``).
+    """
+    fields = [F.col(name).alias(alias) for name, alias in RECORD_FIELDS.items()]
+    return mark_records(parsed, schema, tables).select(*fields, *typed_columns(schema))
+
+
+def rejected(typed: DataFrame) -> DataFrame:
+    """The typed records that were set aside."""
+    bad = typed.where(F.col(RECORD_FIELDS[REASON]).isNotNull())
+    return bad.select(*[F.col(RECORD_FIELDS[c]).alias(c) for c in REJECT_COLUMNS])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,10 +14,10 @@ from changeloom.operators.apply import apply_changes, apply_summary, keyless_ins
 from changeloom.operators.records import (
     UNKNOWN_TABLE,
     applied_prefix,
-    mark_records,
     parse_records,
+    rejected,
     table_of,
-    typed_columns,
+    typed_records,
 )
 from changeloom.sources.scratch import new_folder
 from changeloom.sources.versions import take_snapshot
@@ -29,21 +30,15 @@ def upper_schema(df: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(f.name.upper(), f.dataType, True) for f in df.schema])
 
 
-def typed_records(
-    records: DataFrame, schema: T.StructType, tables: list[str], default_table: str, default_key: str
-) -> DataFrame:
-    """JSON records as typed changes for tables of one schema, each with its ``reject_reason``."""
-    marked = mark_records(parse_records(records, default_table, default_key), schema, tables)
-    kept = ["seq", "operation", "table_name", "key_column", "present", "key_json", "after_json", REASON]
-    return marked.select(*kept, *typed_columns(schema))
-
-
 def land_records(
     records: DataFrame, schema: T.StructType, tables: list[str], default_table: str, default_key: str
 ) -> DataFrame:
-    """Typed records, written to the shared folder: parsing is the costly step, and the changes
-    are read more than once afterwards."""
-    typed = typed_records(records, schema, tables, default_table, default_key)
+    """JSON records as typed changes for tables of one schema (see ``typed_records``).
+
+    They are written to the shared folder: parsing is the costly step, and the changes are read
+    more than once afterwards.
+    """
+    typed = typed_records(parse_records(records, default_table, default_key), schema, tables)
     return take_snapshot(typed, new_folder(records.sparkSession, "records"))
 
 
@@ -57,32 +52,34 @@ def apply_records(
     is the usual case.
     """
     after = target.toDF(*[c.upper() for c in target.columns])
-    marked = land_records(records, upper_schema(target), [table], table, key)
-    rejects = marked.where(F.col(REASON).isNotNull()).select("seq", "key_json", "after_json", REASON)
-    good = applied_prefix(marked) if stop_at_first_bad else marked.where(F.col(REASON).isNull())
+    typed = land_records(records, upper_schema(target), [table], table, key)
+    if stop_at_first_bad:
+        good = applied_prefix(typed, "_seq", "_reason")
+    else:
+        good = typed.where(F.col("_reason").isNull())
 
     runs = 0
     for run_key, run in key_runs(good):
         if runs:
             after = take_snapshot(after, new_folder(after.sparkSession, "run"))
-        after = apply_changes(after, run, run_key, present="present")
+        after = apply_changes(after, run, run_key, present="_present", seq="_seq", operation="_operation")
         runs += 1
-    return after.toDF(*target.columns), rejects
+    return after.toDF(*target.columns), rejected(typed)
 
 
 def key_runs(good: DataFrame) -> Iterator[tuple[str, DataFrame]]:
-    """The longest stretches of records, in ``seq`` order, that have one key column each."""
+    """The longest stretches of typed records, in order, that have one key column each."""
     after_seq = None
     while True:
-        rest = good if after_seq is None else good.where(F.col("seq") > after_seq)
-        first = rest.agg(F.min_by("key_column", "seq")).first()[0]
+        rest = good if after_seq is None else good.where(F.col("_seq") > after_seq)
+        first = rest.agg(F.min_by("_key_column", "_seq")).first()[0]
         if first is None:
             return
-        other = rest.where(F.col("key_column") != first).agg(F.min("seq")).first()[0]
+        other = rest.where(F.col("_key_column") != first).agg(F.min("_seq")).first()[0]
         if other is None:
             yield first, rest
             return
-        yield first, rest.where(F.col("seq") < other)
+        yield first, rest.where(F.col("_seq") < other)
         after_seq = other - 1
 
 
@@ -92,17 +89,18 @@ def apply_routed(
     key: str,
     columns: list[str],
     present: str | None = None,
+    table: str = "table_name",
+    seq: str = "seq",
+    operation: str = "operation",
 ) -> DataFrame:
     """Many tables of one shape, in one pass: the table's name is a part of the key.
 
-    ``feed`` has ``table_name``; the result has it too. Rows for other tables must be set aside
-    before (see ``reason_of``).
+    ``table`` is the feed's column with that name; the result has it too. Rows for other tables
+    must be set aside before (see ``reason_of``).
     """
-    together = None
-    for name, target in targets.items():
-        named = target.withColumn("table_name", F.lit(name))
-        together = named if together is None else together.unionByName(named)
-    return apply_changes(together, feed, ["table_name", key], columns, present)
+    named = [target.withColumn(table, F.lit(name)) for name, target in targets.items()]
+    together = reduce(DataFrame.unionByName, named)
+    return apply_changes(together, feed, [table, key], columns, present, seq, operation)
 
 
 def split_by_table(feed: DataFrame) -> DataFrame:

@@ -12,10 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from changeloom.names import REASON
-from changeloom.operators.records import OTHER_KEY
+from changeloom.operators.records import OTHER_KEY, parse_records, rejected, typed_records
 from changeloom.operators.state import apply_state, merge_states, to_state
-from changeloom.plans.sync import typed_records
 from changeloom.sources.versions import VersionedTable
 
 # Level of the empty write that stands for changes folded into the target: nothing is merged with it.
@@ -33,16 +31,22 @@ class ChangeSink:
         columns: list[str],
         present: str | None = None,
         merge_every: int = 10,
+        seq: str = "seq",
+        operation: str = "operation",
     ):
         self.key = key
         self.columns = columns
         self.present = present
         self.merge_every = merge_every
+        self.seq = seq
+        self.operation = operation
         self.changes = VersionedTable(spark, root)
 
     def write_batch(self, batch: DataFrame, batch_id: int = 0) -> None:
         """Add a batch of changes. Adding it once more changes nothing."""
-        self.changes.append(to_state(batch, self.key, self.columns, self.present))
+        self.changes.append(
+            to_state(batch, self.key, self.columns, self.present, self.seq, self.operation)
+        )
         self.merge_recent()
 
     def writer(self, stream: DataFrame) -> DataStreamWriter:
@@ -87,32 +91,41 @@ class ChangeSink:
 
 
 class RecordSink:
-    """Collects JSON records for one table, and sets bad ones aside under ``rejects``.
+    """Collects JSON records for one table under ``root``, and sets bad ones aside.
 
     Changes are merged by one key column. Records that name another are set aside too, since no
     order-free merge can mix them.
     """
 
-    def __init__(self, sink: ChangeSink, schema: T.StructType, table: str, rejects: str):
-        self.sink = sink
+    def __init__(
+        self, spark: SparkSession, root: str, schema: T.StructType, table: str, key: str, merge_every: int = 10
+    ):
         self.schema = schema
         self.table = table
-        self.rejects = rejects.rstrip("/")
+        self.key = key.upper()
+        self.rejects = f"{root.rstrip('/')}/rejects"
+        columns = [name.upper() for name in schema.names if name.upper() != self.key]
+        self.sink = ChangeSink(
+            spark, f"{root.rstrip('/')}/changes", self.key, columns, "_present", merge_every, "_seq", "_operation"
+        )
 
     def write_batch(self, batch: DataFrame, batch_id: int = 0) -> None:
-        marked = typed_records(batch, self.schema, [self.table], self.table, self.sink.key)
-        other_key = F.when(F.col("key_column") != self.sink.key.upper(), F.lit(OTHER_KEY))
+        parsed = parse_records(batch, self.table, self.key)
+        other_key = F.when(F.col("_key_column") != self.key, F.lit(OTHER_KEY))
+        typed = typed_records(parsed, self.schema, [self.table])
         # Kept for the two writes below; what an executor loses of it is parsed again.
-        marked = marked.withColumn(REASON, F.coalesce(REASON, other_key)).persist()
+        typed = typed.withColumn("_reason", F.coalesce("_reason", other_key)).persist()
         try:
-            bad = marked.where(F.col(REASON).isNotNull())
             # A batch that is run again replaces what it set aside before.
-            bad.select("seq", "key_json", "after_json", REASON).write.mode("overwrite").parquet(
-                f"{self.rejects}/batch={batch_id}"
-            )
-            self.sink.write_batch(marked.where(F.col(REASON).isNull()))
+            rejected(typed).write.mode("overwrite").parquet(f"{self.rejects}/batch={batch_id}")
+            self.sink.write_batch(typed.where(F.col("_reason").isNull()))
         finally:
-            marked.unpersist()
+            typed.unpersist()
 
     def writer(self, stream: DataFrame) -> DataStreamWriter:
         return stream.writeStream.foreachBatch(self.write_batch)
+
+    def current(self, target: DataFrame) -> DataFrame:
+        """The target with all changes so far."""
+        upper = target.toDF(*[c.upper() for c in target.columns])
+        return self.sink.current(upper).toDF(*target.columns)

@@ -130,6 +130,18 @@ def test_key_rules(spark, rows):
     ]
 
 
+def test_columns_named_like_record_fields(spark, rows):
+    target = spark.createDataFrame(
+        [(1, 5, "x", "t")], "id int, seq int, operation string, table_name string"
+    )
+    records = [
+        (1, "update", '{"id":1}', '{"seq":6,"operation":"delete"}'),
+        (2, "create", None, '{"id":2,"table_name":"u"}'),
+    ]
+    after, _ = run(spark, target, records)
+    assert rows(after) == [(1, 6, "delete", "t"), (2, None, None, "u")]
+
+
 def test_records_with_different_key_columns(spark, rows):
     """Each run of records with one key column is a step of its own."""
     target = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "id int, code string, age int")

@@ -171,13 +171,11 @@ def test_record_sink_sets_bad_records_aside(spark, tmp_path, target, rows):
         ],
         schema,
     )
-    upper = target.toDF("K", "V")
-    sink = ChangeSink(spark, str(tmp_path / "changes"), "K", ["V"], "present")
-    record_sink = RecordSink(sink, upper.schema, "users", str(tmp_path / "rejects"))
+    sink = RecordSink(spark, str(tmp_path / "sink"), target.schema, "users", "k")
     for _ in range(2):
-        record_sink.write_batch(records, 3)
-    assert rows(sink.current(upper)) == [(1, "new"), (2, "b"), (7, "seven")]
-    rejects = spark.read.parquet(str(tmp_path / "rejects"))
+        sink.write_batch(records, 3)
+    assert rows(sink.current(target)) == [(1, "new"), (2, "b"), (7, "seven")]
+    rejects = spark.read.parquet(sink.rejects)
     assert rows(rejects, "seq", REASON) == [(2, EMPTY_KEY), (3, OTHER_KEY), (4, UNKNOWN_TABLE)]
 
 

@@ -139,9 +139,13 @@ FROM changed WHERE event_type <> 'error' AND k NOT IN (SELECT k FROM target)""")
 def apply_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = apply_target(spark, sf_dir).toDF("K", "VALUE", "PROPS")
     records = json_records(spark, sf_dir).drop("k")
-    feed = sync.land_records(records, target.schema, TABLES, "T_OTHER", "K").where(F.col(REASON).isNull())
-    routed = sync.apply_routed({t: target for t in TABLES}, feed, "K", ["VALUE", "PROPS"], present="present")
-    return routed.select("table_name", *[F.col(c).alias(c.lower()) for c in target.columns])
+    feed = sync.land_records(records, target.schema, TABLES, "T_OTHER", "K").where("_reason IS NULL")
+    routed = sync.apply_routed(
+        {t: target for t in TABLES}, feed, "K", ["VALUE", "PROPS"], "_present", "_table", "_seq", "_operation"
+    )
+    return routed.select(
+        F.col("_table").alias("table_name"), *[F.col(c).alias(c.lower()) for c in target.columns]
+    )
 
 
 @QUERIES.add(PARTIAL_SQL)

@@ -116,9 +116,8 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     feed = _landable(records)
     land(feed, f"{root}/landing")
-    target = apply_target(spark, sf_dir).toDF("K", "VALUE", "PROPS")
-    sink = ChangeSink(spark, f"{root}/changes", "K", ["VALUE", "PROPS"], present="present")
-    record_sink = RecordSink(sink, target.schema, "CUSTOMER", f"{root}/rejects")
+    target = apply_target(spark, sf_dir)
+    sink = RecordSink(spark, f"{root}/sink", target.schema, "CUSTOMER", "k")
     stream = tail(spark, f"{root}/landing", feed.schema, max_files=_batch_files(spark))
-    start(record_sink.writer(stream), f"{root}/checkpoint").awaitTermination()
-    return sink.current(target).toDF("k", "value", "props")
+    start(sink.writer(stream), f"{root}/checkpoint").awaitTermination()
+    return sink.current(target)
