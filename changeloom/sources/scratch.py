@@ -2,26 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# For sessions that were started without a checkpoint folder; it can be set while they run.
+SHARED_DIR = "changeloom.shared.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints.
-
-    Only a local session, in which one machine does everything, may fall back to a temporary
-    folder of that machine.
-    """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    """The folder the cluster names for checkpoints, else the one named in ``SHARED_DIR``."""
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get(SHARED_DIR, None)
+    if not root:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="changeloom-")
+    return root.rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
