@@ -15,3 +15,23 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(s.n, 0)):
        sha256(coalesce(s.kept, '')) AS kept_sha256
 FROM w LEFT JOIN s ON w.doc_id = s.doc_id
 """
+
+JACCARD = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS g FROM (
+    SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * common >= 80 * (x.n + y.n - common)),
+sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, s.b FROM reach r JOIN sym s ON r.other = s.a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = w.doc_id
+"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from changeloom.llm import oracles
 from changeloom.llm.common import table
+from changeloom.llm.jaccard import near_duplicates
 from changeloom.llm.substring import remove_repeats
 from workload.registry import Registry
 
@@ -19,3 +20,9 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select(
         F.col("k").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@QUERIES.add(oracles.JACCARD)
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = near_duplicates(table(spark, sf_dir, "documents"))
+    return result.select(F.col("k").alias("doc_id"), "n_shingles", "component_id")
