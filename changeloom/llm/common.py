@@ -21,6 +21,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+# For comparing words alone: letters A-Z in lower case, ASCII signs as spaces, other bytes unchanged.
+_FOLDED = np.array([b if b > 127 or chr(b).isalnum() else 32 for b in _LOWER], np.uint8)
 _TABLE = np.random.Generator(np.random.PCG64(20240611)).integers(0, 1 << 64, 256, np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 5
 _WORD_BASE = 0xD1342543DE82EF95
@@ -121,9 +123,9 @@ class Words:
     its first one (one more entry at the end).
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, fold: bool = False):
         raw, self.marks = text_bytes(column)
-        self.raw = _LOWER[raw] if lower else raw
+        self.raw = raw = _FOLDED[raw] if fold else _LOWER[raw] if lower else raw
         solid = np.zeros(len(raw) + 2, bool)
         solid[1:-1] = ~_SPACE[raw]
         # A text's first byte begins a word even if the text before it ended with one.

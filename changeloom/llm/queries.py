@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from changeloom.llm import oracles
 from changeloom.llm.common import table
+from changeloom.llm.decontaminate import contaminated_passages
 from changeloom.llm.jaccard import near_duplicates
 from changeloom.llm.substring import remove_repeats
+from changeloom.llm.tokencounts import attribute_tokens
 from workload.registry import Registry
 
 QUERIES = Registry()
+BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 @QUERIES.add(oracles.SUBSTRING)
@@ -26,3 +30,18 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = near_duplicates(table(spark, sf_dir, "documents"))
     return result.select(F.col("k").alias("doc_id"), "n_shingles", "component_id")
+
+
+@QUERIES.add(None)
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = contaminated_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return result.select(
+        F.col("k").alias("doc_id"), F.col("item").alias("item_id"),
+        F.col("start").alias("start_word"), F.col("end").alias("end_word"), "distance",
+    )
+
+
+@QUERIES.add(None)
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = attribute_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, fields=("source", "lang", "text"))
+    return result.select(F.col("k").alias("doc_id"), *result.columns[1:])
