@@ -9,6 +9,7 @@ from changeloom.llm import oracles
 from changeloom.llm.common import table
 from changeloom.llm.decontaminate import contaminated_passages
 from changeloom.llm.jaccard import near_duplicates
+from changeloom.llm.pieces import decode, encode
 from changeloom.llm.substring import remove_repeats
 from changeloom.llm.tokencounts import attribute_tokens
 from workload.registry import Registry
@@ -45,3 +46,12 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = attribute_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, fields=("source", "lang", "text"))
     return result.select(F.col("k").alias("doc_id"), *result.columns[1:])
+
+
+@QUERIES.add(None)
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode(table(spark, sf_dir, "documents"), PIECES, n=3)
+    return decode(encoded, PIECES).select(
+        F.col("k").alias("doc_id"), "rank", "score", F.size("ids").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"), F.sha2("decoded", 256).alias("text_sha256"),
+    )
