@@ -35,3 +35,34 @@ SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = w.doc_id
 """
+
+HOST_RULES = f"""
+WITH w AS (SELECT doc_id, source, coalesce(text, '') AS text, {WORDS} AS words FROM documents),
+t AS (SELECT doc_id, i, array_to_string(words[i:i + 2], ' ') AS g FROM (
+  SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) >= 3)),
+r AS (SELECT doc_id, g FROM t GROUP BY ALL HAVING count(*) > 1),
+c AS (SELECT doc_id, count(DISTINCT j) AS n FROM (
+  SELECT t.doc_id, unnest(range(t.i, t.i + 3)) AS j FROM t JOIN r ON t.doc_id = r.doc_id AND t.g = r.g) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, source, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN c ON w.doc_id = c.doc_id LEFT JOIN l ON w.doc_id = l.doc_id),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             10 * n_symbols > word_chars AS symbols_failed, n_dup_lines > 0 AS lines_failed FROM m),
+h AS (SELECT source, count(*)::DOUBLE AS n, sum(base_failed::INT) AS f1, sum(symbols_failed::INT) AS f2,
+             sum(lines_failed::INT) AS f3 FROM f GROUP BY source),
+u AS (SELECT source, n, unnest([f1, f2, f3]) AS fails, unnest([1, 2, 3]) AS rule FROM h),
+p AS (SELECT rule, sum(fails) / sum(n) AS mean FROM u GROUP BY rule),
+v AS (SELECT u.rule, any_value(mean) AS mean, avg(pow(fails / n - mean, 2)) - avg(mean * (1 - mean) / n) AS spread
+      FROM u JOIN p ON u.rule = p.rule GROUP BY u.rule),
+k AS (SELECT rule, mean, least(greatest(CASE WHEN spread > 0 THEN mean * (1 - mean) / spread - 1 ELSE 1000.0 END, 1.0), 1000.0)
+      AS strength FROM v),
+ok AS (SELECT source, bool_and((fails + strength * mean) / (n + strength) <= 0.5) AS host_ok
+       FROM u JOIN k ON u.rule = k.rule GROUP BY source)
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND host_ok AS kept
+FROM f JOIN ok ON f.source IS NOT DISTINCT FROM ok.source
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from changeloom.llm import oracles
 from changeloom.llm.common import table
 from changeloom.llm.decontaminate import contaminated_passages
+from changeloom.llm.hostrules import judge
 from changeloom.llm.jaccard import near_duplicates
 from changeloom.llm.pieces import decode, encode
 from changeloom.llm.substring import remove_repeats
@@ -55,3 +56,11 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("k").alias("doc_id"), "rank", "score", F.size("ids").alias("n_pieces"),
         F.xxhash64("ids").alias("ids_hash"), F.sha2("decoded", 256).alias("text_sha256"),
     )
+
+
+@QUERIES.add(oracles.HOST_RULES)
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents")).select(
+        F.col("k").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
