@@ -66,3 +66,21 @@ ok AS (SELECT source, bool_and((fails + strength * mean) / (n + strength) <= 0.5
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND host_ok AS kept
 FROM f JOIN ok ON f.source IS NOT DISTINCT FROM ok.source
 """
+
+LINES = f"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS p FROM documents),
+w AS (SELECT doc_id, p, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS words FROM l),
+e AS (SELECT doc_id, p, words, array_to_string(words, ' ') AS own,
+             min({{'d': doc_id, 'p': p}}) OVER (PARTITION BY array_to_string(words, ' ')) AS first FROM w WHERE len(words) > 0),
+n AS (SELECT first AS line, words, own FROM e WHERE first.d = doc_id AND first.p = p AND len(words) >= 8),
+v AS (SELECT line, own AS v, 0 AS i FROM n
+      UNION ALL
+      SELECT line, array_to_string(list_concat(words[:i - 1], words[i + 1:]), ' ') AS v, i FROM (
+        SELECT line, words, unnest(range(1, len(words) + 1)) AS i FROM n)),
+near AS (SELECT DISTINCT a.line FROM v a JOIN v b ON a.v = b.v AND b.line < a.line AND (a.i = b.i OR a.i = 0 OR b.i = 0)),
+gone AS (SELECT doc_id, p FROM e LEFT JOIN near ON e.first = near.line WHERE near.line IS NOT NULL OR first.d <> doc_id OR first.p <> p),
+g AS (SELECT doc_id, count(*) AS n, string_agg(p, ',' ORDER BY p) AS removed FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines,
+       coalesce(g.n, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed_lines
+FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id
+"""

@@ -10,6 +10,7 @@ from changeloom.llm.common import table
 from changeloom.llm.decontaminate import contaminated_passages
 from changeloom.llm.hostrules import judge
 from changeloom.llm.jaccard import near_duplicates
+from changeloom.llm.lines import dedup_lines
 from changeloom.llm.pieces import decode, encode
 from changeloom.llm.substring import remove_repeats
 from changeloom.llm.tokencounts import attribute_tokens
@@ -64,3 +65,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("k").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept",
     )
+
+
+@QUERIES.add(oracles.LINES)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        F.col("k").alias("doc_id"), "n_lines", "n_removed",
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"),
+    )
