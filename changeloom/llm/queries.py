@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.llm import oracles
 from changeloom.llm.common import table
+from changeloom.llm.cotraining import score
 from changeloom.llm.decontaminate import contaminated_passages
 from changeloom.llm.hostrules import judge
 from changeloom.llm.jaccard import near_duplicates
@@ -73,3 +74,14 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("k").alias("doc_id"), "n_lines", "n_removed",
         F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"),
     )
+
+
+def is_good() -> Column:
+    """The verdict of the labels table: good quality and not toxic."""
+    return (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
+
+
+@QUERIES.add(None)
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), is_good(), keep=("doc_id",))
+    return scored.select("row.doc_id", "p_text", "p_metadata", "score", (F.col("score") >= 0.5).alias("kept"))
