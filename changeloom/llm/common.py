@@ -146,6 +146,12 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
 
+def span_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of the words of each span."""
+    sums, inverse = _rolling(words, _WORD_BASE)
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """The hash of the ``n`` words from each place on; the last ``n - 1`` places have none."""
     if len(words) < n:

@@ -4,8 +4,8 @@ Texts are compared word by word: ASCII signs and case are ignored. A document is
 ``n`` words if some passage of it is within ``n * rate`` word edits of the item.
 
 * **Windows.** For each item length the documents' windows of that length are looked at, at every word.
-  A window within the bound has at most that many words which occur in no item; running counts rule
-  out nearly all windows by that, and lose none.
+  A window within the bound has at most that many words which occur in no item of its length;
+  running counts rule out nearly all windows by that, and lose none.
 * **Embedding.** A CGK random walk copies a window to a sequence of up to twice its length, waiting at each
   word or moving on by a coin that the word and the step toss. Walks of two texts with few edits
   between them soon meet again, so edit distance becomes Hamming distance.
@@ -31,21 +31,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import Words, id_and_text, mix, steps
+from changeloom.llm.common import Words, id_and_text, mix, span_hashes, steps
 
 PAD = np.uint64(0)
+# Longer steps than elsewhere: each one has a fixed cost per item length.
+STEP = 4 << 20
 MATCHES = "k long, item long, start int, end int, distance int"
 
 
 class Settings(NamedTuple):
-    rate: float = 0.2
+    rate: float = 0.1
     min_words: int = 8
-    rounds: int = 16
-    samples: int = 2
+    rounds: int = 8
+    samples: int = 4
     block_bytes: int = 8 << 20
 
     def edits(self, n: int) -> int:
-        return int(n * self.rate)
+        return max(1, int(n * self.rate))
 
     def places(self, n: int, turn: int) -> np.ndarray:
         """The sampled steps of a walk; a walk over ``n`` words is mostly over after ``2 n`` steps."""
@@ -55,23 +57,28 @@ class Settings(NamedTuple):
 
 class Index(NamedTuple):
     items: list[tuple[int, np.ndarray]]
+    # By the end of a word's hash: in which classes of item lengths it occurs.
     vocabulary: np.ndarray
+    length_class: dict[int, int]
     by_length: dict[int, tuple[np.ndarray, np.ndarray]]
 
 
 def _signatures(words: np.ndarray, starts: np.ndarray, stops: np.ndarray, n: int, settings: Settings) -> np.ndarray:
     """A row of ``rounds`` signatures for each window; words at or after its stop are padding."""
-    found = np.empty((len(starts), settings.rounds), np.uint64)
+    turns = np.arange(settings.rounds, dtype=np.uint64)[:, None]
+    sampled: dict[int, list[int]] = {}
     for turn in range(settings.rounds):
-        at, name = starts.copy(), np.full(len(starts), mix(np.array([n * 1000 + turn], np.uint64))[0])
-        places = settings.places(n, turn)
-        for step in range(int(places[-1]) + 1):
-            word = np.where(at < stops, words[np.minimum(at, len(words) - 1)], PAD)
-            if step in places:
-                name = mix(name + word)
-            at = at + (mix(word + np.uint64(turn * 65537 + step * 3 + 1)) >> np.uint64(63)).astype(np.int64)
-        found[:, turn] = name
-    return found
+        for place in settings.places(n, turn).tolist():
+            sampled.setdefault(place, []).append(turn)
+    # All rounds walk at once: a row per round.
+    at = np.repeat(starts[None, :], settings.rounds, 0)
+    names = np.repeat(mix(turns + np.uint64(n * 1000)), len(starts), 1)
+    for step in range(max(sampled) + 1):
+        word = np.where(at < stops, words[np.minimum(at, len(words) - 1)], PAD)
+        if step in sampled:
+            names[sampled[step]] = mix(names[sampled[step]] + word[sampled[step]])
+        at += (mix(word + turns * np.uint64(65537) + np.uint64(step * 3 + 1)) >> np.uint64(63)).astype(np.int64)
+    return names.T
 
 
 def build_index(rows: list[tuple[int, str]], settings: Settings) -> Index:
@@ -83,10 +90,12 @@ def build_index(rows: list[tuple[int, str]], settings: Settings) -> Index:
     size = 1 << 12
     while size < 64 * sum(len(words) for _, words in items):
         size *= 2
-    vocabulary, by_length = np.zeros(size, bool), {}
+    lengths = sorted({len(words) for _, words in items})
+    length_class = {n: i * min(64, len(lengths)) // len(lengths) for i, n in enumerate(lengths)}
+    vocabulary, by_length = np.zeros(size, np.uint64), {}
     for _, words in items:
-        vocabulary[(words & np.uint64(size - 1)).astype(np.int64)] = True
-    for n in sorted({len(words) for _, words in items}):
+        vocabulary[(words & np.uint64(size - 1)).astype(np.int64)] |= np.uint64(1 << length_class[len(words)])
+    for n in lengths:
         mine = [i for i, (_, words) in enumerate(items) if len(words) == n]
         joined = np.concatenate([items[i][1] for i in mine])
         starts = np.arange(len(mine)) * n
@@ -94,36 +103,28 @@ def build_index(rows: list[tuple[int, str]], settings: Settings) -> Index:
         owners = np.repeat(np.array(mine), settings.rounds)
         order = np.argsort(names.ravel(), kind="stable")
         by_length[n] = (names.ravel()[order], owners[order])
-    return Index(items, vocabulary, by_length)
-
-
-def _length_groups(lengths: list[int]) -> Iterator[list[int]]:
-    group: list[int] = []
-    for n in lengths:
-        if group and n > group[0] * 5 // 4:
-            yield group
-            group = []
-        group.append(n)
-    if group:
-        yield group
+    return Index(items, vocabulary, length_class, by_length)
 
 
 def _candidates(words: np.ndarray, stops: np.ndarray, index: Index, settings: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
     """``(place, item)`` of windows that share a signature with an item."""
-    known = index.vocabulary[(words & np.uint64(len(index.vocabulary) - 1)).astype(np.int64)]
-    count = np.r_[0, np.cumsum(known)]
-    place, found = np.arange(len(words)), []
-    for group in _length_groups(sorted(index.by_length)):
-        shortest, edits = group[0], settings.edits(group[-1])
-        likely = place[count[np.minimum(place + shortest, stops)] - count[:-1] >= shortest - edits]
-        for n in group:
-            ends = np.minimum(likely + n, stops[likely])
-            mine = count[ends] - count[likely] >= n - settings.edits(n)
-            at, ends = likely[mine], ends[mine]
-            if not len(at):
-                continue
+    classes = index.vocabulary[(words & np.uint64(len(index.vocabulary) - 1)).astype(np.int64)]
+    found, last, count = [], None, np.zeros(0)
+    for n in sorted(index.by_length):
+        if index.length_class[n] != last:
+            last = index.length_class[n]
+            count = np.cumsum((classes >> np.uint64(last)) & np.uint64(1), dtype=np.int32)
+            count = np.r_[np.int32(0), count, np.full(max(index.by_length), count[-1], np.int32)]
+        least = n - settings.edits(n)
+        at = np.flatnonzero(count[n : n + len(words)] - count[: len(words)] >= least)
+        ends = np.minimum(at + n, stops[at])
+        mine = count[ends] - count[at] >= least
+        at, ends = at[mine], ends[mine]
+        if len(at):
             names, owners = index.by_length[n]
-            signatures = _signatures(words, at, ends, n, settings).ravel()
+            # Repeated lines make windows that are equal; one walk serves them all.
+            _, one, same = np.unique(span_hashes(words, at, ends), return_index=True, return_inverse=True)
+            signatures = _signatures(words, at[one], ends[one], n, settings)[same].ravel()
             left, right = np.searchsorted(names, signatures, "left"), np.searchsorted(names, signatures, "right")
             hits = np.flatnonzero(right > left)
             width = right[hits] - left[hits]
@@ -158,6 +159,7 @@ def _found(column: pa.Array, index: Index, settings: Settings) -> Iterator[tuple
         return
     words, owner = text.hashes(), text.owners()
     pairs = _candidates(words, text.first[1:][owner], index, settings)
+    pairs = [p for p in pairs if len(p[0])]
     if not pairs:
         return
     place, item = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
@@ -178,7 +180,7 @@ def _found(column: pa.Array, index: Index, settings: Settings) -> Iterator[tuple
 
 
 def _matches(batches: Iterator[pa.RecordBatch], index: Index, settings: Settings) -> Iterator[pa.RecordBatch]:
-    for step in steps(batches):
+    for step in steps(batches, limit=STEP):
         found = list(_found(step.column("t"), index, settings))
         if not found:
             continue
@@ -190,7 +192,7 @@ def _matches(batches: Iterator[pa.RecordBatch], index: Index, settings: Settings
 
 
 def _clean(batches: Iterator[pa.RecordBatch], text: str, index: Index, settings: Settings) -> Iterator[pa.RecordBatch]:
-    for step in steps(batches, text):
+    for step in steps(batches, text, STEP):
         bad = np.zeros(step.num_rows, bool)
         bad[[row for row, *_ in _found(step.column(text), index, settings)]] = True
         yield step.filter(pa.array(~bad))

@@ -12,6 +12,9 @@ threshold. Then they differ in few shingles: at most ``t * (1 - s) / s``, with `
   fewer ("thin" sets) also index the one-deletion neighbourhood of their segments, which finds segments with one
   difference and so counts twice; if even that is not enough, they index their empty segments too. A pair
   can only be missed by the plain rule if both sets are thin, and then both follow the other one.
+  Filled segments beyond those needed are a set's budget: it may skip as many signatures that prove hot
+  (held by more than ``HOT`` classes, such as parts of a passage in many documents). Sets with more hot
+  signatures than that keep them all, and meet the other such sets there.
 * **Candidates.** Signatures are dealt to groups. In a group the least class of each signature is paired with
   the others of that signature: a star, never all pairs.
 * **Exact verification.** First one edge per class is verified, then components are formed, then what could
@@ -45,6 +48,8 @@ from changeloom.llm.common import (
 from changeloom.llm.components import components
 
 LARGEST = 1 << 31
+# A signature of more classes than this is hot.
+HOT = 32
 
 
 class Rule(NamedTuple):
@@ -62,8 +67,8 @@ class Rule(NamedTuple):
         while low < LARGEST:
             high = max(low + 1, low * 3 // 2)
             most = self.differences(high - 1)
-            # A few segments above what the pigeonhole asks for keep thin sets rare.
-            found.append((low, high, 1 if not most else most + 3 + most // 12))
+            # Segments above what the pigeonhole asks for keep thin sets rare and pay for hot ones.
+            found.append((low, high, 1 if not most else most + 3 + most // 4))
             low = high
         return found
 
@@ -123,8 +128,8 @@ def _sketches(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
         )
 
 
-def _signatures(grams: np.ndarray, owner: np.ndarray, sizes: np.ndarray, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """``(signature, owner)`` arrays, band by band."""
+def _signatures(grams: np.ndarray, owner: np.ndarray, sizes: np.ndarray, rule: Rule) -> Iterator[tuple]:
+    """``(signature, owner, tag, budget)`` arrays, band by band."""
     for tag, (low, high, segments) in enumerate(rule.bands()):
         smallest_partner = -(-sizes * rule.percent // 100)
         member = (sizes >= low) & (smallest_partner < high)
@@ -143,24 +148,26 @@ def _signatures(grams: np.ndarray, owner: np.ndarray, sizes: np.ndarray, rule: R
         weight = mix(values + np.uint64(0x2545F491 + tag))
         np.add.at(content, place, weight)
         filled = np.bincount(place, minlength=len(content))
-        name = mix(np.arange(segments, dtype=np.uint64) + np.uint64(tag << 40))
-        names = np.tile(name, len(chosen))
-        at = np.flatnonzero(filled)
-        yield mix(content[at] + names[at]), chosen[at // segments]
-
+        names = np.tile(mix(np.arange(segments, dtype=np.uint64) + np.uint64(tag << 40)), len(chosen))
         table = filled.reshape(len(chosen), segments)
         allowed = rule.differences(np.minimum(sizes[chosen], high - 1))
-        thin = (table > 0).sum(1) <= allowed
+        budget = (table > 0).sum(1) - allowed - 1
+
+        at = np.flatnonzero(filled)
+        parts = [(mix(content[at] + names[at]), at // segments)]
+        thin = budget < 0
         if thin.any():
-            several = thin[row] & (filled[place] > 1)
-            spots = place[several]
-            yield mix(content[spots] - weight[several] + names[spots]), chosen[spots // segments]
+            spots = place[several := thin[row] & (filled[place] > 1)]
+            parts.append((mix(content[spots] - weight[several] + names[spots]), spots // segments))
             very = thin & ((table > 0).sum(1) + (table > 1).sum(1) <= allowed)
             empty = np.flatnonzero((table == 0) & very[:, None])
-            yield mix(names[empty]), chosen[empty // segments]
+            parts.append((mix(names[empty]), empty // segments))
+        of = np.concatenate([p[1] for p in parts])
+        yield np.concatenate([p[0] for p in parts]), chosen[of], np.full(len(of), tag, np.int16), budget[of].astype(np.int32)
 
 
-_INDEX = "g int, c binary, count binary, signature binary"
+_RECORDS = {"c": np.int64, "tag": np.int16, "budget": np.int32, "count": np.int32}
+_INDEX = "g int, signature binary, " + ", ".join(f"{name} binary" for name in _RECORDS)
 
 
 def _index(batches: Iterator[pa.RecordBatch], rule: Rule, groups: int) -> Iterator[pa.RecordBatch]:
@@ -174,51 +181,85 @@ def _index(batches: Iterator[pa.RecordBatch], rule: Rule, groups: int) -> Iterat
         parts = list(_signatures(grams[kept], owner[kept], np.where(first, sizes, 0), rule))
         if not parts:
             continue
-        signature, of = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        group = ((signature >> np.uint64(40)) % np.uint64(groups)).astype(np.uint32)
-        order = np.lexsort((of, group))
-        signature, of, group = signature[order], of[order], group[order]
-        heads = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (of[1:] != of[:-1])])
-        counts = np.diff(np.r_[heads, len(of)]).astype(np.int32)
+        signature, of, tag, budget = (np.concatenate(column) for column in zip(*parts, strict=True))
+        group = ((signature >> np.uint64(40)) % np.uint64(groups)).astype(np.int64)
+        # A record is a set in a band; its signatures of a group follow each other.
+        order = np.argsort((group * len(sizes) + of) * 64 + tag)
+        signature, of, tag, budget, group = (x[order] for x in (signature, of, tag, budget, group))
+        heads = np.flatnonzero(np.r_[True, (np.diff(group) != 0) | (np.diff(of) != 0) | (np.diff(tag) != 0)])
+        values = {"c": classes[of[heads]], "tag": tag[heads], "budget": budget[heads], "count": np.diff(np.r_[heads, len(of)])}
         # Five bytes of a signature tell candidates well enough; all of them are verified.
         low = signature.view(np.uint8).reshape(-1, 8)[:, :5]
-        edges = np.flatnonzero(np.r_[True, group[heads][1:] != group[heads][:-1]])
-        rows = []
-        for a, b in zip(edges, np.r_[edges[1:], len(heads)], strict=True):
-            span = slice(heads[a], heads[b] if b < len(heads) else len(of))
-            rows.append((int(group[heads[a]]), classes[of[heads[a:b]]].tobytes(), counts[a:b].tobytes(), low[span].tobytes()))
-        columns = list(zip(*rows, strict=True))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-            names=["g", "c", "count", "signature"],
-        )
+        begins = np.flatnonzero(np.r_[True, np.diff(group[heads]) != 0])
+        columns: dict[str, list] = {name: [] for name in ["g", "signature", *_RECORDS]}
+        for a, b in zip(begins, np.r_[begins[1:], len(heads)], strict=True):
+            columns["g"].append(int(group[heads[a]]))
+            columns["signature"].append(low[heads[a] : heads[b] if b < len(heads) else len(of)].tobytes())
+            for name, kind in _RECORDS.items():
+                columns[name].append(values[name][a:b].astype(kind).tobytes())
+        kinds = [pa.int32()] + [pa.binary()] * (len(columns) - 1)
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns.values(), kinds, strict=True)], names=list(columns))
+
+
+def _rows(**columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    size = len(next(iter(columns.values())))
+    for i in range(0, size, 1 << 16):
+        arrays = [pa.array(c[i : i + (1 << 16)].astype(np.int64)) for c in columns.values()]
+        yield pa.RecordBatch.from_arrays(arrays, names=list(columns))
+
+
+_FOUND = "hot long, a long, b long, times long, tag long, budget long"
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[list[bytes]] = [[], [], []]
+    """Stars ``(a, b, times)`` of the signatures of a group; of hot ones ``(a = class, b = signature)``."""
+    held: dict[str, list[bytes]] = {name: [] for name in ["signature", *_RECORDS]}
     for batch in batches:
-        for i, name in enumerate(["c", "count", "signature"]):
-            held[i] += batch.column(name).to_pylist()
-    classes = np.frombuffer(b"".join(held[0]), np.int64)
-    if not len(classes):
+        for name, into in held.items():
+            into += batch.column(name).to_pylist()
+    wide = np.frombuffer(b"".join(held.pop("signature")), np.uint8).reshape(-1, 5)
+    if not len(wide):
         return
-    of = np.repeat(np.arange(len(classes), dtype=np.int32), np.frombuffer(b"".join(held[1]), np.int32))
-    wide = np.zeros((len(of), 8), np.uint8)
-    wide[:, :5] = np.frombuffer(b"".join(held[2]), np.uint8).reshape(-1, 5)
+    record = {name: np.frombuffer(b"".join(held[name]), kind) for name, kind in _RECORDS.items()}
     del held
-    signature = wide.view(np.uint64)[:, 0]
+    of = np.repeat(np.arange(len(record["c"]), dtype=np.int32), record["count"])
+    signature = np.zeros((len(wide), 8), np.uint8)
+    signature[:, :5] = wide
+    signature = signature.view(np.uint64)[:, 0]
+    # Only signatures that occur again matter.
     order = np.argsort(signature)
-    signature, member = signature[order], classes[of[order]]
+    again = signature[order][1:] == signature[order][:-1]
+    order = order[np.r_[again, False] | np.r_[False, again]]
+    order = order[np.lexsort((record["c"][of[order]], signature[order]))]
+    signature, of = signature[order], of[order]
+    member = record["c"][of]
+    new = np.r_[True, (signature[1:] != signature[:-1]) | (member[1:] != member[:-1])][: len(member)]
+    signature, of, member = signature[new], of[new], member[new]
+    if not len(member):
+        return
     heads = np.flatnonzero(np.r_[True, signature[1:] != signature[:-1]])
-    centre = np.repeat(np.minimum.reduceat(member, heads), np.diff(np.r_[heads, len(member)]))
-    other = centre != member
-    a, b = centre[other], member[other]
+    held_by = np.diff(np.r_[heads, len(member)])
+    centre, width = np.repeat(member[heads], held_by), np.repeat(held_by, held_by)
+    star = (width <= HOT) & (centre != member)
+    a, b = centre[star], member[star]
     _, at, times = np.unique(mix(a.view(np.uint64)) + b.view(np.uint64), return_index=True, return_counts=True)
-    for i in range(0, len(at), 1 << 16):
-        part = at[i : i + (1 << 16)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(a[part]), pa.array(b[part]), pa.array(times[i : i + (1 << 16)].astype(np.int64))], names=["a", "b", "times"]
-        )
+    none = np.zeros(len(at), np.int64)
+    yield from _rows(hot=none, a=a[at], b=b[at], times=times, tag=none, budget=none)
+    hot = np.flatnonzero(width > HOT)
+    # The name of a signature in all groups; groups themselves are told apart by one of its classes.
+    name = mix(signature[hot] + mix(centre[hot].view(np.uint64))).view(np.int64)
+    one = np.ones(len(hot), np.int64)
+    yield from _rows(hot=one, a=member[hot], b=name, times=one, tag=record["tag"][of[hot]], budget=record["budget"][of[hot]])
+
+
+def _hot_stars(found: DataFrame) -> DataFrame:
+    """Stars of the hot signatures among the sets that cannot afford to skip theirs."""
+    hot = found.where("hot = 1").select(F.col("a").alias("c"), F.col("b").alias("signature"), "tag", "budget")
+    over = hot.groupBy("c", "tag").agg(F.count("*").alias("n"), F.max("budget").alias("budget")).where("n > budget")
+    kept = stored(hot.join(over.select("c", "tag"), ["c", "tag"]).select("c", "signature"), "hot")
+    centres = kept.groupBy("signature").agg(F.min("c").alias("a"))
+    stars = kept.join(centres, "signature").where("a <> c")
+    return stars.groupBy("a", F.col("c").alias("b")).agg(F.count("*").alias("times"))
 
 
 def _alike(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
@@ -285,8 +326,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     classes = stored(filled.groupBy("c").agg(F.min("k").alias("k"), F.max("n").alias("n"), F.max("bits").alias("bits")), "classes")
 
     index = source.where("k IS NOT NULL").mapInArrow(partial(_index, rule=rule, groups=groups), _INDEX)
-    stars = index.repartitionById(groups, "g").mapInArrow(_stars, "a long, b long, times long")
-    stars = stored(stars.groupBy("a", "b").agg(F.sum("times").alias("times")), "stars")
+    found = stored(index.repartitionById(groups, "g").mapInArrow(_stars, _FOUND), "found")
+    plain = found.where("hot = 0").select("a", "b", "times").union(_hot_stars(found))
+    stars = stored(plain.groupBy("a", "b").agg(F.sum("times").alias("times")), "stars")
     nodes = stars.select(F.col("a").alias("c")).union(stars.select(F.col("b").alias("c"))).distinct()
     places = nodes.join(classes, "c").select("c", "k")
     texts = source.join(places.hint("shuffle_hash"), "k").select("c", "t")

@@ -12,6 +12,7 @@ from changeloom.llm.decontaminate import contaminated_passages
 from changeloom.llm.hostrules import judge
 from changeloom.llm.jaccard import near_duplicates
 from changeloom.llm.lines import dedup_lines
+from changeloom.llm.pii import as_text, personal_spans
 from changeloom.llm.pieces import decode, encode
 from changeloom.llm.substring import remove_repeats
 from changeloom.llm.tokencounts import attribute_tokens
@@ -85,3 +86,11 @@ def is_good() -> Column:
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), is_good(), keep=("doc_id",))
     return scored.select("row.doc_id", "p_text", "p_metadata", "score", (F.col("score") >= 0.5).alias("kept"))
+
+
+@QUERIES.add(None)
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_spans(table(spark, sf_dir, "documents")).select(
+        F.col("k").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(as_text(F.col("base")), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"),
+    )
