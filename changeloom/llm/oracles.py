@@ -84,3 +84,24 @@ SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_line
        coalesce(g.n, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed_lines
 FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id
 """
+
+PREFERENCES = """
+WITH t AS (SELECT conv_id, turn, min({'role': coalesce(role, ''), 'text': coalesce(text, '')}) AS c
+           FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+a AS (SELECT coalesce(x.p, y.p) AS pair_id, coalesce(x.turn, y.turn) AS turn, x.c AS chosen, y.c AS rejected
+      FROM (SELECT conv_id // 2 AS p, turn, c FROM t WHERE conv_id % 2 = 0) x
+      FULL JOIN (SELECT conv_id // 2 AS p, turn, c FROM t WHERE conv_id % 2 = 1) y ON x.p = y.p AND x.turn = y.turn),
+s AS (SELECT pair_id, min(turn) FILTER (WHERE chosen IS DISTINCT FROM rejected) AS split FROM a GROUP BY pair_id),
+b AS (SELECT a.*, split IS NULL OR turn < split AS shared FROM a JOIN s ON a.pair_id = s.pair_id),
+p AS (SELECT pair_id, turn, 'prompt' AS part, chosen AS c FROM b WHERE shared
+      UNION ALL SELECT pair_id, turn, 'chosen', chosen FROM b WHERE NOT shared AND chosen IS NOT NULL
+      UNION ALL SELECT pair_id, turn, 'rejected', rejected FROM b WHERE NOT shared AND rejected IS NOT NULL),
+r AS (SELECT pair_id, part, turn, c.role AS role, '<|' || replace(c.role, '<|', '< |') || '|>' || chr(10) AS head,
+             replace(c.text, '<|', '< |') || chr(10) AS body FROM p),
+o AS (SELECT *, sum(length(head || body)) OVER (PARTITION BY pair_id, part ORDER BY turn) AS e FROM r)
+SELECT pair_id, part, turn, role, sha256(head || body) AS segment_sha256, (e - length(head || body))::BIGINT AS "start",
+       e::BIGINT AS "end",
+       (CASE WHEN part <> 'prompt' AND role = 'assistant' THEN e - length(body) ELSE e - 1 END)::BIGINT AS loss_start,
+       (e - 1)::BIGINT AS loss_end
+FROM o
+"""

@@ -261,7 +261,11 @@ def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     joined = rows.join(found, rows["k"].eqNullSafe(found["k2"]) & (rows["h"] == found["h2"]), "left")
     empty = F.array().cast(per_text.schema["spans"].dataType)
     joined = joined.select("k", F.coalesce("spans", empty).alias("spans"))
-    counts = [F.size(F.filter("spans", lambda x, kind=kind: x["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+
+    def count_of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count_of(kind) for kind in KINDS]
     base_spans = F.filter("spans", lambda x: x["rank"] <= len(KINDS)).alias("base")
     return joined.select("k", *counts, base_spans, "spans")
 

@@ -14,6 +14,7 @@ from changeloom.llm.jaccard import near_duplicates
 from changeloom.llm.lines import dedup_lines
 from changeloom.llm.pii import as_text, personal_spans
 from changeloom.llm.pieces import decode, encode
+from changeloom.llm.preferences import format_preferences, neighbouring_pairs
 from changeloom.llm.substring import remove_repeats
 from changeloom.llm.tokencounts import attribute_tokens
 from workload.registry import Registry
@@ -94,3 +95,12 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("k").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
         F.sha2(as_text(F.col("base")), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"),
     )
+
+
+@QUERIES.add(oracles.PREFERENCES)
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return format_preferences(turns, neighbouring_pairs(turns)).select(
+        "pair_id", "part", "turn", "role", F.sha2("segment", 256).alias("segment_sha256"),
+        "start", "end", "loss_start", "loss_end",
+    )
