@@ -17,11 +17,14 @@ from changeloom.llm.pieces import decode, encode
 from changeloom.llm.preferences import format_preferences, neighbouring_pairs
 from changeloom.llm.substring import remove_repeats
 from changeloom.llm.tokencounts import attribute_tokens
-from workload.registry import Registry
+from workload.registry import Query, Registry
+
+import corpus_pipeline
 
 QUERIES = Registry()
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+QUERIES["pipeline"] = Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
 
 
 @QUERIES.add(oracles.SUBSTRING)
