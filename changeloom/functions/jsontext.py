@@ -23,14 +23,18 @@ def parse_object(text: Column) -> Column:
 
     JSON ``null`` counts as an object without members. The text is parsed as the first of two list
     elements: a parser that is given the bare text stops at the end of the object and does not see
-    what follows it.
+    what follows it. The second element has the text's own hash as a name, which no text that closes
+    the list itself can know.
     """
-    listed = F.concat(F.lit("["), text, F.lit(",{}]"))
+    mark = F.xxhash64(text).cast("string")
+    listed = F.concat(F.lit("["), text, F.lit(',{"'), mark, F.lit('":0}]'))
     empty = F.from_json(F.lit("{}"), OBJECT)
-    return bound(
-        F.from_json(listed, f"array<{OBJECT}>", _STRICT),
-        lambda elements: F.when(F.size(elements) == 2, F.coalesce(elements[0], empty)),
-    )
+
+    def first(elements: Column) -> Column:
+        whole = (F.size(elements) == 2) & F.coalesce(F.map_contains_key(F.get(elements, F.lit(1)), mark), F.lit(False))
+        return F.when(whole, F.coalesce(F.get(elements, F.lit(0)), empty))
+
+    return bound(F.from_json(listed, f"array<{OBJECT}>", _STRICT), first)
 
 
 def object_names(parsed: Column) -> Column:
@@ -69,26 +73,25 @@ def list_to_json(value: Column) -> Column:
     return escape_json(F.to_json(value, {"ignoreNullFields": "false"}))
 
 
-def map_to_json(value: Column) -> Column:
-    """A map as JSON text with its keys in order."""
-    ordered = F.map_from_entries(F.array_sort(F.map_entries(value)))
-    return list_to_json(ordered)
-
-
-def struct_to_json(value: Column, fields: list[str]) -> Column:
-    """A struct as JSON text with its fields in name order."""
-    ordered = F.struct(*[value[name].alias(name) for name in sorted(fields)])
-    return F.when(value.isNotNull(), list_to_json(ordered))
-
-
-def nested_to_json(value: Column, data_type: T.DataType) -> Column:
-    """Maps, structs and lists become JSON text; every other type passes unchanged."""
+def sorted_names(value: Column, data_type: T.DataType) -> Column:
+    """The value with map keys and struct fields in order, at every level."""
     if isinstance(data_type, T.MapType):
-        return map_to_json(value)
+        keys = F.array_sort(F.map_keys(value))
+        entry = lambda k: F.struct(k.alias("key"), sorted_names(value[k], data_type.valueType).alias("value"))
+        return F.map_from_entries(F.transform(keys, entry))
     if isinstance(data_type, T.StructType):
-        return struct_to_json(value, data_type.names)
+        fields = sorted(data_type, key=lambda field: field.name)
+        ordered = F.struct(*[sorted_names(value[f.name], f.dataType).alias(f.name) for f in fields])
+        return F.when(value.isNotNull(), ordered)
     if isinstance(data_type, T.ArrayType):
-        return list_to_json(value)
+        return F.transform(value, lambda element: sorted_names(element, data_type.elementType))
+    return value
+
+
+def nested_to_json(value: Column, data_type: T.DataType) -> Column:
+    """Maps, structs and lists become JSON text, names in order; every other type passes unchanged."""
+    if isinstance(data_type, (T.MapType, T.StructType, T.ArrayType)):
+        return list_to_json(sorted_names(value, data_type))
     if isinstance(data_type, T.VariantType):
         return escape_json(F.to_json(value))
     return value

@@ -1,6 +1,6 @@
 """Applying a change feed to a keyed target table.
 
-A feed row has an order (``seq``), an operation, the key, the target columns and, for partial
+A feed row has an order (``seq``, of any type that can be ordered), an operation, the key, the target columns and, for partial
 images, the list of columns that were sent. Records are meant to take effect one after the other
 in ``seq`` order. That outcome is found with one aggregate per key instead of a row loop:
 
@@ -22,12 +22,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.names import require_columns
+from changeloom.names import Split, require_columns, split_on
 
 DELETE = "delete"
 LAST_DELETE = "_last_delete"
 LAST_UPSERT = "_last_upsert"
-BEFORE_ALL = -2
 
 
 def value_name(column: str) -> str:
@@ -42,6 +41,19 @@ def _as_list(key: str | list[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def order_of(seq: str | list[str]) -> Column:
+    """The order of a row; of several columns the first counts most."""
+    return F.col(seq) if isinstance(seq, str) else F.struct(*seq)
+
+
+def split_unordered(feed: DataFrame, seq: str | list[str] = "seq") -> Split:
+    """The rows that have an order, and those in which a part of it is NULL."""
+    missing = F.lit(False)
+    for part in _as_list(seq):
+        missing = missing | F.col(part).isNull()
+    return split_on(feed, F.when(missing, F.lit("order is missing")))
+
+
 def _deletes(operation: str) -> Column:
     return F.coalesce(F.col(operation) == DELETE, F.lit(False))
 
@@ -58,16 +70,18 @@ def summarise(
     key: str | list[str],
     columns: list[str],
     present: str | None = None,
-    seq: str = "seq",
+    seq: str | list[str] = "seq",
     operation: str = "operation",
+    extra: tuple[Column, ...] = (),
 ) -> DataFrame:
     """One row per key: last delete, last upsert, and each column's last value with its ``seq``.
 
-    Every operation but ``delete`` is an upsert. Rows with a NULL key must be left out before.
+    Every operation but ``delete`` is an upsert. Rows with a NULL key or without an order (see
+    ``split_unordered``) must be left out before. ``extra`` are further aggregates.
     """
     keys = _as_list(key)
-    require_columns(feed, [*keys, *columns, seq, operation], "feed column")
-    order = F.col(seq)
+    require_columns(feed, [*keys, *columns, *_as_list(seq), operation], "feed column")
+    order = order_of(seq)
     is_delete = _deletes(operation)
     deleted = F.max(F.when(is_delete, order)).alias(LAST_DELETE)
     upserted = F.max(F.when(~is_delete, order)).alias(LAST_UPSERT)
@@ -75,7 +89,7 @@ def summarise(
     if present is None:
         # Full images: all columns are set together, so one comparison serves them all.
         image = F.max_by(F.struct(*columns), F.when(~is_delete, order)).alias("_image")
-        summary = feed.groupBy(*keys).agg(deleted, upserted, image)
+        summary = feed.groupBy(*keys).agg(deleted, upserted, image, *extra)
         parts = [
             part
             for c in columns
@@ -84,26 +98,32 @@ def summarise(
                 F.col(LAST_UPSERT).alias(set_name(c)),
             )
         ]
-        return summary.select(*keys, LAST_DELETE, LAST_UPSERT, *parts)
+        names = summary.columns[len(keys) + 3 :]
+        return summary.select(*keys, LAST_DELETE, LAST_UPSERT, *parts, *names)
 
     parts = []
     for c in columns:
         # A NULL order takes no part in max_by or max; a NULL value with an order does.
         when_set = F.when(~is_delete & _sent(c, present), order)
         parts += [F.max_by(c, when_set).alias(value_name(c)), F.max(when_set).alias(set_name(c))]
-    return feed.groupBy(*keys).agg(deleted, upserted, *parts)
+    return feed.groupBy(*keys).agg(deleted, upserted, *parts, *extra)
+
+
+def _after_delete(order: str) -> Column:
+    """No order is taken for a smallest one: a key that was never deleted has NULL there."""
+    return F.col(LAST_DELETE).isNull() | (F.col(order) > F.col(LAST_DELETE))
 
 
 def is_live() -> Column:
     """True for a summary row whose key exists after the feed because of an upsert in it."""
-    last_delete = F.coalesce(F.col(LAST_DELETE), F.lit(BEFORE_ALL))
-    return F.coalesce(F.col(LAST_UPSERT) > last_delete, F.lit(False))
+    return F.col(LAST_UPSERT).isNotNull() & _after_delete(LAST_UPSERT)
 
 
 def live_value(column: str) -> Column:
     """The column's last value if it was sent after the last delete, else NULL."""
-    last_delete = F.coalesce(F.col(LAST_DELETE), F.lit(BEFORE_ALL))
-    return F.when(F.col(set_name(column)) > last_delete, F.col(value_name(column)))
+    return F.when(
+        F.col(set_name(column)).isNotNull() & _after_delete(set_name(column)), F.col(value_name(column))
+    )
 
 
 def insert_columns(
@@ -144,10 +164,11 @@ def apply_summary(
     get their entry of ``defaults`` or NULL.
 
     Ask for ``broadcast_summary`` only after measuring the summary: then the target is not shuffled
-    at all. Say ``unique_target`` when no two target rows share a key: a bucketed target is then
-    joined where it lies. Otherwise a key may hold a large part of the target. Adaptive execution
-    splits such a partition, but only if both sides come straight from a shuffle; the null-safe
-    comparison asks for one of the summary, whose own is by the bare key.
+    at all. Say ``unique_target`` when no two target rows share a key: target and summary then meet in
+    one full outer join, which reads the target once, and a bucketed one where it lies. Otherwise a
+    key may hold a large part of the target. Adaptive execution splits such a partition, but only if
+    both sides come straight from a shuffle; the null-safe comparison asks for one of the summary,
+    whose own is by the bare key.
     """
     keys = _as_list(key)
     require_columns(target, [*keys, *columns], "target column")
@@ -158,23 +179,32 @@ def apply_summary(
         return [left[k] == F.col(f"_key_{k}") for k in keys]
 
     def target_key() -> list[Column]:
-        if unique_target or broadcast_summary:
+        if broadcast_summary:
             return same_key(target)
         return [target[k].eqNullSafe(F.col(f"_key_{k}")) for k in keys]
 
+    # A set column implies an upsert. Asking for both makes this branch read the same summary columns
+    # as the inserts below, so that both are fed by one shuffle of the feed.
     def updated(c: str) -> Column:
         if c in keys or c not in columns:
             return target[c]
-        return F.when(F.col(set_name(c)).isNotNull(), F.col(value_name(c))).otherwise(target[c]).alias(c)
+        is_set = F.col(LAST_UPSERT).isNotNull() & F.col(set_name(c)).isNotNull()
+        return F.when(is_set, F.col(value_name(c))).otherwise(target[c]).alias(c)
+
+    if unique_target and not broadcast_summary:
+        fresh_row = insert_columns(
+            target, lambda k: F.col(f"_key_{k}"), keys, live_value, columns, defaults
+        )
+        held_row = F.struct(*[updated(c).alias(c) for c in target.columns])
+        marked = target.withColumn("_held", F.lit(True))
+        stays = F.col("_held").isNotNull() & F.col(LAST_DELETE).isNull()
+        row = F.when(stays, held_row).when(F.coalesce(is_live(), F.lit(False)), F.struct(*fresh_row))
+        joined = marked.join(renamed, [marked[k] == F.col(f"_key_{k}") for k in keys], "full")
+        return joined.select(row.alias("_row")).where(F.col("_row").isNotNull()).select("_row.*")
 
-    # The second condition always holds. It makes this branch read the same summary columns as the
-    # inserts below, so that both are fed by one shuffle of the feed.
-    untouched_or_updated = F.col(LAST_DELETE).isNull() & (
-        F.coalesce(F.col(LAST_UPSERT), F.lit(BEFORE_ALL)) >= BEFORE_ALL
-    )
     kept = (
         target.join(joined_side, target_key(), "left")
-        .where(untouched_or_updated)
+        .where(F.col(LAST_DELETE).isNull())
         .select(*[updated(c) for c in target.columns])
     )
 
@@ -229,7 +259,7 @@ def apply_changes(
     key: str | list[str],
     columns: list[str] | None = None,
     present: str | None = None,
-    seq: str = "seq",
+    seq: str | list[str] = "seq",
     operation: str = "operation",
     defaults: dict[str, Column] | None = None,
     broadcast_summary: bool = False,
@@ -239,9 +269,10 @@ def apply_changes(
 
     An upsert that sends no column but the key inserts the row if it is absent. A change of the
     key itself arrives as an upsert of the new key: the feed holds no image of the old one, so
-    the old row stays.
+    the old row stays. Rows without an order change nothing (see ``split_unordered``).
     """
     keys = _as_list(key)
+    feed = split_unordered(feed, seq).good
     if columns is None:
         columns = [c for c in target.columns if c not in keys]
     keyed = feed.where(~without_key(feed, keys))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changeloom.functions.binding import evaluate_once
 from changeloom.names import (
     CREATED_AT,
     METADATA_TABLE,
     MODE_CDC,
     MODE_SNAPSHOT,
     OPERATION_TYPE,
-    REASON,
     SNAPSHOT_SEQ,
     TRACKED_OPERATIONS,
     TRACKING_ID,
@@ -134,40 +134,44 @@ def position_to_json(
     return F.when(mode.isNotNull(), F.to_json(struct, {"ignoreNullFields": "false"}))
 
 
-def position_from_json(text: Column, value_type: str = "bigint") -> Column:
-    """The position written in ``text``: NULL for NULL, an error for text that is no position."""
-    schema = (
+def _position_schema(value_type: str) -> str:
+    return (
         f"mode string, last_processed_val {value_type}, tracking_table string, "
         "trigger string, snapshot_table string"
     )
-    parsed = F.from_json(text, schema, {"mode": "FAILFAST"})
+
+
+def position_from_json(text: Column, value_type: str = "bigint") -> Column:
+    """The position written in ``text``: NULL for NULL, an error for text that is no position."""
+    parsed = F.from_json(text, _position_schema(value_type), {"mode": "FAILFAST"})
     return F.when(text.isNotNull(), parsed)
 
 
 def split_positions(df: DataFrame, column: str, value_type: str = "bigint") -> Split:
-    """Like ``position_from_json`` for a column in which bad text is set aside, not fatal."""
-    is_object = F.json_object_keys(F.col(column)).isNotNull() | F.col(column).isNull()
-    good, rejects = split_on(df, F.when(~is_object, F.lit("position is not a JSON object")))
-    return Split(good.withColumn(column, position_from_json(F.col(column), value_type)), rejects)
+    """Like ``position_from_json`` for a column in which bad text is set aside, not fatal.
 
-
-def resume_positions(records: DataFrame) -> DataFrame:
-    """Per reading mode the last value processed: where a restarted reader goes on."""
-    return records.groupBy(F.col("position.mode").alias("mode")).agg(
-        F.max("position.last_processed_val").alias("last_processed_val")
+    Bad is what is no JSON object, is cut off, or has a field of another type.
+    """
+    text = F.col(column)
+    schema = _position_schema(value_type) + ", _corrupt string"
+    parsed = evaluate_once(
+        df, {"_parsed": F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})}
     )
+    is_object = F.coalesce(text.rlike("^\\s*\\{"), F.lit(True))
+    whole = is_object & F.col("_parsed._corrupt").isNull()
+    good, rejects = split_on(parsed, F.when(~whole, F.lit("position is not a JSON object of its type")))
+    fields = F.struct(*[F.col(f"_parsed.{name}").alias(name) for name in POSITION_FIELDS])
+    return Split(good.withColumn(column, F.when(text.isNotNull(), fields)).drop("_parsed"), rejects.drop("_parsed"))
 
 
-__all__ = [
-    "REASON",
-    "cdc_records",
-    "key_columns",
-    "key_struct",
-    "payload_columns",
-    "position_from_json",
-    "position_to_json",
-    "resume_positions",
-    "snapshot_records",
-    "split_operations",
-    "split_positions",
-]
+def resume_positions(records: DataFrame) -> DataFrame:
+    """Per reading mode the last value processed: where a restarted reader goes on.
+
+    Positions of both kinds are compared as what they are (see ``snapshot_then_cdc``); where one is
+    a number and the other is not, the result has them as text.
+    """
+    mode = F.col("position.mode").alias("mode")
+    last = F.max("position.last_processed_val")
+    if "tracking_val" in records.schema["position"].dataType.names:
+        last = F.coalesce(F.max("position.tracking_val").cast("string"), F.max("position.snapshot_val").cast("string"))
+    return records.groupBy(mode).agg(last.alias("last_processed_val"))

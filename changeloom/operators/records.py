@@ -25,7 +25,6 @@ from changeloom.functions.jsontext import (
 from changeloom.names import METADATA_TABLE, REASON, Split
 
 DELETE = "delete"
-END_OF_FEED = (1 << 63) - 1
 
 # Fields of a record next to the columns of a table. Names of columns begin with a letter.
 RECORD_FIELDS = {
@@ -41,6 +40,7 @@ RECORD_FIELDS = {
 REJECT_COLUMNS = ["seq", "key_json", "after_json", REASON]
 
 # Why a record is set aside.
+NO_ORDER = "order is missing"
 BAD_PAYLOAD = "payload is not a JSON object"
 EMPTY_PAYLOAD = "payload is empty"
 BAD_KEY = "key is not a JSON object"
@@ -120,22 +120,67 @@ def typed_value(value: Column, data_type: T.DataType) -> Column:
         return F.when(is_type("BOOLEAN"), F.try_variant_get(value, "$", "boolean")).otherwise(
             number1_to_bool(number)
         )
+    if isinstance(data_type, T.NumericType):
+        return exact_number(value, data_type)
     if isinstance(data_type, T.StringType):
         nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
         return F.when(nested, escape_json(F.to_json(value))).otherwise(text)
     return F.try_variant_get(value, "$", data_type.simpleString())
 
 
+def exact_number(value: Column, data_type: T.NumericType) -> Column:
+    """A ``variant`` as a number of the target type; NULL when it would have to be cut or rounded."""
+    number = F.try_variant_get(value, "$", data_type.simpleString())
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return number
+    # Numbers in JSON are kept with all their digits, or as double when they have too many.
+    exact = F.try_variant_get(value, "$", "decimal(38,9)")
+    same = F.when(exact.isNotNull(), number.try_cast("decimal(38,9)") == exact).otherwise(
+        number.cast("double") == F.try_variant_get(value, "$", "double")
+    )
+    # What decimal(38,9) itself would round shows in the text.
+    fraction = F.length(F.regexp_extract(F.try_variant_get(value, "$", "string"), r"\.([0-9]*?)0*$", 1))
+    digits = data_type.scale if isinstance(data_type, T.DecimalType) else 0
+    return F.when(F.coalesce(same, F.lit(True)) & (fraction <= digits), number)
+
+
 def _is_filled(value: Column) -> Column:
     return value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(False))
 
 
+TYPED = "_typed"
+FILLED = "_filled"
+
+
+def with_typed_values(parsed: DataFrame, schema: T.StructType) -> DataFrame:
+    """Adds one struct of typed values, each worked out once, and which columns have a value at all.
+
+    The record's key column takes the merge key, which the payload or the record key gave.
+    """
+    raw = {
+        f"_raw_{i}": F.when(F.col("key_column") == field.name.upper(), F.col("merge_key")).otherwise(
+            F.element_at(F.col("payload"), field.name.upper())
+        )
+        for i, field in enumerate(schema)
+    }
+    rows = evaluate_once(parsed, raw)
+    values = [
+        typed_value(F.col(f"_raw_{i}"), field.dataType).alias(field.name.upper()) for i, field in enumerate(schema)
+    ]
+    filled = [_is_filled(F.col(f"_raw_{i}")).alias(field.name.upper()) for i, field in enumerate(schema)]
+    return evaluate_once(rows, {TYPED: F.struct(*values), FILLED: F.struct(*filled)}).drop(*raw)
+
+
 def reason_of(schema: T.StructType | None = None, tables: list[str] | None = None) -> Column:
-    """Why a parsed record cannot be applied to a table of this schema; NULL when it can."""
+    """Why a parsed record cannot be applied to a table of this schema; NULL when it can.
+
+    With a schema the record must have its typed values (see ``with_typed_values``).
+    """
     names, keys = F.col("present"), F.col("key_names")
     deletes = is_delete()
     no_payload, no_key = is_absent(F.col("after_json")), is_absent(F.col("key_json"))
     checks = [
+        (F.col("seq").isNull(), NO_ORDER),
         (~deletes & no_payload, EMPTY_PAYLOAD),
         (~deletes & names.isNull(), BAD_PAYLOAD),
         (deletes & ~no_key & keys.isNull(), BAD_KEY),
@@ -151,20 +196,17 @@ def reason_of(schema: T.StructType | None = None, tables: list[str] | None = Non
         checks.append((~deletes & (F.size(F.array_except(names, known)) > 0), UNKNOWN_COLUMN))
         checks.append((~F.array_contains(known, F.col("key_column")), UNKNOWN_COLUMN))
         for field in schema:
-            value = F.element_at(F.col("payload"), field.name.upper())
-            unfit = _is_filled(value) & typed_value(value, field.dataType).isNull()
-            checks.append((unfit, f"{BAD_VALUE} {field.name.upper()}"))
-            is_key = F.col("key_column") == field.name.upper()
-            key_value = F.col("merge_key")
-            unfit_key = is_key & _is_filled(key_value) & typed_value(key_value, field.dataType).isNull()
-            checks.append((unfit_key, f"{BAD_VALUE} {field.name.upper()}"))
+            name = field.name.upper()
+            checks.append((F.col(FILLED)[name] & F.col(TYPED)[name].isNull(), f"{BAD_VALUE} {name}"))
     return F.coalesce(*[F.when(failed, F.lit(text)) for failed, text in checks])
 
 
 def mark_records(
     parsed: DataFrame, schema: T.StructType | None = None, tables: list[str] | None = None
 ) -> DataFrame:
-    """Parsed records with their ``reject_reason``."""
+    """Parsed records with their ``reject_reason``, and their typed values if a schema is given."""
+    if schema is not None:
+        parsed = with_typed_values(parsed, schema)
     return evaluate_once(parsed, {REASON: reason_of(schema, tables)})
 
 
@@ -174,8 +216,8 @@ def check_records(
     """Records that can be applied, and those set aside with a reason."""
     marked = mark_records(parsed, schema, tables)
     return Split(
-        good=marked.where(F.col(REASON).isNull()).drop(REASON),
-        rejects=marked.where(F.col(REASON).isNotNull()),
+        good=marked.where(F.col(REASON).isNull()).drop(REASON, TYPED, FILLED),
+        rejects=marked.where(F.col(REASON).isNotNull()).drop(TYPED, FILLED),
     )
 
 
@@ -183,25 +225,22 @@ def applied_prefix(marked: DataFrame, seq: str = "seq", reason: str = REASON) ->
     """The records before the first bad one, for writers that stop at the first failure.
 
     Bad records have a ``reason``. The first bad ``seq`` is a single value, worked out before
-    the scan, so it can be pushed into it.
+    the scan, so it can be pushed into it. ``marked`` is read twice: land it if it is costly. A record
+    without an order is bad, but is before or after no other.
     """
-    bad = marked.where(F.col(reason).isNotNull())
-    first_bad = bad.agg(F.coalesce(F.min(seq), F.lit(END_OF_FEED))).scalar()
-    return marked.where(F.col(seq) < first_bad).drop(reason)
+    first_bad = marked.where(F.col(reason).isNotNull()).agg(F.min(seq)).scalar()
+    before = first_bad.isNull() | (F.col(seq) < first_bad)
+    return marked.where(F.col(reason).isNull() & before).drop(reason)
 
 
-def typed_columns(schema: T.StructType) -> list[Column]:
-    """Parsed records as the columns of one target, named in upper case.
+def prefix_count(marked: DataFrame, seq: str = "seq", reason: str = REASON) -> DataFrame:
+    """One row, ``n_applied``: how many records a writer acknowledges that stops at the first failure."""
+    return applied_prefix(marked, seq, reason).agg(F.count("*").alias("n_applied"))
 
-    The record's key column takes the merge key, which the payload or the record key gave.
-    """
-    columns = []
-    for field in schema:
-        name = field.name.upper()
-        sent = F.element_at(F.col("payload"), name)
-        value = F.when(F.col("key_column") == name, F.col("merge_key")).otherwise(sent)
-        columns.append(typed_value(value, field.dataType).alias(name))
-    return columns
+
+def typed_columns(schema: T.StructType) -> list[Column]:
+    """The typed values as the columns of one target, named in upper case."""
+    return [F.col(TYPED)[field.name.upper()].alias(field.name.upper()) for field in schema]
 
 
 def typed_records(parsed: DataFrame, schema: T.StructType, tables: list[str] | None = None) -> DataFrame:

@@ -18,15 +18,21 @@ from changeloom.operators.apply import (
     apply_summary,
     insert_columns,
     live_value,
+    order_of,
     set_name,
+    split_unordered,
     summarise,
     value_name,
     without_key,
 )
 
-# Upserts without a key are told apart by their own seq, so a replayed one is not inserted twice.
-# It also spreads them over the shuffle, where equal NULL keys would meet in one task.
+# Upserts without a key are told apart by their own seq and content, so a replayed one is not inserted
+# twice. That also spreads them over the shuffle, where equal NULL keys would meet in one task.
 KEYLESS_SEQ = "_keyless_seq"
+KEYLESS_ROW = "_keyless_row"
+# How many rows of a batch are equal in all that.
+KEYLESS_COUNT = "_keyless_count"
+KEYLESS = [KEYLESS_SEQ, KEYLESS_ROW]
 
 
 def to_state(
@@ -34,12 +40,21 @@ def to_state(
     key: str,
     columns: list[str],
     present: str | None = None,
-    seq: str = "seq",
+    seq: str | list[str] = "seq",
     operation: str = "operation",
 ) -> DataFrame:
-    """The feed's changes, one row per key plus one per upsert without a key."""
-    marked = feed.withColumn(KEYLESS_SEQ, F.when(without_key(feed, key), F.col(seq)))
-    return summarise(marked, [key, KEYLESS_SEQ], columns, present, seq, operation)
+    """The feed's changes, one row per key plus one per upsert without a key.
+
+    Equal upserts without a key in one batch are as many inserts. In batches of their own they
+    count as replays of one, unless their ``seq`` differ. Rows without an order change nothing.
+    """
+    keyless = without_key(feed, key)
+    content = F.xxhash64(operation, *columns, *([present] if present else []))
+    marked = split_unordered(feed, seq).good.withColumns(
+        {KEYLESS_SEQ: F.when(keyless, order_of(seq)), KEYLESS_ROW: F.when(keyless, content)}
+    )
+    count = F.count(KEYLESS_ROW).alias(KEYLESS_COUNT)
+    return summarise(marked, [key, *KEYLESS], columns, present, seq, operation, (count,))
 
 
 def _merge(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -50,13 +65,16 @@ def _merge(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
             F.max(set_name(c)).alias(set_name(c)),
         ]
     return rows.groupBy(*keys).agg(
-        F.max(LAST_DELETE).alias(LAST_DELETE), F.max(LAST_UPSERT).alias(LAST_UPSERT), *parts
+        F.max(LAST_DELETE).alias(LAST_DELETE),
+        F.max(LAST_UPSERT).alias(LAST_UPSERT),
+        *parts,
+        F.max(KEYLESS_COUNT).alias(KEYLESS_COUNT),
     )
 
 
 def merge_states(states: list[DataFrame], key: str, columns: list[str]) -> DataFrame:
     """One state that holds the changes of all; order and repeats do not matter."""
-    return _merge(reduce(DataFrame.unionByName, states), [key, KEYLESS_SEQ], columns)
+    return _merge(reduce(DataFrame.unionByName, states), [key, *KEYLESS], columns)
 
 
 def apply_state(
@@ -77,4 +95,6 @@ def apply_state(
     applied = apply_summary(target, keyed, key, columns, defaults, broadcast_state, unique_target)
     upserts = state.where(F.col(KEYLESS_SEQ).isNotNull() & F.col(LAST_UPSERT).isNotNull())
     row = insert_columns(target, F.col, [key], live_value, columns, defaults)
-    return applied.unionByName(_merge(upserts, [key, KEYLESS_SEQ], columns).select(*row))
+    merged = _merge(upserts, [key, *KEYLESS], columns)
+    each = merged.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(KEYLESS_COUNT))))
+    return applied.unionByName(each.select(*row))

@@ -15,6 +15,7 @@ from changeloom.operators.records import (
     UNKNOWN_TABLE,
     applied_prefix,
     parse_records,
+    prefix_count,
     rejected,
     table_of,
     typed_records,
@@ -22,8 +23,9 @@ from changeloom.operators.records import (
 from changeloom.sources.scratch import new_folder
 from changeloom.sources.versions import take_snapshot
 
-# A summary is broadcast only when its written size was measured to be at most this.
-BROADCAST_BYTES = 256 << 20
+# A summary is broadcast only when its rows were measured to be at most this. In the hash table of a
+# broadcast they take about four times as much.
+BROADCAST_BYTES = 64 << 20
 
 
 def upper_schema(df: DataFrame) -> T.StructType:
@@ -58,13 +60,18 @@ def apply_records(
     else:
         good = typed.where(F.col("_reason").isNull())
 
+    return apply_runs(after, good).toDF(*target.columns), rejected(typed)
+
+
+def apply_runs(after: DataFrame, good: DataFrame) -> DataFrame:
+    """The target after typed records, one step per stretch of records with one key column."""
     runs = 0
     for run_key, run in key_runs(good):
         if runs:
             after = take_snapshot(after, new_folder(after.sparkSession, "run"))
         after = apply_changes(after, run, run_key, present="_present", seq="_seq", operation="_operation")
         runs += 1
-    return after.toDF(*target.columns), rejected(typed)
+    return after
 
 
 def key_runs(good: DataFrame) -> Iterator[tuple[str, DataFrame]]:
@@ -83,6 +90,20 @@ def key_runs(good: DataFrame) -> Iterator[tuple[str, DataFrame]]:
         after_seq = other - 1
 
 
+def apply_prefix(
+    target: DataFrame, records: DataFrame, table: str, key: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For writers that stop at the first failure: the target, the records set aside, and one row with
+    how many records were acknowledged (``n_applied``).
+
+    The records are parsed and landed once for all three.
+    """
+    upper = target.toDF(*[c.upper() for c in target.columns])
+    typed = land_records(records, upper_schema(target), [table], table, key)
+    after = apply_runs(upper, applied_prefix(typed, "_seq", "_reason"))
+    return after.toDF(*target.columns), rejected(typed), prefix_count(typed, "_seq", "_reason")
+
+
 def apply_routed(
     targets: dict[str, DataFrame],
     feed: DataFrame,
@@ -110,7 +131,8 @@ def split_by_table(feed: DataFrame) -> DataFrame:
     """
     path = new_folder(feed.sparkSession, "routed")
     feed.write.partitionBy("table_name").parquet(path)
-    return feed.sparkSession.read.parquet(path)
+    # An empty feed leaves no file to take the columns from.
+    return feed.sparkSession.read.schema(feed.schema).parquet(path)
 
 
 def apply_to_tables(
@@ -121,8 +143,11 @@ def apply_to_tables(
     ``keys`` has the configured key column per table. The records are split by table first, so
     that each is parsed once, for its own table.
     """
-    split = split_by_table(records.withColumn("table_name", table_of(default_table)))
-    unknown = split.where(~F.col("table_name").isin(*[name.upper() for name in targets]))
+    named = records.withColumn("table_name", table_of(default_table))
+    known = F.col("table_name").isin(*[name.upper() for name in targets])
+    # Names come from the data: only those of known tables may make folders.
+    split = split_by_table(named.where(known))
+    unknown = named.where(~F.coalesce(known, F.lit(False)))
     rejects = unknown.select("seq", "key_json", "after_json", F.lit(UNKNOWN_TABLE).alias(REASON))
     after = {}
     for name, target in targets.items():

@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from changeloom.operators.records import OTHER_KEY, parse_records, rejected, typed_records
+from changeloom.names import REASON
+from changeloom.operators.records import (
+    OTHER_KEY,
+    UNKNOWN_TABLE,
+    parse_records,
+    rejected,
+    table_of,
+    typed_records,
+)
 from changeloom.operators.state import apply_state, merge_states, to_state
 from changeloom.sources.versions import VersionedTable
 
@@ -21,7 +29,11 @@ FOLDED = 1 << 20
 
 
 class ChangeSink:
-    """Collects changes under ``root`` for a target with one key column."""
+    """Collects changes under ``root`` for a target with one key column.
+
+    Changes with equal ``seq`` have no order among themselves. Where that can happen, as with two
+    snapshots of one row, give ``seq`` a second column, such as the number of the snapshot.
+    """
 
     def __init__(
         self,
@@ -31,7 +43,7 @@ class ChangeSink:
         columns: list[str],
         present: str | None = None,
         merge_every: int = 10,
-        seq: str = "seq",
+        seq: str | list[str] = "seq",
         operation: str = "operation",
     ):
         self.key = key
@@ -116,8 +128,9 @@ class RecordSink:
         # Kept for the two writes below; what an executor loses of it is parsed again.
         typed = typed.withColumn("_reason", F.coalesce("_reason", other_key)).persist()
         try:
-            # A batch that is run again replaces what it set aside before.
-            rejected(typed).write.mode("overwrite").parquet(f"{self.rejects}/batch={batch_id}")
+            # A batch that is run again replaces what it set aside before; another reader's stays.
+            reader = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+            rejected(typed).write.mode("overwrite").parquet(f"{self.rejects}/reader={reader}/batch={batch_id}")
             self.sink.write_batch(typed.where(F.col("_reason").isNull()))
         finally:
             typed.unpersist()
@@ -129,3 +142,40 @@ class RecordSink:
         """The target with all changes so far."""
         upper = target.toDF(*[c.upper() for c in target.columns])
         return self.sink.current(upper).toDF(*target.columns)
+
+
+class RoutedSink:
+    """Collects JSON records for many tables under ``root``; each goes where its metadata says.
+
+    ``tables`` has schema and key column by table name. Records for other tables are set aside.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, tables: dict[str, tuple[T.StructType, str]], default_table: str, merge_every: int = 10
+    ):
+        self.default_table = default_table
+        self.rejects = f"{root.rstrip('/')}/unknown"
+        self.sinks = {
+            name.upper(): RecordSink(spark, f"{root.rstrip('/')}/{name.upper()}", schema, name, key, merge_every)
+            for name, (schema, key) in tables.items()
+        }
+
+    def write_batch(self, batch: DataFrame, batch_id: int = 0) -> None:
+        # Each table's sink reads the batch: it is kept, and what an executor loses of it is read again.
+        named = batch.withColumn("_table_name", table_of(self.default_table)).persist()
+        try:
+            known = F.coalesce(F.col("_table_name").isin(*self.sinks), F.lit(False))
+            unknown = named.where(~known).select("seq", "key_json", "after_json", F.lit(UNKNOWN_TABLE).alias(REASON))
+            reader = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+            unknown.write.mode("overwrite").parquet(f"{self.rejects}/reader={reader}/batch={batch_id}")
+            for name, sink in self.sinks.items():
+                sink.write_batch(named.where(F.col("_table_name") == name).drop("_table_name"), batch_id)
+        finally:
+            named.unpersist()
+
+    def writer(self, stream: DataFrame) -> DataStreamWriter:
+        return stream.writeStream.foreachBatch(self.write_batch)
+
+    def current(self, targets: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """The targets with all changes so far."""
+        return {name: self.sinks[name.upper()].current(target) for name, target in targets.items()}

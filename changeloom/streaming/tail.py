@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from changeloom.names import TRACKING_ID
+from changeloom.sources.scratch import new_folder
+from changeloom.sources.versions import take_snapshot
 
 
 # Rows of a landed file at most, so that a number of files bounds a micro-batch.
@@ -31,20 +33,42 @@ def land(
     ranged.write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
-def land_new(feed: DataFrame, path: str, look_back: int = 0, files: int | None = None) -> None:
-    """Append what a tracking table holds beyond the last landed id; run it as often as wanted.
+# Ids per folder of the record of what has landed.
+BLOCK_OF_IDS = 1_000_000
 
-    A change that is committed late, with a lower id, is found if its id is at most ``look_back``
-    below the last one. Changes that land twice do not matter to ``ChangeSink``.
-    """
-    last = None
+
+def landed_ids(spark: SparkSession, path: str) -> DataFrame | None:
+    """The tracking ids that have landed, purged files included; None before the first landing."""
     try:
-        last = feed.sparkSession.read.parquet(path).agg(F.max(TRACKING_ID)).first()[0]
+        return spark.read.schema(f"{TRACKING_ID} bigint, block bigint").parquet(f"{path.rstrip('/')}.landed")
     except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    new = feed if last is None else feed.where(F.col(TRACKING_ID) > last - look_back)
+        return None
+
+
+def land_new(feed: DataFrame, path: str, files: int | None = None) -> None:
+    """Append what a tracking table holds and has not landed yet; run it as often as wanted.
+
+    Landed ids are kept beside the landing folder, in blocks of neighbouring ids, so files may be purged
+    and a change that is committed late, with a lower id, is still found. Only the blocks that the
+    tracking table has ids of are read: its purge bounds the work. Should the job stop between
+    the two writes, changes land twice, which does not matter to ``ChangeSink``.
+    """
+    spark, block = feed.sparkSession, F.floor(F.col(TRACKING_ID) / BLOCK_OF_IDS).alias("block")
+    known = landed_ids(spark, path)
+    new = feed.where(F.col(TRACKING_ID).isNotNull())
+    if known is not None:
+        bounds = new.agg(F.min(block).alias("low"), F.max(block).alias("high")).first()
+        seen = known.where(F.col("block").between(bounds.low, bounds.high)).select(TRACKING_ID)
+        new = new.join(seen, TRACKING_ID, "left_anti").select(*feed.columns)
+    # Written first: the tracking table may grow between the two writes below.
+    new = take_snapshot(new, new_folder(spark, "landing"))
+    if new.isEmpty():
+        return
     land(new, path, files)
+    ids = new.select(TRACKING_ID, block).repartition("block")
+    ids.write.mode("append").partitionBy("block").parquet(f"{path.rstrip('/')}.landed")
 
 
 def tail(

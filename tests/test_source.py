@@ -151,6 +151,42 @@ def test_resume_positions(users, feed):
     assert found == {"snapshot": 3, "cdc": 3}
 
 
+def test_resume_points_compare_numbers_as_numbers(spark, feed):
+    for kind in ("int", "decimal(10,2)"):
+        users = spark.createDataFrame([(i, "x") for i in (9, 10, 100)], "ID int, NAME string")
+        users = users.withColumn("ID", F.col("ID").cast(kind))
+        records = source_records(users, feed, "USERS", "ID").good
+        found = {r.mode: int(r.last_processed_val) for r in envelope.resume_positions(records).collect()}
+        assert found == {"snapshot": 100, "cdc": 3}
+
+
+def test_resume_points_of_text_ordering(spark, feed):
+    users = spark.createDataFrame([("b", "x"), ("a", "y")], "ID string, NAME string")
+    more = feed.withColumn(TRACKING_ID, F.col(TRACKING_ID) + 8).withColumn("ID", F.col("ID").cast("string"))
+    records = source_records(users, more, "USERS", "ID").good
+    found = {r.mode: r.last_processed_val for r in envelope.resume_positions(records).collect()}
+    assert found == {"snapshot": "b", "cdc": "11"}
+
+
+def test_resuming_inside_a_snapshot_loses_nothing(spark, tmp_path, feed):
+    users = spark.createDataFrame([(3, "c"), (1, "a"), (None, "n"), (2, "b")], "ID int, NAME string")
+    copy = str(tmp_path / "copy")
+    first = source_records(users, feed.limit(0), "USERS", "ID", copy=copy).good
+    ids = [r.key.ID for r in first.where("operation = 'snapshot'").collect()]
+    assert ids == [1, 2, 3, None]
+    position = Position("snapshot", 1)
+    # The table has changed meanwhile; the copy has not.
+    rest = source_records(users.limit(0), feed.limit(0), "USERS", "ID", position=position, copy=copy).good
+    assert [r.key.ID for r in rest.where("operation = 'snapshot'").collect()] == [2, 3, None]
+
+
+def test_ill_typed_and_cut_positions_are_set_aside(spark):
+    texts = ['{"mode":"cdc","last_processed_val":5}', '{"mode":"cdc","last_processed_val":"x"}', '{"mode":"cdc","last', "[1]", None]
+    good, rejects = envelope.split_positions(spark.createDataFrame([(t,) for t in texts], "p string"), "p")
+    assert sorted((r.p.last_processed_val if r.p else 0) for r in good.collect()) == [0, 5]
+    assert {r.p for r in rejects.collect()} == set(texts[1:4])
+
+
 def test_a_snapshot_does_not_see_later_changes(spark, tmp_path, rows):
     source = str(tmp_path / "source")
     spark.range(3).write.parquet(source)

@@ -251,3 +251,58 @@ def reject_unknown_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrong = F.concat(F.lit('{"wrong_column":1,'), F.substring("after_json", 2, 1 << 30))
     after = F.when(F.col("event_type") == "purchase", wrong).otherwise(F.col("after_json"))
     return _rejects(spark, sf_dir, json_records(spark, sf_dir).withColumn("after_json", after))
+
+
+@QUERIES.add(PARTIAL_SQL)
+def apply_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order is a time before 1970 for some rows and negative as a number for all."""
+    order = F.timestamp_micros(F.col("seq") - (1 << 40))
+    feed = change_feed(spark, sf_dir).withColumn("seq", order)
+    return apply_ops.apply_changes(apply_target(spark, sf_dir), feed, "k", COLUMNS, present="present")
+
+
+@QUERIES.add(PARTIAL_SQL)
+def apply_unique_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target without repeated keys: one full outer join."""
+    feed = change_feed(spark, sf_dir).withColumn("seq", F.col("seq") - (1 << 40))
+    return apply_ops.apply_changes(
+        apply_target(spark, sf_dir), feed, "k", COLUMNS, present="present", unique_target=True
+    )
+
+
+@QUERIES.add("""
+SELECT event_id AS seq, CASE event_type WHEN 'error' THEN 'delete' WHEN 'signup' THEN 'create' ELSE 'update' END AS operation,
+       'value does not fit the column ' || CASE WHEN event_type IN ('error', 'click') THEN 'K' ELSE 'VALUE' END AS reject_reason
+FROM events WHERE event_type IN ('error', 'click')
+   OR (event_type = 'purchase' AND round(value * 100) / 100 <> value)""")
+def reject_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fractions in whole-number keys, and values with more digits than the column has."""
+    kind, key = F.col("event_type"), F.col("k")
+    half = F.concat(F.lit('{"k":'), key.cast("string"), F.lit(".5}"))
+    records = json_records(spark, sf_dir).drop("after_json").join(
+        table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "value"), "seq"
+    )
+    records = records.withColumns({
+        "key_json": F.when(kind.isin("error", "click"), half).otherwise(F.col("key_json")),
+        "after_json": F.when(kind == "purchase", F.to_json(F.struct("value"))).when(kind != "error", '{"props":"p"}'),
+    })
+    target = apply_target(spark, sf_dir).toDF("K", "VALUE", "PROPS")
+    target = target.select(F.col("K").cast("int").alias("K"), F.col("VALUE").cast("decimal(18,2)").alias("VALUE"), "PROPS")
+    parsed = record_ops.parse_records(records.drop("k"), "T_OTHER", "K")
+    return record_ops.check_records(parsed, target.schema).rejects.select("seq", "operation", REASON)
+
+
+@QUERIES.add("""
+WITH upserts AS (SELECT event_id, value FROM events WHERE event_type <> 'error'),
+bad AS (SELECT min(event_id) AS first_bad FROM upserts WHERE value = (SELECT max(value) FROM upserts))
+SELECT count(*) AS n_applied FROM events, bad WHERE event_id < first_bad""")
+def prefix_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records a writer acknowledges that stops at the first one without a payload."""
+    events = table(spark, sf_dir, "events")
+    largest = events.where(F.col("event_type") != "error").agg(F.max("value")).first()[0]
+    values = events.select(F.col("event_id").alias("seq"), "value")
+    records = json_records(spark, sf_dir).drop("k").join(values, "seq").withColumn(
+        "metadata", F.create_map().cast("map<string,string>")
+    )
+    records = records.withColumn("after_json", F.when(F.col("value") < largest, F.col("after_json"))).drop("value")
+    return sync.apply_prefix(apply_target(spark, sf_dir), records, "T_OTHER", "k")[2]

@@ -206,3 +206,18 @@ def valid_object_name(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"))
     )
     return names.select("name", convert.valid_object_name(F.col("name")).alias("is_valid"))
+
+
+@QUERIES.add("""
+SELECT event_id,
+       '{"a":{"id":' || event_id || ',"type":"' || event_type || '"},"z":[{"k":' || json_extract_string(props, '$.k') ||
+       ',"user":' || user_id || '}]}' AS attributes
+FROM events""")
+def nested_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names are in order at every level: in maps within structs, and in structs within lists."""
+    inner = F.struct(
+        F.array(F.map_concat(F.create_map(F.lit("user"), "user_id"), F.from_json("props", "map<string,bigint>"))).alias("z"),
+        F.struct(F.col("event_type").alias("type"), F.col("event_id").alias("id")).alias("a"),
+    )
+    rows = table(spark, sf_dir, "events").select("event_id", inner.alias("attributes"))
+    return convert.write_rows(rows, {}).good

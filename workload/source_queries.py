@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.functions.convert import format_datetime
-from changeloom.names import CREATED_AT, OPERATION_TYPE, REASON, TRACKING_ID
+from changeloom.names import CREATED_AT, MODE_CDC, MODE_SNAPSHOT, OPERATION_TYPE, REASON, TRACKING_ID
 from changeloom.operators import capture, envelope, paging, purge
+from changeloom.plans.handover import Position, source_records
 from changeloom.plans.handover import snapshot_then_cdc as hand_over
-from changeloom.plans.handover import source_records
+from changeloom.sources.scratch import new_folder
 from workload.fixtures import (
     TARGET_SQL,
     TRACKING_SQL,
@@ -141,14 +142,47 @@ def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(records, "K", "VALUE", "PROPS")
 
 
-@QUERIES.add(f"WITH {TRACKING_SQL} {_CDC_RECORDS}")
+@QUERIES.add(f"""
+WITH {TRACKING_SQL} {_CDC_RECORDS}
+WHERE CONNECTOR_TRACKING_ID > (SELECT max(event_id) // 2 FROM events)""")
 def cdc_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes beyond a position, and no snapshot."""
+    feed = tracking_table(spark, sf_dir)
+    halfway = feed.agg((F.max(TRACKING_ID) / 2).cast("bigint")).first()[0]
     records = source_records(
-        _snapshot_of_target(spark, sf_dir), tracking_table(spark, sf_dir), "CUSTOMER", "K", snapshot=False
+        _snapshot_of_target(spark, sf_dir), feed, "CUSTOMER", "K", snapshot=False, position=Position(MODE_CDC, halfway)
     ).good
     return _flat(records, "K", "VALUE", "PROPS")
 
 
+@QUERIES.add(f"""
+WITH {TRACKING_SQL}, {TARGET_SQL} {_SNAPSHOT_RECORDS} WHERE k > (SELECT max(k) // 2 FROM target) UNION ALL {_CDC_RECORDS}""")
+def snapshot_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The copy is read to its middle; a second reader goes on from there, then reads the feed."""
+    rows, feed, copy = _snapshot_of_target(spark, sf_dir), tracking_table(spark, sf_dir), new_folder(spark, "copy")
+    source_records(rows, feed, "CUSTOMER", "K", copy=copy)
+    halfway = rows.agg((F.max("K") / 2).cast("bigint")).first()[0]
+    position = Position(MODE_SNAPSHOT, halfway)
+    records = source_records(rows.limit(0), feed, "CUSTOMER", "K", position=position, copy=copy).good
+    return _flat(records, "K", "VALUE", "PROPS")
+
+
+@QUERIES.add("""
+SELECT event_id, 'position is not a JSON object of its type' AS reject_reason
+FROM events WHERE event_type <> 'view'""")
+def position_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions that are cut off, of another type or no object."""
+    kind, number = F.col("event_type"), F.col("event_id").cast("string")
+    text = (
+        F.when(kind == "view", F.concat(F.lit('{"mode":"cdc","last_processed_val":'), number, F.lit("}")))
+        .when(kind == "click", F.concat(F.lit('{"mode":"cdc","last_processed_val":"x'), number, F.lit('"}')))
+        .when(kind == "signup", F.concat(F.lit('{"mode":"cdc","last_pro'), number))
+        .otherwise(F.concat(F.lit("["), number, F.lit("]")))
+    )
+    rows = table(spark, sf_dir, "events").select("event_id", text.alias("position"))
+    return envelope.split_positions(rows, "position").rejects.select("event_id", REASON)
+
+
 @QUERIES.add(f"WITH {TRACKING_SQL}, {TARGET_SQL} {_SNAPSHOT_RECORDS} UNION ALL {_CDC_RECORDS}")
 def snapshot_then_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot = envelope.snapshot_records(_snapshot_of_target(spark, sf_dir), "CUSTOMER", "K")
@@ -222,6 +256,21 @@ def position_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@QUERIES.add("""
+SELECT 'decimal' AS ordering, 'snapshot' AS mode, CAST(max(c_custkey) AS BIGINT) AS last_processed_val FROM customer
+UNION ALL SELECT 'decimal', 'cdc', max(event_id) FROM events
+UNION ALL SELECT 'int', 'snapshot', max(c_custkey) FROM customer UNION ALL SELECT 'int', 'cdc', max(event_id) FROM events""")
+def resume_position_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordering columns whose type is not that of tracking ids."""
+    found = []
+    for name, kind in (("decimal", "decimal(18,2)"), ("int", "int")):
+        rows = _snapshot_of_target(spark, sf_dir).withColumn("K", F.col("K").cast(kind))
+        feed = tracking_table(spark, sf_dir).withColumn("K", F.col("K").cast(kind))
+        positions = envelope.resume_positions(source_records(rows, feed, "CUSTOMER", "K").good)
+        found.append(positions.select(F.lit(name).alias("ordering"), "mode", F.col("last_processed_val").cast("bigint")))
+    return found[0].union(found[1])
+
+
 @QUERIES.add("""
 SELECT 'snapshot' AS mode, max(c_custkey) AS last_processed_val FROM customer
 UNION ALL SELECT 'cdc', max(event_id) FROM events""")

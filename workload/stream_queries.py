@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.names import TRACKING_ID
 from changeloom.operators import envelope
 from changeloom.sources.scratch import new_folder
-from changeloom.streaming.sink import ChangeSink, RecordSink
-from changeloom.streaming.tail import land, start, tail
-from workload.apply_queries import COLUMNS, FULL_SQL, PARTIAL_SQL
+from changeloom.streaming.sink import ChangeSink, RecordSink, RoutedSink
+from changeloom.streaming.tail import land, land_new, start, tail
+from workload.apply_queries import COLUMNS, FULL_SQL, PARTIAL_SQL, TABLES
+from workload.apply_queries import QUERIES as APPLY_QUERIES
 from workload.fixtures import TRACKING_SQL, apply_target, change_feed, json_records, tracking_table
 from workload.registry import Registry
 
@@ -30,8 +33,10 @@ def _batch_files(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism // 3)
 
 
-def _tail_into(spark: SparkSession, landing: str, out: str, checkpoint: str, schema) -> None:
-    stream = tail(spark, landing, schema, max_files=_batch_files(spark))
+def _tail_into(
+    spark: SparkSession, landing: str, out: str, checkpoint: str, schema, purge: str = "off"
+) -> None:
+    stream = tail(spark, landing, schema, max_files=_batch_files(spark), purge=purge)
     records = envelope.cdc_records(stream, "CUSTOMER", keys=["K"]).good
     flat = records.select(
         "seq", "operation", F.col("key.K").alias("k"), F.col("after.VALUE").alias("value")
@@ -121,3 +126,67 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = tail(spark, f"{root}/landing", feed.schema, max_files=_batch_files(spark))
     start(sink.writer(stream), f"{root}/checkpoint").awaitTermination()
     return sink.current(target)
+
+
+@QUERIES.add("""
+SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS k, c_acctbal AS value, c_mktsegment AS props FROM customer""")
+def stream_bootstrap_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot in which a third of the rows have no key; the batch is applied twice."""
+    rows = apply_target(spark, sf_dir).withColumn("k", F.when(F.col("k") % 3 != 0, F.col("k")))
+    snapshot = envelope.snapshot_records(rows, "CUSTOMER", "k").select("seq", "operation", "after.*")
+    sink = ChangeSink(spark, f"{new_folder(spark, 'stream-null-keys')}/changes", "k", COLUMNS)
+    for _ in range(2):
+        sink.write_batch(snapshot)
+    return sink.current(rows.limit(0))
+
+
+@QUERIES.add("SELECT c_custkey AS k, c_acctbal + 1 AS value, c_mktsegment AS props FROM customer")
+def stream_resnapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots of one table: the one with the higher number counts, in whatever order they come."""
+    rows = apply_target(spark, sf_dir)
+    sink = ChangeSink(
+        spark, f"{new_folder(spark, 'stream-resnapshot')}/changes", "k", COLUMNS, seq=["seq", "snapshot_no"], merge_every=2
+    )
+    for number, part in ((2, rows.withColumn("value", F.col("value") + 1)), (1, rows), (1, rows)):
+        snapshot = envelope.snapshot_records(part, "CUSTOMER", "k").select("seq", "operation", "after.*")
+        sink.write_batch(snapshot.withColumn("snapshot_no", F.lit(number)))
+    return sink.current(rows.limit(0))
+
+
+@QUERIES.add(_RECORDS_SQL)
+def stream_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing, reading and purging in turn, several times over the growing tracking table: no change
+    is read twice, though the files it came in are gone."""
+    root = new_folder(spark, "stream-purge")
+    feed = tracking_table(spark, sf_dir)
+    most = feed.agg(F.max(TRACKING_ID)).first()[0]
+    for share in (1, 2, 3, 3):
+        land_new(feed.where(F.col(TRACKING_ID) <= most * share / 3), f"{root}/landing", files=2)
+        _tail_into(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint", feed.schema, "delete")
+    return spark.read.parquet(f"{root}/out")
+
+
+@QUERIES.add(_RECORDS_SQL)
+def land_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletes are committed last, though many have lower ids than what has landed."""
+    root = new_folder(spark, "land-late")
+    feed = tracking_table(spark, sf_dir)
+    for part in (feed.where("CONNECTOR_OPERATION_TYPE <> 'delete'"), feed, feed):
+        land_new(part, f"{root}/landing")
+    _tail_into(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint", feed.schema)
+    return spark.read.parquet(f"{root}/out")
+
+
+@QUERIES.add(APPLY_QUERIES["apply_routed"].sql)
+def stream_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON records of one stream into a table per event type."""
+    root = new_folder(spark, "stream-routed")
+    feed = _landable(json_records(spark, sf_dir).drop("k"))
+    land(feed, f"{root}/landing")
+    target = apply_target(spark, sf_dir)
+    sink = RoutedSink(spark, f"{root}/sink", {name: (target.schema, "k") for name in TABLES}, "T_OTHER")
+    stream = tail(spark, f"{root}/landing", feed.schema)
+    start(sink.writer(stream), f"{root}/checkpoint").awaitTermination()
+    tables = sink.current({name: target for name in TABLES})
+    named = [after.select(F.lit(name).alias("table_name"), "*") for name, after in tables.items()]
+    return reduce(DataFrame.unionByName, named)
