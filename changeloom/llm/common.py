@@ -39,12 +39,9 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keyed_rows(df: DataFrame, key: str, text: str | None = None) -> DataFrame:
-    """``k``, ``t`` and ``row`` (all columns as one value), so that no name can clash."""
-    columns = [F.col(key).cast("long").alias("k"), F.struct("*").alias("row")]
-    if text is not None:
-        columns.insert(1, F.col(text).alias("t"))
-    return df.select(*columns)
+def keyed_rows(df: DataFrame, key: str) -> DataFrame:
+    """``k`` and ``row`` (all columns as one value), so that no name can clash."""
+    return df.select(F.col(key).cast("long").alias("k"), F.struct("*").alias("row"))
 
 
 def id_and_text(df: DataFrame, key: str, text: str) -> DataFrame:
