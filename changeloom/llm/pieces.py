@@ -9,8 +9,8 @@ segmentations with the highest sums are found exactly, in two passes:
    the forward score of the node it has reached. As that is exactly what the best completion adds, complete
    segmentations leave the queue in order of score, and nothing is expanded in vain.
 
-No piece of such a model crosses from a word to the next word's space mark, so a text's lattice is a chain
-of small ones ("units"). Forward scores of all new units of a step are computed together, with backward
+No piece of such a model crosses from a word to the next word's space mark, or from a letter to most signs,
+so a text's lattice is a chain of small ones ("units"). Forward scores of all new units of a step are computed together, with backward
 scores that tell how much each unit's second-best segmentation loses. Only units with the least losses can
 differ from their best in the N best of the text: the A-star search runs in those. Units are remembered
 up to a bound. (A model with pieces across words makes the whole text one unit.)
@@ -35,7 +35,12 @@ from pyspark.sql import functions as F
 from changeloom.llm.common import id_and_text, mix, steps
 
 MARK = "▁"
+# The unit for a space mark of the text itself; no other unit looks like it.
+LITERAL = "\0" + MARK
+LETTER = "[A-Za-zÀ-ÖØ-öø-ɏ]"
 MEMORY = 300_000
+# Units with more characters are solved one by one.
+LONG = 64
 ENCODED = "k long, rank int, score double, ids array<int>"
 _HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -66,7 +71,7 @@ class Model:
         self.scores = scores
         self.unknown = min(scores.values()) - 10.0
         self.longest = max(map(len, self.ids))
-        self.chain = not any(MARK in piece.lstrip(MARK) for piece in self.ids)
+        self.units = self._unit_pattern()
         # Pieces by hash, behind a table that tells most other strings apart.
         names = list(self.ids)
         self.known = _substring_hashes(names)
@@ -77,6 +82,24 @@ class Model:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.known >> np.uint64(44)).astype(np.int64)] = True
 
+    def _unit_pattern(self) -> re.Pattern:
+        """How to cut a text at places that no piece crosses.
+
+        These are: before a space mark, around a character that no longer piece has, and between a
+        letter and a sign that follows a letter in no piece.
+        """
+        if any(MARK in piece.lstrip(MARK) for piece in self.ids):
+            return re.compile("(?s:.+)")
+        longer = [piece for piece in self.ids if len(piece) > 1]
+        inside = set("".join(longer))
+        after_letter = {b for piece in longer for a, b in zip(piece, piece[1:]) if re.match(LETTER, a)}
+        ascii_signs = [chr(c) for c in range(128) if not chr(c).isalnum()]
+        alone = "".join(re.escape(c) for c in ascii_signs if c not in inside)
+        signs = "".join(re.escape(c) for c in ascii_signs if c in inside and c not in after_letter)
+        more = f"(?:[^{MARK}{alone}{signs}]+" + (f"|(?<!{LETTER})[{signs}])*" if signs else ")*")
+        single = f"[{alone}]|" if alone else ""
+        return re.compile(f"{single}{MARK}+{more}|[^{MARK}{alone}]{more}")
+
     def fallback(self, character: str) -> list[int]:
         return [self.byte_ids[b] for b in character.encode()]
 
@@ -109,13 +132,14 @@ def forward_scores(model: Model, text: str) -> list[float]:
 
 
 def n_best(model: Model, text: str, n: int) -> list[tuple[float, list[int]]]:
-    """The ``n`` best segmentations as ``(score, ids)``; among equal scores shorter last pieces come first."""
+    """The ``n`` best segmentations as ``(score, ids)``; equal scores come in one fixed order."""
     forward = forward_scores(model, text)
-    # A partial segmentation: node reached, its score, its first piece and the partial one after it.
-    queue = [(-forward[-1], 0, len(text), 0.0, None)]
+    # A partial segmentation: node reached, its score, its first piece and the partial one after it. Of
+    # equal ranks the one nearest to the start comes first, so that ties are finished, not collected.
+    queue = [(-forward[-1], len(text), 0, 0.0, None)]
     found, made = [], 0
     while queue and len(found) < n:
-        _, _, node, score, chain = heapq.heappop(queue)
+        _, node, _, score, chain = heapq.heappop(queue)
         if node == 0:
             ids = []
             while chain:
@@ -126,25 +150,82 @@ def n_best(model: Model, text: str, n: int) -> list[tuple[float, list[int]]]:
         for start, gain, piece in reversed(list(edges_into(model, text, node))):
             made += 1
             total = score + gain
-            heapq.heappush(queue, (-(forward[start] + total), made, start, total, (piece, chain)))
+            heapq.heappush(queue, (-(forward[start] + total), start, -made, total, (piece, chain)))
     return found
 
 
 class Units:
-    """Best segmentations of units, computed for many units at once and remembered."""
+    """Best segmentations of units, computed for many units at once and remembered by number."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, tuple[bytes, float, float]] = {}
-        self.lists: dict[tuple[str, int], list[tuple[float, bytes]]] = {}
-
-    def learn(self, units: set[str]) -> None:
-        """Fills ``known`` with ids, best score and the loss of the second best."""
-        if len(self.known) + len(units) > MEMORY:
-            self.known.clear()
-        new = [u for u in units if u not in self.known]
+        self.lists: dict[tuple[str, int], list[tuple[float, np.ndarray]]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        # By number: score of the best segmentation, loss of the second best, place and size of the ids.
+        self.score, self.loss = np.zeros(0), np.zeros(0)
+        self.start, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _remember(self, units: list[str], score: np.ndarray, loss: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        self.numbers.update(zip(units, range(len(self.numbers), len(self.numbers) + len(units)), strict=True))
+        self.start = np.r_[self.start, len(self.pool) + np.cumsum(size) - size]
+        self.size, self.pool = np.r_[self.size, size], np.r_[self.pool, ids]
+        self.score, self.loss = np.r_[self.score, score], np.r_[self.loss, loss]
+
+    def numbered(self, units: list[str]) -> np.ndarray:
+        """The number of each unit, after solving those that are new."""
+        if len(self.numbers) > MEMORY:
+            self._forget()
+        known = self.numbers.get
+        found = np.array([known(u, -1) for u in units], np.int64)
+        missing = np.flatnonzero(found < 0).tolist()
+        new = sorted({units[i] for i in missing}, key=len)
         for i in range(0, len(new), 1 << 15):
-            self._solve(sorted(new[i : i + (1 << 15)], key=len))
+            part = new[i : i + (1 << 15)]
+            literal = [u for u in part if u == LITERAL]
+            if literal:
+                # A space mark of the text itself: always its bytes.
+                ids = np.array(self.model.fallback(MARK), np.int32)
+                self._remember(literal, np.array([self.model.unknown]), np.array([np.inf]), np.array([len(ids)]), ids)
+                part = [u for u in part if u != LITERAL]
+            for unit in [u for u in part if len(u) > LONG]:
+                self._solve_long(unit)
+            part = [u for u in part if len(u) <= LONG]
+            if part:
+                self._solve(part)
+        if missing:
+            found[missing] = [known(units[i], -1) for i in missing]
+        return found
+
+    def _solve_long(self, unit: str) -> None:
+        """One unit by itself: sweeping over places pays for many units only."""
+        model, size = self.model, len(unit)
+        edges = [list(edges_into(model, unit, end)) for end in range(size + 1)]
+        forward, backward, via = [0.0] + [-np.inf] * size, [-np.inf] * size + [0.0], [None] * (size + 1)
+        for end in range(1, size + 1):
+            for start, score, piece in edges[end]:
+                if forward[start] + score > forward[end]:
+                    forward[end], via[end] = forward[start] + score, (start, piece)
+        for end in range(size, 0, -1):
+            for start, score, _ in edges[end]:
+                backward[start] = max(backward[start], score + backward[end])
+        path, node, ids = set(), size, []
+        while node:
+            start, piece = via[node]
+            path.add((start, node))
+            ids.append([model.ids[piece]] if piece in model.ids else model.fallback(piece))
+            node = start
+        others = (
+            forward[start] + score + backward[end]
+            for end in range(1, size + 1)
+            for start, score, _ in edges[end]
+            if (start, end) not in path
+        )
+        flat = np.array([i for piece in reversed(ids) for i in piece], np.int32)
+        loss = forward[size] - max(others, default=-np.inf)
+        self._remember([unit], np.array([forward[size]]), np.array([loss]), np.array([len(flat)]), flat)
 
     def _solve(self, units: list[str]) -> None:
         model = self.model
@@ -211,32 +292,33 @@ class Units:
         path_edge = np.concatenate([e for _, e in turns])
         order = np.lexsort((place[path_edge], path_unit))
         path_unit, ids = path_unit[order], name[path_edge[order]].astype(np.int64)
-        ends = np.cumsum(np.bincount(path_unit, minlength=len(units)))
-        lacking = np.add.reduceat(ids < 0, np.r_[0, ends[:-1]], dtype=np.int64) > 0
-        raw, begin = ids.astype(np.int32).tobytes(), 0
-        joined = "".join(units) if lacking.any() else ""
-        rows = zip(units, ends.tolist(), lacking.tolist(), best.tolist(), loss.tolist(), strict=True)
-        for u, stop, with_bytes, top, lost in rows:
-            mine = raw[4 * begin : 4 * stop]
-            if with_bytes:
-                row = [j for i in ids[begin:stop].tolist() for j in ([i] if i >= 0 else model.fallback(joined[-1 - i]))]
-                mine = np.array(row, np.int32).tobytes()
-            self.known[u] = (mine, top, lost)
-            begin = stop
-
-    def alternatives(self, unit: str, n: int) -> list[tuple[float, bytes]]:
+        size = np.bincount(path_unit, minlength=len(units))
+        lost = np.flatnonzero(ids < 0)
+        if len(lost):
+            # A character without a piece becomes the pieces of its bytes.
+            joined = "".join(units)
+            as_bytes = [np.array(model.fallback(joined[-1 - i]), np.int64) for i in ids[lost].tolist()]
+            counts = np.ones(len(ids), np.int64)
+            counts[lost] = [len(x) for x in as_bytes]
+            np.add.at(size, path_unit[lost], counts[lost] - 1)
+            wide = np.repeat(ids, counts)
+            wide[wide < 0] = np.concatenate(as_bytes)
+            ids = wide
+        self._remember(units, best, loss, size, ids.astype(np.int32))
+
+    def alternatives(self, unit: str, n: int) -> list[tuple[float, np.ndarray]]:
         """``(loss, ids)`` of the second to ``n``-th best segmentation of a unit."""
         if (unit, n) not in self.lists:
             if len(self.lists) >= MEMORY // 4:
                 self.lists.clear()
             found = n_best(self.model, unit, n)
-            others = [(found[0][0] - score, np.array(ids, np.int32).tobytes()) for score, ids in found[1:]]
+            others = [(found[0][0] - score, np.array(ids, np.int32)) for score, ids in found[1:]]
             self.lists[unit, n] = others
         return self.lists[unit, n]
 
 
 def _units_of(text: str, model: Model) -> list[str]:
-    """A text as units. A space mark of the text itself is a unit that starts with a zero character."""
+    """A text as units; a space mark of the text itself is one of its own."""
     if not text:
         return []
     if MARK in text:
@@ -244,7 +326,7 @@ def _units_of(text: str, model: Model) -> list[str]:
         found = _units_of(head, model) if head else [MARK]
         for part in rest:
             if part == MARK:
-                found.append("\0" + MARK)
+                found.append(LITERAL)
             elif part:
                 found += _chain(part.replace(" ", MARK), model)
         return found
@@ -252,53 +334,54 @@ def _units_of(text: str, model: Model) -> list[str]:
 
 
 def _chain(marked: str, model: Model) -> list[str]:
-    return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", marked) if model.chain else [marked]
-
-
-def encode_units(parts: list[str], units: Units, n: int) -> list[tuple[float, bytes]]:
-    """The ``n`` best segmentations of a text, given as units that are known."""
-    known = units.known
-    ids = [known[u][0] for u in parts]
-    score = sum([known[u][1] for u in parts])
-    found = [(score, b"".join(ids))]
-    if n == 1:
-        return found
-    losses = [known[u][2] for u in parts]
-    # Of the n best, none changes a unit outside those with the n - 1 least losses.
-    spots = heapq.nsmallest(n - 1, range(len(parts)), key=losses.__getitem__)
-    combined: list[tuple[float, tuple]] = [(0.0, ())]
-    for spot in sorted(s for s in spots if losses[s] < np.inf):
-        changed = [
-            (loss + more, (*changes, (spot, other)))
-            for loss, changes in combined
-            for more, other in units.alternatives(parts[spot], n)
-        ]
-        combined = heapq.nsmallest(n, combined + changed, key=lambda c: c[0])
-    for loss, changes in combined[1:]:
-        own = ids.copy()
-        for spot, other in changes:
-            own[spot] = other
-        found.append((score - loss, b"".join(own)))
-    return found
+    return model.units.findall(marked)
+
+
+def encode_texts(texts: list[str], units: Units, n: int) -> Iterator[tuple[int, int, float, np.ndarray]]:
+    """``(text, rank, score, ids)`` of the ``n`` best segmentations of each text."""
+    parts = [_units_of(text, units.model) for text in texts]
+    flat = [u for part in parts for u in part]
+    number = units.numbered(flat)
+    size, loss = units.size[number], units.loss[number]
+    # The best segmentation of all texts, one after another.
+    ends = np.cumsum(size)
+    ids = units.pool[np.repeat(units.start[number] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+    ends, scores = np.r_[0, ends], units.score[number]
+    begin = 0
+    for i, part in enumerate(parts):
+        end = begin + len(part)
+        own, score = ids[ends[begin] : ends[end]], float(scores[begin:end].sum())
+        yield i, 1, score, own
+        if n > 1 and part:
+            # Of the n best, none changes a unit outside those with the n - 1 least losses.
+            losses = loss[begin:end]
+            spots = np.argsort(losses, kind="stable")[: n - 1] if end - begin < 2 * n else np.argpartition(losses, n - 2)[: n - 1]
+            combined: list[tuple[float, tuple]] = [(0.0, ())]
+            for spot in sorted(s for s in spots.tolist() if losses[s] < np.inf):
+                changed = [
+                    (lost + more, (*changes, (spot, other)))
+                    for lost, changes in combined
+                    for more, other in units.alternatives(part[spot], n)
+                ]
+                combined = heapq.nsmallest(n, combined + changed, key=lambda c: c[0])
+            for rank, (lost, changes) in enumerate(combined[1:], 2):
+                pieces, at = [], ends[begin]
+                for spot, other in changes:
+                    pieces += [ids[at : ends[begin + spot]], other]
+                    at = ends[begin + spot + 1]
+                yield i, rank, score - lost, np.concatenate([*pieces, ids[at : ends[end]]])
+        begin = end
 
 
 def _encode(batches: Iterator[pa.RecordBatch], proto: bytes, n: int) -> Iterator[pa.RecordBatch]:
-    model = Model(proto)
-    units = Units(model)
-    units_known = {"\0" + MARK: (np.array(model.fallback(MARK), np.int32).tobytes(), model.unknown, np.inf)}
-    for step in steps(batches, limit=1 << 20):
-        texts = [_units_of(text, model) for text in step.column("t").to_pylist()]
-        units.learn({u for u in set().union(*texts) if u[0] != "\0"})
-        units.known.update(units_known)
-        rows: list[list] = [[], [], [], []]
-        for i, parts in enumerate(texts):
-            for rank, (score, ids) in enumerate(encode_units(parts, units, n)):
-                for into, value in zip(rows, (i, rank + 1, score, ids), strict=True):
-                    into.append(value)
-        offsets = np.r_[0, np.cumsum([len(x) // 4 for x in rows[3]])].astype(np.int32)
-        flat = pa.array(np.frombuffer(b"".join(rows[3]), np.int32))
+    units = Units(Model(proto))
+    for step in steps(batches):
+        rows = list(encode_texts(step.column("t").to_pylist(), units, n))
+        text, rank, score, ids = zip(*rows, strict=True)
+        offsets = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
+        flat = pa.array(np.concatenate(ids).astype(np.int32))
         yield pa.RecordBatch.from_arrays(
-            [step.column("k").take(pa.array(rows[0], pa.int32())), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.float64()), pa.ListArray.from_arrays(pa.array(offsets), flat)],
+            [step.column("k").take(pa.array(text, pa.int32())), pa.array(rank, pa.int32()), pa.array(score, pa.float64()), pa.ListArray.from_arrays(pa.array(offsets), flat)],
             names=["k", "rank", "score", "ids"],
         )
 
