@@ -160,14 +160,18 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     )
     removed = F.array_compact(F.transform("gone", lambda x, i: F.when(x, i)))
     flags = stored(flags.select("k", "gone", removed.alias("removed")), "flags")
-    joined = keyed_rows(docs, key, text).join(flags.hint("shuffle_hash"), "k", "left")
     empty = F.array().cast("array<int>")
-    kept = F.array_join(F.filter(F.split("t", "\n", -1), lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False))), "\n")
-    has_lines = F.col("t").isNotNull()
+    rows = keyed_rows(docs, key).withColumns({
+        "has_lines": F.col("row")[text].isNotNull(),
+        "alone": F.when(F.col("k").isNull(), F.size(F.split(F.col("row")[text], "\n", -1))),
+    })
+    joined = rows.join(flags.hint("shuffle_hash"), "k", "left")
+    has_lines, own = F.col("has_lines"), F.col("row")[text]
+    kept = F.array_join(F.filter(F.split(own, "\n", -1), lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False))), "\n")
     return joined.select(
         "row", "k",
-        F.when(has_lines, F.coalesce(F.size("gone"), F.size(F.split("t", "\n", -1)))).otherwise(F.lit(0)).cast("long").alias("n_lines"),
+        F.when(has_lines, F.coalesce("alone", F.size("gone"))).otherwise(F.lit(0)).cast("long").alias("n_lines"),
         F.when(has_lines, F.coalesce(F.size("removed"), F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_removed"),
         F.when(has_lines, F.coalesce("removed", empty)).otherwise(empty).alias("removed"),
-        F.when(has_lines & (F.size("removed") > 0), kept).otherwise(F.col("t")).alias("kept"),
+        F.when(has_lines & (F.size("removed") > 0), kept).otherwise(own).alias("kept"),
     )
