@@ -12,15 +12,17 @@ threshold. Then they differ in few shingles: at most ``t * (1 - s) / s``, with `
   fewer ("thin" sets) also index the one-deletion neighbourhood of their segments, which finds segments with one
   difference and so counts twice; if even that is not enough, they index their empty segments too. A pair
   can only be missed by the plain rule if both sets are thin, and then both follow the other one.
-  Filled segments beyond those needed are a set's budget: it may skip as many signatures that prove hot
-  (held by more than ``HOT`` classes, such as parts of a passage in many documents). Sets with more hot
-  signatures than that keep them all, and meet the other such sets there.
-* **Candidates.** Signatures are dealt to groups. In a group the least class of each signature is paired with
-  the others of that signature: a star, never all pairs.
+  Filled segments beyond those needed are a set's budget: it may skip as many signatures. It skips those
+  that are hot (held by more than ``HOT`` classes, such as parts of a passage in many documents), the
+  most frequent first. The order by frequency is the same for all sets, so of the signatures that two
+  linked sets agree on both skip a beginning only, each shorter than the whole: one is left to both.
+* **Candidates.** Signatures are dealt to groups. Up to ``HOT`` classes with a signature are paired; of a hot
+  one, only the least class is paired with the others: a star, never all pairs.
 * **Exact verification.** First one edge per class is verified, then components are formed, then what could
-  still join two components: star edges, and pairs that share a star's centre. The latter pass a
-  bitmap filter first: the parity bits of two sets differ in at most as many places as the sets themselves.
-  Pairs inside one component are never expanded, so large groups of copies cost a star.
+  still join two components: the other candidates, and classes of different components that share a
+  kept hot signature. These pass a bitmap filter first: the parity bits of two sets differ in at most
+  as many places as the sets themselves. Pairs inside one component are never expanded, so a large
+  group of copies costs a star.
 
 Shingles are compared by 64-bit hashes.
 """
@@ -33,8 +35,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from changeloom.llm.common import (
     Words,
@@ -49,7 +52,7 @@ from changeloom.llm.components import components
 
 LARGEST = 1 << 31
 # A signature of more classes than this is hot.
-HOT = 32
+HOT = 8
 
 
 class Rule(NamedTuple):
@@ -68,7 +71,7 @@ class Rule(NamedTuple):
             high = max(low + 1, low * 3 // 2)
             most = self.differences(high - 1)
             # Segments above what the pigeonhole asks for keep thin sets rare and pay for hot ones.
-            found.append((low, high, 1 if not most else most + 3 + most // 4))
+            found.append((low, high, 1 if not most else most + 3 + 4 * most // 5))
             low = high
         return found
 
@@ -117,14 +120,32 @@ def _parity_bits(grams: np.ndarray, size: int) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def _folded_bits(grams: np.ndarray) -> np.ndarray:
+    """The same for 512 cells, as eight numbers, for sets of any size."""
+    odd = np.bincount((grams >> np.uint64(8)).astype(np.int64) & 511, minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _may_link(rule: Rule) -> Column:
+    """Whether sizes and folded bits of two classes leave room for a link."""
+    small, large = F.least("na", "nb"), F.greatest("na", "nb")
+    differ = F.aggregate(
+        F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
+    )
+    allowed = F.floor(small * (100 - rule.percent) / rule.percent)
+    return (100 * small >= rule.percent * large) & (differ <= allowed)
+
+
 def _sketches(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for step in steps(batches):
         grams, owner, sizes = shingle_sets(step.column("t"), rule.shingle)
         ends = np.cumsum(sizes)
         bits = [_parity_bits(grams[e - n : e], int(n)) for e, n in zip(ends, sizes, strict=True)]
+        folded = np.concatenate([_folded_bits(grams[e - n : e]) for e, n in zip(ends, sizes, strict=True)])
+        eights = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * 8), pa.array(folded))
         yield pa.RecordBatch.from_arrays(
-            [step.column("k"), pa.array(sizes, pa.int64()), pa.array(_classes(grams, owner, sizes)), pa.array(bits, pa.binary())],
-            names=["k", "n", "c", "bits"],
+            [step.column("k"), pa.array(sizes, pa.int64()), pa.array(_classes(grams, owner, sizes)), pa.array(bits, pa.binary()), eights],
+            names=["k", "n", "c", "bits", "f"],
         )
 
 
@@ -211,8 +232,21 @@ def _rows(**columns: np.ndarray) -> Iterator[pa.RecordBatch]:
 _FOUND = "hot long, a long, b long, times long, tag long, budget long"
 
 
+def _pairs_of_runs(member: np.ndarray, heads: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs within runs of at most ``HOT`` sorted members."""
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for size in range(2, HOT + 1):
+        runs = member[heads[sizes == size][:, None] + np.arange(size)]
+        for i in range(size):
+            for j in range(i + 1, size):
+                a.append(runs[:, i])
+                b.append(runs[:, j])
+    return np.concatenate(a), np.concatenate(b)
+
+
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stars ``(a, b, times)`` of the signatures of a group; of hot ones ``(a = class, b = signature)``."""
+    """Pairs ``(a, b, times)`` of the signatures of a group; of hot ones ``(a = class, b = signature)``
+    with ``times``, how many classes it has, ``tag`` and ``budget``."""
     held: dict[str, list[bytes]] = {name: [] for name in ["signature", *_RECORDS]}
     for batch in batches:
         for name, into in held.items():
@@ -240,8 +274,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     heads = np.flatnonzero(np.r_[True, signature[1:] != signature[:-1]])
     held_by = np.diff(np.r_[heads, len(member)])
     centre, width = np.repeat(member[heads], held_by), np.repeat(held_by, held_by)
-    star = (width <= HOT) & (centre != member)
-    a, b = centre[star], member[star]
+    a, b = _pairs_of_runs(member, heads, held_by)
     _, at, times = np.unique(mix(a.view(np.uint64)) + b.view(np.uint64), return_index=True, return_counts=True)
     none = np.zeros(len(at), np.int64)
     yield from _rows(hot=none, a=a[at], b=b[at], times=times, tag=none, budget=none)
@@ -249,26 +282,40 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # The name of a signature in all groups; groups themselves are told apart by one of its classes.
     name = mix(signature[hot] + mix(centre[hot].view(np.uint64))).view(np.int64)
     one = np.ones(len(hot), np.int64)
-    yield from _rows(hot=one, a=member[hot], b=name, times=one, tag=record["tag"][of[hot]], budget=record["budget"][of[hot]])
+    yield from _rows(hot=one, a=member[hot], b=name, times=width[hot], tag=record["tag"][of[hot]], budget=record["budget"][of[hot]])
+
+
+def _kept_hot(found: DataFrame) -> DataFrame:
+    """``(signature, c)`` of the hot signatures that a set cannot afford to skip."""
+    rank = F.row_number().over(Window.partitionBy("a", "tag").orderBy(F.desc("times"), "b"))
+    hot = found.where("hot = 1").select("a", "b", "budget", rank.alias("rank"))
+    return hot.where("rank > budget").select(F.col("b").alias("signature"), F.col("a").alias("c"))
 
 
-def _hot_stars(found: DataFrame) -> DataFrame:
-    """Stars of the hot signatures among the sets that cannot afford to skip theirs."""
-    hot = found.where("hot = 1").select(F.col("a").alias("c"), F.col("b").alias("signature"), "tag", "budget")
-    over = hot.groupBy("c", "tag").agg(F.count("*").alias("n"), F.max("budget").alias("budget")).where("n > budget")
-    kept = stored(hot.join(over.select("c", "tag"), ["c", "tag"]).select("c", "signature"), "hot")
+def _hot_stars(kept: DataFrame) -> DataFrame:
     centres = kept.groupBy("signature").agg(F.min("c").alias("a"))
     stars = kept.join(centres, "signature").where("a <> c")
     return stars.groupBy("a", F.col("c").alias("b")).agg(F.count("*").alias("times"))
 
 
+def _strangers(kept: DataFrame, labels: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of classes of different components that share a kept hot signature."""
+    named = kept.join(labels, "c", "left").select("signature", "c", F.coalesce("label", "c").alias("label"))
+    ends = named.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = named.join(ends.where("low <> high").select("signature"), "signature")
+    mixed = stored(mixed.join(classes.select("c", "n", "f"), "c").select("signature", "c", "label", "n", "f"), "mixed")
+    sides = [mixed.toDF("signature", *[f"{name}{side}" for name in ("c", "label", "n", "f")]) for side in ("a", "b")]
+    met = sides[0].join(sides[1], "signature").where((F.col("labela") < F.col("labelb")) & _may_link(rule))
+    return met.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
+
+
 def _alike(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """Of pairs with sizes and parity bits, those that the sizes and bits do not rule out."""
     for batch in batches:
         na, nb = (np.asarray(batch.column(c), np.int64) for c in ("na", "nb"))
         small, large = np.minimum(na, nb), np.maximum(na, nb)
         fits = np.flatnonzero(100 * small >= rule.percent * large)
-        left, right = batch.column("bits_a"), batch.column("bits_b")
+        left, right = batch.column("bitsa"), batch.column("bitsb")
         keep = []
         for i in fits:
             x, y = (np.frombuffer(side[int(i)].as_py(), np.uint8) for side in (left, right))
@@ -321,14 +368,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     """
     groups = partitions_for(docs)
     source = id_and_text(docs, key, text)
-    sketches = stored(source.mapInArrow(partial(_sketches, rule=rule), "k long, n long, c long, bits binary"), "sketches")
+    sketches = stored(source.mapInArrow(partial(_sketches, rule=rule), "k long, n long, c long, bits binary, f array<long>"), "sketches")
     filled = sketches.where("n > 0 AND k IS NOT NULL")
-    classes = stored(filled.groupBy("c").agg(F.min("k").alias("k"), F.max("n").alias("n"), F.max("bits").alias("bits")), "classes")
+    classes = stored(filled.groupBy("c").agg(F.min("k").alias("k"), F.max("n").alias("n"), F.max("bits").alias("bits"), F.max("f").alias("f")), "classes")
 
     index = source.where("k IS NOT NULL").mapInArrow(partial(_index, rule=rule, groups=groups), _INDEX)
     found = stored(index.repartitionById(groups, "g").mapInArrow(_stars, _FOUND), "found")
-    plain = found.where("hot = 0").select("a", "b", "times").union(_hot_stars(found))
-    stars = stored(plain.groupBy("a", "b").agg(F.sum("times").alias("times")), "stars")
+    kept = stored(_kept_hot(found), "hot")
+    plain = found.where("hot = 0").select("a", "b", "times").union(_hot_stars(kept))
+    stars = stored(plain.groupBy("a", "b").agg(F.sum("times").alias("times")), "candidates")
     nodes = stars.select(F.col("a").alias("c")).union(stars.select(F.col("b").alias("c"))).distinct()
     places = nodes.join(classes, "c").select("c", "k")
     texts = source.join(places.hint("shuffle_hash"), "k").select("c", "t")
@@ -343,18 +391,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
         joined = pairs.join(own, column, "left")
         return joined.withColumn(f"label_{column}", F.coalesce(f"label_{column}", column))
 
-    open_stars = label_of(label_of(stars.select("a", "b"), "a"), "b")
-    split = stored(open_stars.where("label_a <> label_b"), "split")
-    # Under a centre with members of several components, members of different ones are still to compare.
-    centres = split.select("a").distinct()
-    members = open_stars.join(centres, "a").select("a", "b", "label_b")
-    others = members.select("a", F.col("b").alias("b2"), F.col("label_b").alias("label_2"))
-    strangers = split.select("a", "b", "label_b").join(others, "a").where("label_b <> label_2")
-    strangers = strangers.select(F.least("b", "b2").alias("a"), F.greatest("b", "b2").alias("b"))
-    rest = split.select("a", "b").union(strangers).distinct()
-    described = classes.select("c", "n", "bits")
-    for side in ("a", "b"):
-        rest = rest.join(described.toDF(side, f"n{side}", f"bits_{side}"), side)
+    split = label_of(label_of(stars.select("a", "b"), "a"), "b").where("label_a <> label_b").select("a", "b")
+    rest = split.union(_strangers(kept, labels, classes, rule)).distinct()
+    for columns in (("n", "f"), ("bits",)):
+        for side in ("a", "b"):
+            named = [F.col(c).alias(f"{c}{side}") for c in columns]
+            rest = rest.join(classes.select(F.col("c").alias(side), *named), side)
+        rest = rest.where(_may_link(rule)).select("a", "b", "na", "nb") if columns[0] == "n" else rest
     rest = stored(rest.mapInArrow(partial(_alike, rule=rule), "a long, b long"), "pairs")
     more = stored(_links(rest, texts, rule), "links")
     if not more.isEmpty():
