@@ -20,6 +20,7 @@ from changeloom.names import (
     split_on,
 )
 
+# The fields of a written position.
 POSITION_FIELDS = ["mode", "last_processed_val", "tracking_table", "trigger", "snapshot_table"]
 
 

@@ -13,6 +13,7 @@ DATE = ColumnType("DATE")
 NUMBER = ColumnType("NUMBER")
 FLAG = ColumnType("NUMBER", 1, 0)
 
+# Date layouts that must be read, and what they mean.
 ACCEPTED = {
     "1989-10-04T13:14:15Z": "1989-10-04 13:14:15",
     "1989-10-04T13:14:15.987654321Z": "1989-10-04 13:14:15",
