@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from changeloom.llm import cotraining as c
 
-GOOD = F.col("quality") == 1
 SMALL = c.Settings(labelled=400, pool=200, rounds=2, turns=150)
 
 
+def is_good():
+    return F.col("quality") == 1
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     chance = random.Random(1)
@@ -33,7 +36,7 @@ def tables(spark):
 
 def test_held_out_accuracy_and_calibration(tables):
     docs, labels, truth = tables
-    rows = [r for r in c.score(docs, labels, GOOD, metadata=("source", "n_chars"), settings=SMALL).collect() if r.row.doc_id >= 600]
+    rows = [r for r in c.score(docs, labels, is_good(), metadata=("source", "n_chars"), settings=SMALL).collect() if r.row.doc_id >= 600]
     assert np.mean([(r.score >= 0.5) == truth[r.row.doc_id] for r in rows]) > 0.95
     # The metadata view is weaker, and knows it.
     metadata = np.mean([(r.p_metadata >= 0.5) == truth[r.row.doc_id] for r in rows])
@@ -44,7 +47,7 @@ def test_held_out_accuracy_and_calibration(tables):
 def test_partitioning_does_not_change_scores(tables):
     docs, labels, _ = tables
     one, other = (
-        {r.row.doc_id: r.score for r in c.score(d, labels, GOOD, metadata=("source",), settings=SMALL).collect()}
+        {r.row.doc_id: r.score for r in c.score(d, labels, is_good(), metadata=("source",), settings=SMALL).collect()}
         for d in (docs.coalesce(1), docs.repartition(7))
     )
     assert one.keys() == other.keys() and all(abs(one[k] - other[k]) < 1e-9 for k in one)
@@ -55,12 +58,12 @@ def test_nulls_empties_repeats_and_no_labels(spark, tables):
     odd = spark.createDataFrame([(None, None, None, None), (2000, "", "a", 0), (2000, "", "a", 0), (2001, "x " * 50000, None, 1)], docs.schema)
     both = docs.union(odd).withColumns({"row": F.lit(1), "label": F.lit("x"), "k": F.lit(0)})
     marked = labels.union(spark.createDataFrame([(None, 1), (5000, None), (3, 0)], labels.schema))
-    found = c.score(both, marked, GOOD, metadata=("source", "n_chars"), settings=SMALL)
+    found = c.score(both, marked, is_good(), metadata=("source", "n_chars"), settings=SMALL)
     assert found.count() == 904 and found.where("score IS NULL").count() == 0
     assert found.select("row.*").columns == both.columns
     for none in (labels.limit(0), labels.where("quality = 1")):
-        assert c.score(docs, none, GOOD, metadata=("source",), settings=SMALL).where("score IS NOT NULL").count() == 0
-    assert c.score(docs.limit(0), labels, GOOD, metadata=("source",), settings=SMALL).count() == 0
+        assert c.score(docs, none, is_good(), metadata=("source",), settings=SMALL).where("score IS NOT NULL").count() == 0
+    assert c.score(docs.limit(0), labels, is_good(), metadata=("source",), settings=SMALL).count() == 0
 
 
 def test_calibration_of_perfect_and_useless_scores():
