@@ -45,27 +45,38 @@ ENCODED = "k long, rank int, score double, ids array<int>"
 _HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def piece_bytes(proto: bytes) -> list[bytes]:
+    """What each piece stands for in a text, by id."""
+    import sentencepiece
+
+    model, output = sentencepiece.SentencePieceProcessor(model_proto=proto), []
+    for i in range(model.get_piece_size()):
+        piece = model.id_to_piece(i)
+        if model.is_byte(i):
+            output.append(bytes([int(piece[3:5], 16)]))
+        elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
+            output.append(b"")
+        else:
+            output.append(piece.replace(MARK, " ").encode())
+    return output
+
+
 class Model:
-    """Pieces, scores and bytes of a model with byte fallback."""
+    """Pieces and scores of a model with byte fallback."""
 
     def __init__(self, proto: bytes):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_proto=proto)
         size = model.get_piece_size()
-        self.byte_ids, self.ids, self.output = {}, {}, []
-        scores = {}
+        self.byte_ids, self.ids, scores = {}, {}, {}
         for i in range(size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 self.byte_ids[int(piece[3:5], 16)] = i
-                self.output.append(bytes([int(piece[3:5], 16)]))
-            elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
-                self.output.append(b"")
-            else:
+            elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.ids[piece] = i
                 scores[piece] = float(model.get_score(i))
-                self.output.append(piece.replace(MARK, " ").encode())
         if len(self.byte_ids) < 256:
             raise ValueError("the model has no byte fallback")
         self.scores = scores
@@ -393,7 +404,7 @@ def decode_ids(ids: list[int], output: list[bytes]) -> str:
 
 
 def _decode(batches: Iterator[pa.RecordBatch], proto: bytes, name: str) -> Iterator[pa.RecordBatch]:
-    output = Model(proto).output
+    output = piece_bytes(proto)
     for batch in batches:
         for i in range(0, batch.num_rows, 256):
             part = batch.slice(i, 256)
