@@ -103,7 +103,8 @@ def _luhn(digits: Column) -> Column:
 def is_valid() -> Column:
     """Whether a match of an exact kind passes its check."""
     digits = F.regexp_replace("hit", "[^0-9]", "")
-    part = "0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+    # Zeros in front are given back where the part is nothing but zeros.
+    part = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
     size = F.length(digits)
     return (
         F.when(F.col("kind") == "email", F.lit(True))

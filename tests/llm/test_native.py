@@ -129,6 +129,18 @@ def test_base_spans_agree_with_the_patterns(spark):
     assert found == {k: brute_spans(t) for k, t in rows}
 
 
+def test_ip_parts_may_be_or_begin_with_zeros(spark):
+    good = ["10.0.0.1", "192.168.0.1", "255.255.255.0", "0.0.0.0", "00.1.2.3", "000.0255.00.09", "0" * 4000 + ".0.0.0"]
+    bad = ["0.0.0.256", "0256.1.1.1", "0.0.0", "1.00999.0.0", "0" * 4000 + "256.0.0.0"]
+    chance = random.Random(5)
+    parts = ["0", "00", "000", "1", "01", "9", "25", "255", "0255", "256", "0256", "300", "1000"]
+    rows = list(enumerate(good + bad + [".".join(chance.choice(parts) for _ in range(chance.randint(3, 6))) for _ in range(500)]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.k: (r.n_ip, r.base) for r in pii.personal_spans(docs).select("k", "n_ip", pii.as_text(F.col("base")).alias("base")).collect()}
+    assert {k: base for k, (_, base) in found.items()} == {k: brute_spans(t) for k, t in rows}
+    assert [found[k][0] for k in range(len(good) + len(bad))] == [1] * len(good) + [0] * len(bad)
+
+
 def test_credentials_are_added_and_plain_numbers_are_not(spark):
     chance = random.Random(4)
     rows = []
