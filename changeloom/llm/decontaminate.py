@@ -4,8 +4,9 @@ Texts are compared word by word: ASCII signs and case are ignored. A document is
 ``n`` words if some passage of it is within ``n * rate`` word edits of the item.
 
 * **Windows.** For each item length the documents' windows of that length are looked at, at every word.
-  A window within the bound has at most that many words which occur in no item of its length;
-  running counts rule out nearly all windows by that, and lose none.
+  An edit changes three of an item's three-word sequences at most, so the window at which a passage within
+  the bound begins has all but that many of them; running counts of sequences which occur in
+  items of that length rule out nearly all windows by that, and lose none.
 * **Embedding.** A CGK random walk copies a window to a sequence of up to twice its length, waiting at each
   word or moving on by a coin that the word and the step toss. Walks of two texts with few edits
   between them soon meet again, so edit distance becomes Hamming distance.
@@ -31,19 +32,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import Words, id_and_text, mix, span_hashes, steps
+from changeloom.llm.common import Words, gram_hashes, id_and_text, mix, span_hashes, steps
 
 PAD = np.uint64(0)
 # Longer steps than elsewhere: each one has a fixed cost per item length.
 STEP = 4 << 20
+# Words of the sequences that windows are filtered by.
+GRAM = 3
+# Places that walk at once.
+WALKS = 1 << 20
 MATCHES = "k long, item long, start int, end int, distance int"
 
 
 class Settings(NamedTuple):
-    rate: float = 0.1
+    rate: float = 0.2
     min_words: int = 8
-    rounds: int = 8
-    samples: int = 4
+    rounds: int = 16
+    samples: int = 2
     block_bytes: int = 8 << 20
 
     def edits(self, n: int) -> int:
@@ -57,7 +62,7 @@ class Settings(NamedTuple):
 
 class Index(NamedTuple):
     items: list[tuple[int, np.ndarray]]
-    # By the end of a word's hash: in which classes of item lengths it occurs.
+    # By the end of the hash of GRAM words: in which classes of item lengths they occur.
     vocabulary: np.ndarray
     length_class: dict[int, int]
     by_length: dict[int, tuple[np.ndarray, np.ndarray]]
@@ -94,7 +99,8 @@ def build_index(rows: list[tuple[int, str]], settings: Settings) -> Index:
     length_class = {n: i * min(64, len(lengths)) // len(lengths) for i, n in enumerate(lengths)}
     vocabulary, by_length = np.zeros(size, np.uint64), {}
     for _, words in items:
-        vocabulary[(words & np.uint64(size - 1)).astype(np.int64)] |= np.uint64(1 << length_class[len(words)])
+        grams = gram_hashes(words, GRAM)
+        vocabulary[(grams & np.uint64(size - 1)).astype(np.int64)] |= np.uint64(1 << length_class[len(words)])
     for n in lengths:
         mine = [i for i, (_, words) in enumerate(items) if len(words) == n]
         joined = np.concatenate([items[i][1] for i in mine])
@@ -108,28 +114,33 @@ def build_index(rows: list[tuple[int, str]], settings: Settings) -> Index:
 
 def _candidates(words: np.ndarray, stops: np.ndarray, index: Index, settings: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
     """``(place, item)`` of windows that share a signature with an item."""
-    classes = index.vocabulary[(words & np.uint64(len(index.vocabulary) - 1)).astype(np.int64)]
+    grams = gram_hashes(words, GRAM)
+    classes = index.vocabulary[(grams & np.uint64(len(index.vocabulary) - 1)).astype(np.int64)]
     found, last, count = [], None, np.zeros(0)
     for n in sorted(index.by_length):
         if index.length_class[n] != last:
             last = index.length_class[n]
             count = np.cumsum((classes >> np.uint64(last)) & np.uint64(1), dtype=np.int32)
-            count = np.r_[np.int32(0), count, np.full(max(index.by_length), count[-1], np.int32)]
-        least = n - settings.edits(n)
-        at = np.flatnonzero(count[n : n + len(words)] - count[: len(words)] >= least)
+            count = np.r_[np.int32(0), count, np.full(max(index.by_length) + GRAM, count[-1] if len(count) else 0, np.int32)]
+        inside = n - GRAM + 1
+        least = inside - GRAM * settings.edits(n)
+        at = np.flatnonzero(count[inside : inside + len(words)] - count[: len(words)] >= least)
         ends = np.minimum(at + n, stops[at])
-        mine = count[ends] - count[at] >= least
+        mine = count[np.maximum(ends - GRAM + 1, at)] - count[at] >= least
         at, ends = at[mine], ends[mine]
         if len(at):
             names, owners = index.by_length[n]
             # Repeated lines make windows that are equal; one walk serves them all.
             _, one, same = np.unique(span_hashes(words, at, ends), return_index=True, return_inverse=True)
-            signatures = _signatures(words, at[one], ends[one], n, settings)[same].ravel()
+            rounds = settings.rounds
+            cuts = range(0, len(one), max(1, WALKS // rounds))
+            walked = [_signatures(words, at[x], ends[x], n, settings) for x in (one[c : c + cuts.step] for c in cuts)]
+            signatures = np.concatenate(walked)[same].ravel()
             left, right = np.searchsorted(names, signatures, "left"), np.searchsorted(names, signatures, "right")
             hits = np.flatnonzero(right > left)
             width = right[hits] - left[hits]
             spread = np.repeat(left[hits] - (np.cumsum(width) - width), width) + np.arange(width.sum())
-            found.append((np.repeat(at[hits // settings.rounds], width), owners[spread]))
+            found.append((np.repeat(at[hits // rounds], width), owners[spread]))
     return found
 
 

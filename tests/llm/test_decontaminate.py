@@ -108,3 +108,34 @@ def test_walks_depend_on_words_only():
     both = d._signatures(np.r_[words, words], np.array([0, 60]), np.array([60, 120]), 60, d.Settings())
     assert (both[0] == both[1]).all()
     assert pa.array(both[0]).null_count == 0
+
+
+def at_the_bound(n, edits, trials=40):
+    """Items of ``n`` words, and texts with them after exactly ``edits`` edits."""
+    chance = random.Random(n)
+    text = lambda n: [f"w{chance.randrange(3000)}" for _ in range(n)]
+    items = [(i, text(n)) for i in range(trials)]
+    return items, [text(n) + change_exactly(chance, item, edits) + text(n // 2) for _, item in items]
+
+
+def change_exactly(chance, words, edits):
+    """Edits at distinct words, to words that occur nowhere else: the distance is their number."""
+    words = [[w] for w in words]
+    for at in chance.sample(range(len(words)), edits):
+        kind = chance.choice("ids")
+        words[at] = {"i": [f"new{at}", *words[at]], "d": [], "s": [f"new{at}"]}[kind]
+    return [w for group in words for w in group]
+
+
+def share_found(n, edits):
+    items, texts = at_the_bound(n, edits)
+    index = d.build_index([(i, " ".join(w)) for i, w in items], d.Settings())
+    found = {(row, item) for row, item, *_ in d._found(pa.array([" ".join(t) for t in texts]), index, d.Settings())}
+    assert all(a == b for a, b in found)
+    return len(found) / len(items)
+
+
+def test_a_fifth_of_the_words_may_be_edited():
+    settings = d.Settings()
+    assert [settings.edits(n) for n in (8, 15, 40, 59)] == [1, 3, 8, 11]
+    assert all(share_found(n, n // 5) >= 0.9 for n in (8, 15, 40))
