@@ -1,7 +1,8 @@
 """Benchmark decontamination with CGK embeddings and bit-sampling LSH (operator 1).
 
 Texts are compared word by word: ASCII signs and case are ignored. A document is contaminated by an item of
-``n`` words if some passage of it is within ``n * rate`` word edits of the item.
+``n`` words if some passage of it is within ``n * rate`` word edits of the item. Items under ``min_words`` words must be
+met exactly; they are looked up by the hash of their words.
 
 * **Windows.** For each item length the documents' windows of that length are looked at, at every word.
   An edit changes three of an item's three-word sequences at most, so the window at which a passage within
@@ -10,9 +11,10 @@ Texts are compared word by word: ASCII signs and case are ignored. A document is
 * **Embedding.** A CGK random walk copies a window to a sequence of up to twice its length, waiting at each
   word or moving on by a coin that the word and the step toss. Walks of two texts with few edits
   between them soon meet again, so edit distance becomes Hamming distance.
-* **Bit sampling.** A signature is made of ``samples`` places of a walk. It is repeated ``rounds`` times with other
-  coins and places, so that the chance to miss a passage falls with every round, and every passage has
-  several windows. Recall is measured against brute force in the tests.
+* **Bit sampling.** A signature is made of ``samples`` places of a walk. It is repeated with other coins and places, so
+  that the chance to miss a passage falls with every round, and every passage has several windows. Walks drift
+  apart with every edit, so the number of rounds follows from the item's length: as many as it takes to find
+  a passage with all edits of the bound with the chance ``target``. Tests measure that.
 * **Verification.** Neighbouring candidate windows are one region, in which the best passage and its exact edit
   distance are found by dynamic programming.
 
@@ -23,6 +25,7 @@ item text, one pass over the documents for each block, so its size has a bound t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 from typing import NamedTuple
@@ -47,12 +50,21 @@ MATCHES = "k long, item long, start int, end int, distance int"
 class Settings(NamedTuple):
     rate: float = 0.2
     min_words: int = 8
-    rounds: int = 16
+    target: float = 0.99
     samples: int = 2
     block_bytes: int = 8 << 20
 
     def edits(self, n: int) -> int:
-        return max(1, int(n * self.rate))
+        return max(1, int(n * self.rate)) if n >= self.min_words else 0
+
+    def rounds(self, n: int) -> int:
+        """As many as reach the target when all edits of the bound are used.
+
+        Simulated walks (random words, 8 to 400 words, a fifth of them edited, two samples) meet in a round with a chance
+        of 0.68 to 0.08; the fit below is under what their recall amounts to at every length.
+        """
+        chance = (1.6 / (self.edits(n) + 2)) ** (self.samples / 2)
+        return max(1, math.ceil(math.log(1 - self.target) / math.log(1 - chance)))
 
     def places(self, n: int, turn: int) -> np.ndarray:
         """The sampled steps of a walk; a walk over ``n`` words is mostly over after ``2 n`` steps."""
@@ -69,14 +81,17 @@ class Index(NamedTuple):
 
 
 def _signatures(words: np.ndarray, starts: np.ndarray, stops: np.ndarray, n: int, settings: Settings) -> np.ndarray:
-    """A row of ``rounds`` signatures for each window; words at or after its stop are padding."""
-    turns = np.arange(settings.rounds, dtype=np.uint64)[:, None]
+    """A row of signatures, one a round, for each window; words at or after its stop are padding."""
+    if n < settings.min_words:
+        return span_hashes(words, starts, stops)[:, None]
+    rounds = settings.rounds(n)
+    turns = np.arange(rounds, dtype=np.uint64)[:, None]
     sampled: dict[int, list[int]] = {}
-    for turn in range(settings.rounds):
+    for turn in range(rounds):
         for place in settings.places(n, turn).tolist():
             sampled.setdefault(place, []).append(turn)
     # All rounds walk at once: a row per round.
-    at = np.repeat(starts[None, :], settings.rounds, 0)
+    at = np.repeat(starts[None, :], rounds, 0)
     names = np.repeat(mix(turns + np.uint64(n * 1000)), len(starts), 1)
     for step in range(max(sampled) + 1):
         word = np.where(at < stops, words[np.minimum(at, len(words) - 1)], PAD)
@@ -86,11 +101,16 @@ def _signatures(words: np.ndarray, starts: np.ndarray, stops: np.ndarray, n: int
     return names.T
 
 
+def gram_of(n: int) -> int:
+    """Words of the sequences by which windows of ``n`` words are filtered."""
+    return min(n, GRAM)
+
+
 def build_index(rows: list[tuple[int, str]], settings: Settings) -> Index:
     items = []
     for item, text in rows:
         words = Words(pa.array([text or ""]), fold=True).hashes()
-        if len(words) >= settings.min_words:
+        if len(words):
             items.append((item, words))
     size = 1 << 12
     while size < 64 * sum(len(words) for _, words in items):
@@ -99,14 +119,14 @@ def build_index(rows: list[tuple[int, str]], settings: Settings) -> Index:
     length_class = {n: i * min(64, len(lengths)) // len(lengths) for i, n in enumerate(lengths)}
     vocabulary, by_length = np.zeros(size, np.uint64), {}
     for _, words in items:
-        grams = gram_hashes(words, GRAM)
+        grams = gram_hashes(words, gram_of(len(words)))
         vocabulary[(grams & np.uint64(size - 1)).astype(np.int64)] |= np.uint64(1 << length_class[len(words)])
     for n in lengths:
         mine = [i for i, (_, words) in enumerate(items) if len(words) == n]
         joined = np.concatenate([items[i][1] for i in mine])
         starts = np.arange(len(mine)) * n
         names = _signatures(joined, starts, starts + n, n, settings)
-        owners = np.repeat(np.array(mine), settings.rounds)
+        owners = np.repeat(np.array(mine), names.shape[1])
         order = np.argsort(names.ravel(), kind="stable")
         by_length[n] = (names.ravel()[order], owners[order])
     return Index(items, vocabulary, length_class, by_length)
@@ -114,28 +134,29 @@ def build_index(rows: list[tuple[int, str]], settings: Settings) -> Index:
 
 def _candidates(words: np.ndarray, stops: np.ndarray, index: Index, settings: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
     """``(place, item)`` of windows that share a signature with an item."""
-    grams = gram_hashes(words, GRAM)
-    classes = index.vocabulary[(grams & np.uint64(len(index.vocabulary) - 1)).astype(np.int64)]
     found, last, count = [], None, np.zeros(0)
     for n in sorted(index.by_length):
-        if index.length_class[n] != last:
-            last = index.length_class[n]
-            count = np.cumsum((classes >> np.uint64(last)) & np.uint64(1), dtype=np.int32)
+        gram = gram_of(n)
+        if (index.length_class[n], gram) != last:
+            if last is None or gram != last[1]:
+                classes = index.vocabulary[(gram_hashes(words, gram) & np.uint64(len(index.vocabulary) - 1)).astype(np.int64)]
+            last = (index.length_class[n], gram)
+            count = np.cumsum((classes >> np.uint64(last[0])) & np.uint64(1), dtype=np.int32)
             count = np.r_[np.int32(0), count, np.full(max(index.by_length) + GRAM, count[-1] if len(count) else 0, np.int32)]
-        inside = n - GRAM + 1
-        least = inside - GRAM * settings.edits(n)
+        inside = n - gram + 1
+        least = inside - gram * settings.edits(n)
         at = np.flatnonzero(count[inside : inside + len(words)] - count[: len(words)] >= least)
         ends = np.minimum(at + n, stops[at])
-        mine = count[np.maximum(ends - GRAM + 1, at)] - count[at] >= least
+        mine = count[np.maximum(ends - gram + 1, at)] - count[at] >= least
         at, ends = at[mine], ends[mine]
         if len(at):
             names, owners = index.by_length[n]
             # Repeated lines make windows that are equal; one walk serves them all.
             _, one, same = np.unique(span_hashes(words, at, ends), return_index=True, return_inverse=True)
-            rounds = settings.rounds
-            cuts = range(0, len(one), max(1, WALKS // rounds))
+            cuts = range(0, len(one), max(1, WALKS // settings.rounds(n)))
             walked = [_signatures(words, at[x], ends[x], n, settings) for x in (one[c : c + cuts.step] for c in cuts)]
-            signatures = np.concatenate(walked)[same].ravel()
+            signatures = np.concatenate(walked)[same]
+            rounds, signatures = signatures.shape[1], signatures.ravel()
             left, right = np.searchsorted(names, signatures, "left"), np.searchsorted(names, signatures, "right")
             hits = np.flatnonzero(right > left)
             width = right[hits] - left[hits]
@@ -226,7 +247,7 @@ def contaminated_passages(
     """``(k, item, start, end, distance)``: the passages, in words, of each document within an item's bound.
 
     A region of overlapping candidates gives its best passage, the first of equal ones. NULL, empty and
-    short texts have none; items under ``min_words`` words match nothing; repeated rows and items
+    short texts have none; items without words match nothing; repeated rows and items
     repeat their matches; a NULL key is kept as it is. Without documents or items the result is empty.
     """
     source, found = id_and_text(docs, key, text), None

@@ -127,8 +127,8 @@ def change_exactly(chance, words, edits):
     return [w for group in words for w in group]
 
 
-def share_found(n, edits):
-    items, texts = at_the_bound(n, edits)
+def share_found(n, edits, trials=40):
+    items, texts = at_the_bound(n, edits, trials)
     index = d.build_index([(i, " ".join(w)) for i, w in items], d.Settings())
     found = {(row, item) for row, item, *_ in d._found(pa.array([" ".join(t) for t in texts]), index, d.Settings())}
     assert all(a == b for a, b in found)
@@ -139,3 +139,15 @@ def test_a_fifth_of_the_words_may_be_edited():
     settings = d.Settings()
     assert [settings.edits(n) for n in (8, 15, 40, 59)] == [1, 3, 8, 11]
     assert all(share_found(n, n // 5) >= 0.9 for n in (8, 15, 40))
+
+
+def test_recall_at_the_full_bound_does_not_fall_with_length():
+    for n, trials in ((8, 40), (15, 40), (60, 40), (200, 20), (400, 10)):
+        assert share_found(n, d.Settings().edits(n), trials) >= 0.95, n
+
+
+def test_items_of_few_words_are_met_exactly(spark):
+    docs = spark.createDataFrame([(1, "so too short, indeed"), (2, "too long"), (3, "short"), (4, "Too Short"), (5, "a b c d e f g"), (6, "a b c x e f g")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "too short"), (2, "a b c d e f g"), (3, "!"), (4, "short")], "item_id long, text string")
+    found = sorted(tuple(r) for r in d.contaminated_passages(docs, items).collect())
+    assert found == [(1, 1, 1, 3, 0), (1, 4, 2, 3, 0), (3, 4, 0, 1, 0), (4, 1, 0, 2, 0), (4, 4, 1, 2, 0), (5, 2, 0, 7, 0)]
