@@ -15,8 +15,8 @@ met exactly; they are looked up by the hash of their words.
   that the chance to miss a passage falls with every round, and every passage has several windows. Walks drift
   apart with every edit, so the number of rounds follows from the item's length: as many as it takes to find
   a passage with all edits of the bound with the chance ``target``. Tests measure that.
-* **Verification.** Neighbouring candidate windows are one region, in which the best passage and its exact edit
-  distance are found by dynamic programming.
+* **Verification.** Neighbouring candidate windows are one region, in which passages and their exact edit distances
+  are found by dynamic programming: the best one first, then all others that overlap none before them.
 
 Documents are not shuffled. The index of the items goes to the tasks in blocks of at most ``block_bytes`` of
 item text, one pass over the documents for each block, so its size has a bound that no table can exceed
@@ -26,6 +26,7 @@ item text, one pass over the documents for each block, so its size has a bound t
 from __future__ import annotations
 
 import math
+from bisect import bisect_left as bisect
 from collections.abc import Iterator
 from functools import partial
 from typing import NamedTuple
@@ -165,23 +166,61 @@ def _candidates(words: np.ndarray, stops: np.ndarray, index: Index, settings: Se
     return found
 
 
-def best_passage(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
-    """``(distance, start, end)`` of the passage with the least edit distance to the item."""
+def _last_row(pattern: np.ndarray, text: np.ndarray, anywhere: bool) -> np.ndarray:
+    """Per end in the text, the least edit distance of the pattern to the text from its start, or from anywhere."""
+    steps_ = np.arange(len(text) + 1)
+    row = np.zeros_like(steps_) if anywhere else steps_.copy()
+    for i, word in enumerate(pattern):
+        new = np.empty_like(row)
+        new[0] = i + 1
+        new[1:] = np.minimum(row[:-1] + (text != word), row[1:] + 1)
+        row = np.minimum.accumulate(new - steps_) + steps_
+    return row
 
-    def last_row(pattern: np.ndarray, text: np.ndarray, anywhere: bool) -> np.ndarray:
-        steps_ = np.arange(len(text) + 1)
-        row = np.zeros_like(steps_) if anywhere else steps_.copy()
-        for i, word in enumerate(pattern):
-            new = np.empty_like(row)
-            new[0] = i + 1
-            new[1:] = np.minimum(row[:-1] + (text != word), row[1:] + 1)
-            row = np.minimum.accumulate(new - steps_) + steps_
-        return row
 
-    ends = last_row(item, words, True)
-    end = int(ends.argmin())
-    starts = last_row(item[::-1], words[:end][::-1], False)
-    return int(ends[end]), end - int(starts.argmin()), end
+def passages(item: np.ndarray, words: np.ndarray, edits: int) -> list[tuple[int, int, int]]:
+    """``(distance, start, end)`` of passages within ``edits`` that do not overlap, better ones first taken, by place.
+
+    No further passage fits beside them.
+    """
+    if not edits:
+        same = np.ones(max(0, len(words) - len(item) + 1), bool)
+        for i, word in enumerate(item):
+            same &= words[i : i + len(same)] == word
+        taken, free = [], 0
+        for start in np.flatnonzero(same).tolist():
+            if start >= free:
+                free = start + len(item)
+                taken.append((0, start, free))
+        return taken
+    taken, gaps = [], [(0, len(words))]
+    while gaps:
+        low, high = gaps.pop()
+        if high - low < len(item) - edits:
+            continue
+        row = _last_row(item, words[low:high], True)
+        if row.min() > edits:
+            continue
+        # Ends that are no worse than the ones beside them; what they leave is looked at as gaps of their own.
+        sides = np.r_[edits + 1, row, edits + 1]
+        ends = np.flatnonzero((row <= edits) & (row <= sides[:-2]) & (row <= sides[2:]))
+        spans: list[tuple[int, int, int]] = []
+        for end in ends[np.argsort(row[ends], kind="stable")].tolist():
+            i = bisect(spans, (low + end,))
+            # The nearest one before, and the nearest that ends at or after this end.
+            least = low + end - (len(item) - edits)
+            if (i and spans[i - 1][0] > least) or (i < len(spans) and spans[i][1] < low + end):
+                continue
+            begin = max(0, end - len(item) - edits)
+            size = int(_last_row(item[::-1], words[low + begin : low + end][::-1], False).argmin())
+            start = low + end - size
+            if i and spans[i - 1][0] > start:
+                continue
+            spans.insert(i, (low + end, start, int(row[end])))
+        edges = [low, *(x for end, start, _ in spans for x in (start, end)), high]
+        gaps += zip(edges[::2], edges[1::2], strict=True)
+        taken += [(distance, start, end) for end, start, distance in spans]
+    return sorted(taken, key=lambda x: x[1])
 
 
 def _found(column: pa.Array, index: Index, settings: Settings) -> Iterator[tuple[int, int, int, int, int]]:
@@ -197,7 +236,8 @@ def _found(column: pa.Array, index: Index, settings: Settings) -> Iterator[tuple
     place, item = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
     order = np.lexsort((place, item))
     place, item = place[order], item[order]
-    sizes = np.array([len(w) for _, w in index.items])
+    # So far apart that regions, with what is looked at beside them, do not overlap.
+    sizes = np.array([len(w) + 4 * settings.edits(len(w)) for _, w in index.items])
     apart = (np.diff(place) > sizes[item[1:]]) | (np.diff(item) != 0) | (owner[place[1:]] != owner[place[:-1]])
     heads = np.flatnonzero(np.r_[True, apart])
     for a, b in zip(heads, np.r_[heads[1:], len(place)] - 1, strict=True):
@@ -205,9 +245,8 @@ def _found(column: pa.Array, index: Index, settings: Settings) -> Iterator[tuple
         edits = settings.edits(len(pattern))
         low = max(int(text.first[row]), int(place[a]) - 2 * edits)
         high = min(int(text.first[row + 1]), int(place[b]) + len(pattern) + 2 * edits)
-        distance, start, end = best_passage(pattern, words[low:high])
-        if distance <= edits:
-            shift = low - int(text.first[row])
+        shift = low - int(text.first[row])
+        for distance, start, end in passages(pattern, words[low:high], edits):
             yield row, name, start + shift, end + shift, distance
 
 
@@ -246,7 +285,8 @@ def contaminated_passages(
 ) -> DataFrame:
     """``(k, item, start, end, distance)``: the passages, in words, of each document within an item's bound.
 
-    A region of overlapping candidates gives its best passage, the first of equal ones. NULL, empty and
+    Passages of one item do not overlap: the best of a region is taken, the first of equal ones, and then all
+    that fit beside those taken. NULL, empty and
     short texts have none; items without words match nothing; repeated rows and items
     repeat their matches; a NULL key is kept as it is. Without documents or items the result is empty.
     """

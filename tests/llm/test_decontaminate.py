@@ -151,3 +151,32 @@ def test_items_of_few_words_are_met_exactly(spark):
     items = spark.createDataFrame([(1, "too short"), (2, "a b c d e f g"), (3, "!"), (4, "short")], "item_id long, text string")
     found = sorted(tuple(r) for r in d.contaminated_passages(docs, items).collect())
     assert found == [(1, 1, 1, 3, 0), (1, 4, 2, 3, 0), (3, 4, 0, 1, 0), (4, 1, 0, 2, 0), (4, 4, 1, 2, 0), (5, 2, 0, 7, 0)]
+
+
+def test_every_copy_of_an_item_is_a_passage():
+    item = [f"w{i}" for i in range(20)]
+    near = [*item[:5], "new", *item[6:]]
+    index = d.build_index([(7, " ".join(item)), (8, "w0 w1"), (9, "a " * 8)], d.Settings())
+
+    def found(*parts):
+        text = pa.array(["before " * 3 + " ".join(w for p in parts for w in p) + " after"])
+        return [(i, s - 3, e - 3, x) for _, i, s, e, x in d._found(text, index, d.Settings()) if i != 8]
+
+    assert found(*[item] * 50) == [(7, 20 * i, 20 * i + 20, 0) for i in range(50)]
+    assert found(item, near, near, item) == [(7, 0, 20, 0), (7, 20, 40, 1), (7, 40, 60, 1), (7, 60, 80, 0)]
+    assert found(item, item[1:], item) == [(7, 0, 20, 0), (7, 20, 39, 1), (7, 39, 59, 0)]
+    assert [x[1] for x in found(["a"] * 32)] == [0, 8, 16, 24]
+    twice = list(d._found(pa.array(["w0 w1 w0 w1 w1 w0 w1"]), index, d.Settings()))
+    assert [x[2:] for x in twice] == [(0, 2, 0), (2, 4, 0), (5, 7, 0)]
+
+
+def test_passages_do_not_overlap_and_leave_none():
+    chance = random.Random(9)
+    for _ in range(300):
+        item = np.array([chance.randrange(4) for _ in range(10)])
+        words = np.array([chance.randrange(4) for _ in range(chance.randint(0, 60))], int)
+        taken = d.passages(item, words, 2)
+        edges = [0, *(x for _, s, e in taken for x in (s, e)), len(words)]
+        assert edges == sorted(edges)
+        assert all(edit_distance(item, words[s:e]) == x <= 2 for x, s, e in taken)
+        assert all(edit_distance(item, words[a:b]) > 2 for a, b in zip(edges[::2], edges[1::2], strict=True))
