@@ -1,20 +1,17 @@
-"""Removal of repeated passages with prefix-partitioned suffix trees (operator 4).
-
-A suffix is a document from one word on, and a tree of all suffixes down to a depth of ``window``
-words has an internal node at that depth for every window that occurs more than once. The tree is
-never built as a whole. Each suffix has a prefix of variable length, which ends with the least
-``gram``-word sequence (by hash) of its window, and suffixes whose prefixes end alike form one subtree.
-Equal windows have equal prefixes, so no node is split between subtrees; neighbouring suffixes mostly
-share the subtree and travel together as a run, about as long as ``(window - gram) / 2`` words.
-Subtrees are dealt into as many groups as the session has shuffle partitions, which makes them as large
-as the memory of a task. A group holds its leaves sorted by path label; leaves with equal labels are
-the children of a deep node, and runs of such leaves give the maximal repeats.
+"""Removal of repeated passages by a join of window hashes, partitioned by minimiser (operator 4).
+
+This stands in for prefix-partitioned suffix trees: no suffixes are sorted, and there are no LCPs and no
+inner nodes. Every window of ``window`` words has a hash, and equal hashes are repeats. A window's minimiser is its
+least ``gram``-word sequence (by hash). Equal windows have equal minimisers, so it says in which group a
+window is looked up; neighbouring windows mostly share theirs and travel together as a run, about
+as long as ``(window - gram) / 2`` words. There are as many groups as the session has shuffle
+partitions. Maximal repeats are unions of windows; only the one length can be asked for.
 
 A step of a scanning task first looks for repeats among its own texts. It sends a window once and
 answers for its other occurrences itself, so that a passage that fills the corpus costs a window per
 step, not one per document.
 
-Path labels are 64-bit hashes of the prefix's end with 48-bit hashes of the window; the words
+Windows are compared by 64-bit hashes of the minimiser with 48-bit hashes of the window; the words
 themselves are not compared again.
 """
 
