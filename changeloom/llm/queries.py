@@ -15,6 +15,7 @@ from changeloom.llm.lines import dedup_lines
 from changeloom.llm.pii import as_text, personal_spans
 from changeloom.llm.pieces import decode, encode
 from changeloom.llm.preferences import format_preferences, neighbouring_pairs
+from changeloom.llm.spelling import group_variants, vocabulary
 from changeloom.llm.substring import remove_repeats
 from changeloom.llm.tokencounts import attribute_tokens
 from workload.registry import Query, Registry
@@ -107,3 +108,9 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pair_id", "part", "turn", "role", F.sha2("segment", 256).alias("segment_sha256"),
         "start", "end", "loss_start", "loss_end",
     )
+
+
+@QUERIES.add(oracles.SPELLING)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = vocabulary(table(spark, sf_dir, "documents"), drop_every=97)
+    return group_variants(words).select("word", "n", "n_near", "form", "form_n", "root")
