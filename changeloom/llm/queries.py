@@ -13,6 +13,7 @@ from changeloom.llm.hostrules import judge
 from changeloom.llm.jaccard import near_duplicates
 from changeloom.llm.lines import dedup_lines
 from changeloom.llm.pii import as_text, personal_spans
+from changeloom.llm.periods import periodic_runs, with_planted_periods
 from changeloom.llm.pieces import decode, encode
 from changeloom.llm.preferences import format_preferences, neighbouring_pairs
 from changeloom.llm.spelling import group_variants, vocabulary
@@ -114,3 +115,20 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = vocabulary(table(spark, sf_dir, "documents"), drop_every=97)
     return group_variants(words).select("word", "n", "n_near", "form", "form_n", "root")
+
+
+@QUERIES.add(None)
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    planted = docs.select("doc_id", with_planted_periods(F.col("text"), F.col("doc_id")).alias("text"))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = periodic_runs(planted).select(
+        F.col("k").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), longest.alias("longest"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    length, period = -F.col("longest.less"), F.col("longest.period")
+    return found.select(
+        "doc_id", "n_runs", F.col("longest.start").alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
