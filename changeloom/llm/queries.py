@@ -19,6 +19,7 @@ from changeloom.llm.preferences import format_preferences, neighbouring_pairs
 from changeloom.llm.spelling import group_variants, vocabulary
 from changeloom.llm.substring import remove_repeats
 from changeloom.llm.tokencounts import attribute_tokens
+from changeloom.llm.toxicity import toxicity
 from workload.registry import Query, Registry
 
 import corpus_pipeline
@@ -132,3 +133,16 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_runs", F.col("longest.start").alias("start"), length.alias("length"), period.alias("period"),
         F.floor(1000 * length / period).alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
     )
+
+
+def is_held_out(key: str) -> Column:
+    """A fifth of the documents, from whose labels nothing is learnt."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+@QUERIES.add(None)
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(~is_held_out("doc_id"))
+    scored = toxicity(table(spark, sf_dir, "documents"), labels, F.col("toxic"), keep=("doc_id",)).select("row.doc_id", "score")
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", is_held_out("doc_id").alias("held_out"), "score", predicted)
