@@ -16,6 +16,8 @@ its most frequent near word, if that one is at least ``ratio`` times as frequent
   are listed.
 * **Roots.** Frequencies rise from form to form by the ratio, so chains are short; each round doubles the
   length of the steps.
+
+Tables of the vocabulary are small on disk and large in memory, and grow: they are joined by sorting, never broadcast.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.functions.binding import evaluate_once
-from changeloom.llm.common import mix, stored
+from changeloom.llm.common import mix, partitions_for, stored
 
 LETTERS = "[A-Za-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -180,15 +182,17 @@ def near_pairs(words: DataFrame, symbols: tuple[int, ...] = SYMBOLS, crowd: int
             marked = own.withColumn("crowded", F.lit(False))
         else:
             shared = own.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > crowd)
-            marked = own.join(shared.select("key", F.lit(True).alias("crowded")), "key", "left")
+            marked = own.join(shared.select("key", F.lit(True).alias("crowded")).hint("merge"), "key", "left")
             marked = marked.select("word", "n", "key", F.coalesce("crowded", F.lit(False)).alias("crowded"))
         marked = stored(marked, "reduced")
-        ways = marked.select("word", "n", "crowded").mapInArrow(
+        # A row becomes a hundred: few files must not mean few tasks.
+        spread = marked.select("word", "n", "crowded").repartition(partitions_for(marked))
+        ways = spread.mapInArrow(
             partial(_edits, symbols=size, letters=_ALL_LETTERS), "word string, n long, crowded boolean, key long"
         )
         quiet = marked.where(~F.col("crowded")).select("key", F.col("word").alias("near"), F.col("n").alias("n_near"))
         # Lengths and the edit are compared inside the join, so no other pair leaves it.
-        pairs = ways.join(quiet, "key").where(F.levenshtein("word", "near", 1) == 1)
+        pairs = ways.join(quiet.hint("merge"), "key").where(F.levenshtein("word", "near", 1) == 1)
         both = F.when(
             F.col("crowded"),
             F.array(F.struct("word", "near", "n_near"), F.struct(F.col("near").alias("word"), F.col("word").alias("near"), F.col("n").alias("n_near"))),
@@ -203,7 +207,7 @@ def roots_of(forms: DataFrame) -> DataFrame:
     links = stored(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         onward = links.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        jumped = links.join(onward, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved"))
+        jumped = links.join(onward.hint("merge"), "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved"))
         jumped = stored(jumped, "roots")
         links = jumped.select("word", "root")
         if jumped.where("moved").isEmpty():
@@ -223,7 +227,7 @@ def group_variants(words: DataFrame, ratio: int = 2, symbols: tuple[int, ...] =
     # Strings compare by their UTF-8 bytes, which is the order of their code points.
     best = F.min(F.struct((-F.col("n_near")).alias("less"), "near")).alias("best")
     near = near_pairs(words, symbols, crowd).groupBy("word").agg(F.count("*").alias("n_near"), best)
-    joined = words.join(near, "word", "left")
+    joined = words.join(near.hint("merge"), "word", "left")
     leads = -F.col("best.less") >= ratio * F.col("n")
     joined = joined.select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
@@ -231,4 +235,4 @@ def group_variants(words: DataFrame, ratio: int = 2, symbols: tuple[int, ...] =
     )
     joined = stored(joined, "forms")
     roots = roots_of(joined.where("form IS NOT NULL"))
-    return joined.join(roots, "word", "left").select(*joined.columns, F.coalesce("root", "word").alias("root"))
+    return joined.join(roots.hint("merge"), "word", "left").select(*joined.columns, F.coalesce("root", "word").alias("root"))
