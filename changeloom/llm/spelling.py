@@ -39,6 +39,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SYMBOLS = (6, 30, 0)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP_ROWS = 4096
+# Letters of a word that its many rows carry along.
+_SHORT = 40
 
 
 def with_dropped_letters(word: Column, key: Column, every: int) -> Column:
@@ -147,7 +149,7 @@ def _owns(batches: Iterator[pa.RecordBatch], symbols: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([step.column("word"), step.column("n"), keys], names=["word", "n", "key"])
 
 
-def _edits(batches: Iterator[pa.RecordBatch], symbols: int, letters: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+def _edits(batches: Iterator[pa.RecordBatch], symbols: int, letters: tuple[int, ...], carried: str) -> Iterator[pa.RecordBatch]:
     alphabet = np.arange(1, symbols + 1, dtype=np.uint64) if symbols else np.array(letters, np.uint64)
     for step in _steps(batches):
         # Long words have as many variants as letters and symbols, each of fixed size: one step holds few of them.
@@ -160,8 +162,8 @@ def _edits(batches: Iterator[pa.RecordBatch], symbols: int, letters: tuple[int,
             part = step.slice(begin, end - begin)
             rows, keys = edit_keys(part.column("word"), symbols, alphabet)
             taken = pa.array(rows)
-            columns = [part.column(c).take(taken) for c in ("word", "n", "crowded")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(keys)], names=["word", "n", "crowded", "key"])
+            columns = [part.column(c).take(taken) for c in (carried, "n", "crowded")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(keys)], names=[carried, "n", "crowded", "key"])
             begin = end
 
 
@@ -172,7 +174,7 @@ _ALL_LETTERS = tuple([*range(0x61, 0x7B), *range(0xC0, 0x100)])
 def near_pairs(words: DataFrame, symbols: tuple[int, ...] = SYMBOLS, crowd: int = 16) -> DataFrame:
     """``(word, near, n_near)``: every ordered pair of near words, with the count of the second.
 
-    ``words`` has each word once, with its count ``n``.
+    ``words`` has each word once, with its count ``n``. Letters are ``a`` to ``z`` and the Latin-1 ones from ``À`` on.
     """
     found, rest = [], words
     for level, size in enumerate(symbols):
@@ -185,14 +187,23 @@ def near_pairs(words: DataFrame, symbols: tuple[int, ...] = SYMBOLS, crowd: int
             marked = own.join(shared.select("key", F.lit(True).alias("crowded")).hint("merge"), "key", "left")
             marked = marked.select("word", "n", "key", F.coalesce("crowded", F.lit(False)).alias("crowded"))
         marked = stored(marked, "reduced")
-        # A row becomes a hundred: few files must not mean few tasks.
-        spread = marked.select("word", "n", "crowded").repartition(partitions_for(marked))
-        ways = spread.mapInArrow(
-            partial(_edits, symbols=size, letters=_ALL_LETTERS), "word string, n long, crowded boolean, key long"
-        )
         quiet = marked.where(~F.col("crowded")).select("key", F.col("word").alias("near"), F.col("n").alias("n_near"))
-        # Lengths and the edit are compared inside the join, so no other pair leaves it.
-        pairs = ways.join(quiet.hint("merge"), "key").where(F.levenshtein("word", "near", 1) == 1)
+        edits = partial(_edits, symbols=size, letters=_ALL_LETTERS)
+        # A row becomes a hundred: few files must not mean few tasks.
+        spread = marked.select("word", "n", "crowded", F.xxhash64("word").alias("id")).repartition(partitions_for(marked))
+        short = spread.where(F.length("word") <= _SHORT)
+        ways = short.mapInArrow(partial(edits, carried="word"), "word string, n long, crowded boolean, key long")
+        # The edit is verified inside the join, so no other pair leaves it.
+        near = quiet.where(F.length("near") <= _SHORT + 1).hint("merge")
+        pairs = ways.join(near, "key").where(F.levenshtein("word", "near", 1) == 1)
+        # Long words are named by a hash in their many rows, and put back into the pairs that are left.
+        long = spread.where(F.length("word") > _SHORT)
+        ways = long.mapInArrow(partial(edits, carried="id"), "id long, n long, crowded boolean, key long")
+        near = quiet.where(F.length("near") >= _SHORT).hint("merge")
+        named = ways.join(near, "key").join(long.select("id", "word").hint("merge"), "id")
+        # Words of one hash have rows of their own each, so a pair may come twice.
+        named = named.where(F.levenshtein("word", "near", 1) == 1).select("word", "n", "crowded", "near", "n_near").distinct()
+        pairs = pairs.select(named.columns).unionByName(named)
         both = F.when(
             F.col("crowded"),
             F.array(F.struct("word", "near", "n_near"), F.struct(F.col("near").alias("word"), F.col("word").alias("near"), F.col("n").alias("n_near"))),

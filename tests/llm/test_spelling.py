@@ -1,0 +1,117 @@
+"""Spelling variants against a comparison of all pairs of words."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+import __spark_entry__ as entry_point
+from changeloom.llm.spelling import edit_keys, group_variants, near_pairs, own_keys, vocabulary
+from tests.harness import SF_DIR, differences
+
+
+def near(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def brute(words, ratio=2):
+    forms, result = {}, {}
+    for w, n in words.items():
+        others = [v for v in words if near(w, v)]
+        best = min(others, key=lambda v: (-words[v], v), default=None)
+        forms[w] = best if best is not None and words[best] >= ratio * n else None
+        result[w] = [n, len(others), forms[w], words.get(forms[w])]
+    for w, row in result.items():
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        row.append(root)
+    return {w: tuple(row) for w, row in result.items()}
+
+
+def random_words(seed, letters, n):
+    draw = random.Random(seed)
+    words = {}
+    while len(words) < n:
+        base = "".join(draw.choice(letters) for _ in range(draw.randint(1, 7)))
+        words[base] = draw.choice([3, 4, 5, 6, 12, 24, 25, 100])
+        for _ in range(draw.randint(0, 4)):
+            at = draw.randrange(len(base) + 1)
+            words[base[:at] + draw.choice([draw.choice(letters), ""]) + base[at + draw.randint(0, 1) :]] = draw.randint(3, 60)
+    words.pop("", None)
+    return words
+
+
+@pytest.mark.parametrize("letters, crowd, symbols", [("abcdefgh", 16, (6, 30, 0)), ("abé", 2, (2, 3, 0)), ("abcàéÿÀ÷", 1, (2, 0))])
+def test_groups_agree_with_all_pairs(spark, letters, crowd, symbols):
+    words = random_words(crowd, letters, 400)
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    found = {r.word: (r.n, r.n_near, r.form, r.form_n, r.root) for r in group_variants(df, symbols=symbols, crowd=crowd).collect()}
+    assert found == brute(words)
+
+
+def test_crowds_go_on_to_larger_alphabets(spark):
+    """All words share one reduced word at first: no pair may be lost and none listed twice."""
+    draw = random.Random(5)
+    words = sorted({"".join(draw.choice("abcdefghij") for _ in range(4)) for _ in range(600)})
+    df = spark.createDataFrame([(w, 3) for w in words], "word string, n long")
+    found = [(r.word, r.near) for r in near_pairs(df, (1, 2, 0), 3).collect()]
+    assert len(found) == len(set(found)) and set(found) == {(a, b) for a in words for b in words if near(a, b)}
+
+
+def test_pairs_around_the_length_that_rows_carry(spark):
+    words = ["ab" * 20, "ab" * 20 + "a", "ab" * 20 + "b", "ab" * 19 + "a", "ab" * 19 + "aa", "ab" * 21]
+    df = spark.createDataFrame([(w, 3) for w in words], "word string, n long")
+    found = [(r.word, r.near) for r in near_pairs(df, (2, 0), 1).collect()]
+    assert len(found) == len(set(found)) and set(found) == {(a, b) for a in words for b in words if near(a, b)}
+
+
+def test_neighbourhoods_hold_the_reduced_words_of_all_near_words():
+    draw = random.Random(1)
+    alphabet = np.arange(1, 5, dtype=np.uint64)
+    for _ in range(200):
+        word = "".join(draw.choice("abcdexyzé") for _ in range(draw.randint(1, 12)))
+        at, letter = draw.randrange(len(word)), draw.choice("abcdexyzé")
+        others = [word[:at] + letter + word[at + 1 :], word[:at] + word[at + 1 :], word[:at] + letter + word[at:], word + letter]
+        keys = set(edit_keys(pa.array([word]), 4, alphabet)[1].tolist())
+        assert set(own_keys(pa.array(others), 4).tolist()) <= keys
+
+
+def test_vocabulary_agrees_with_a_plain_count(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(100)
+    expected = Counter()
+    for row in docs.collect():
+        for run in re.findall("[A-Za-zÀ-ÿ]+", row.text or ""):
+            w = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{row.doc_id}:{w}".encode())
+            expected[w[: h % len(w)] + w[h % len(w) + 1 :] if h % 7 == 0 else w] += 1
+    expected = {w: n for w, n in expected.items() if len(w) >= 5 and n >= 3}
+    assert {r.word: r.n for r in vocabulary(docs, drop_every=7).collect()} == expected
+
+
+def test_nulls_empties_repeats_and_long_words(spark, rows):
+    long = "é" * 30_000
+    data = [(1, None, "a"), (None, "Äpfel äpfel Äpfel Äpfel", "a"), (2, "", "b"), (2, "apple APPLE appl aple apple. apple1apple", None),
+            (3, f"{long} {long} {long}x {long} {long}x {long}x", "w")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, word string")
+    words = vocabulary(docs, min_letters=4)
+    assert rows(words) == [("apple", 5), ("Äpfel", 3), (long, 3), (long + "x", 3)]
+    found = rows(group_variants(words.union(spark.createDataFrame([("apple", 1), (None, 9), ("appl", None)], "word string, n long"))), "word", "n", "n_near", "root")
+    assert found == [("apple", 6, 0, "apple"), ("Äpfel", 3, 0, "Äpfel"), (long, 3, 1, long), (long + "x", 3, 1, long + "x")]
+    assert group_variants(vocabulary(docs.limit(0))).collect() == []
+
+
+def test_query_agrees_with_its_sql(spark):
+    df = entry_point.queries()["op12_spelling_variants"](spark, SF_DIR)
+    assert differences(df, entry_point.oracle_sql()["op12_spelling_variants"], SF_DIR) == []
