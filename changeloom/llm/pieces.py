@@ -29,6 +29,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -386,7 +387,7 @@ def encode_texts(texts: list[str], units: Units, n: int) -> Iterator[tuple[int,
 
 def _encode(batches: Iterator[pa.RecordBatch], proto: bytes, n: int) -> Iterator[pa.RecordBatch]:
     units = Units(Model(proto))
-    for step in steps(batches):
+    for step in steps(batches, limit=ENCODED_BYTES):
         rows = list(encode_texts(step.column("t").to_pylist(), units, n))
         text, rank, score, ids = zip(*rows, strict=True)
         offsets = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
@@ -403,13 +404,55 @@ def decode_ids(ids: list[int], output: list[bytes]) -> str:
     return (joined[1:] if joined[:1] == b" " else joined).decode("utf-8", "replace")
 
 
+# Bytes of text that are encoded at a time.
+ENCODED_BYTES = 1 << 19
+# Pieces that are put together at a time; one longer list is a step of its own.
+DECODED_PIECES = 1 << 19
+
+
+class Output:
+    """The bytes of all pieces one after another, and where each begins."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.pieces = pieces
+        self.size = np.array([len(p) for p in pieces], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.pool = np.frombuffer(b"".join(pieces), np.uint8)
+
+    def texts(self, ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+        """The texts of lists of pieces that follow one another."""
+        sizes = self.size[ids]
+        ends = np.cumsum(sizes)
+        data = self.pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[ids] - (ends - sizes), sizes)]
+        marks = np.r_[0, ends][np.r_[0, np.cumsum(lengths)]]
+        # The first space mark of each list goes.
+        first = marks[:-1][marks[:-1] < marks[1:]]
+        first = first[data[first] == 0x20]
+        data = np.delete(data, first)
+        marks = marks - np.searchsorted(first, marks)
+        texts = pa.Array.from_buffers(pa.large_string(), len(lengths), [None, pa.py_buffer(marks), pa.py_buffer(data)])
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:
+            parts = np.split(ids, np.cumsum(lengths)[:-1])
+            return pa.array([decode_ids(part.tolist(), self.pieces) for part in parts], pa.string())
+        return texts.cast(pa.string())
+
+
 def _decode(batches: Iterator[pa.RecordBatch], proto: bytes, name: str) -> Iterator[pa.RecordBatch]:
-    output = piece_bytes(proto)
+    output = Output(piece_bytes(proto))
     for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            part = batch.slice(i, 256)
-            texts = [None if ids is None else decode_ids(ids, output) for ids in part.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, name])
+        lengths = np.asarray(pc.fill_null(pc.list_value_length(batch.column("ids")), 0), np.int64)
+        ends, begin = np.cumsum(lengths), 0
+        while begin < batch.num_rows:
+            before = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + DECODED_PIECES, "right")))
+            part = batch.slice(begin, end - begin)
+            ids = part.column("ids")
+            texts = output.texts(np.asarray(ids.flatten(), np.int64), lengths[begin:end])
+            texts = pc.if_else(ids.is_valid(), texts, pa.scalar(None, pa.string()))
+            yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, name])
+            begin = end
 
 
 def read_model(path: str) -> bytes:

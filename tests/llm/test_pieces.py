@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from changeloom.llm import pieces as p
@@ -74,3 +76,25 @@ def test_nulls_repeats_and_extra_columns(spark):
         p.encode(docs, PATH, n=0)
     with pytest.raises(ValueError):
         p.decode(nothing, PATH, "ids")
+
+
+def test_lists_decode_as_one_by_one(model):
+    """Bytes that are no UTF-8, lists without pieces, and NULL lists among others."""
+    pieces = p.piece_bytes(p.read_model(PATH))
+    output = p.Output(pieces)
+    chance = random.Random(2)
+    fallback = model.fallback("é")
+    for _ in range(50):
+        lists = [[chance.choice([chance.randrange(len(pieces)), *fallback]) for _ in range(chance.randint(0, 9))] for _ in range(chance.randint(1, 9))]
+        flat = np.array([i for x in lists for i in x], np.int64)
+        assert output.texts(flat, np.array([len(x) for x in lists])).to_pylist() == [p.decode_ids(x, pieces) for x in lists]
+
+
+def test_null_lists_and_steps(spark, monkeypatch):
+    monkeypatch.setattr(p, "DECODED_PIECES", 3)
+    proto = p.read_model(PATH)
+    some = [[300, 301, 302, 303], None, [], [400], None, [500, 501]]
+    batch = pa.RecordBatch.from_arrays([pa.array(some, pa.list_(pa.int32()))], names=["ids"])
+    found = [t for part in p._decode(iter([batch]), proto, "text") for t in part.column("text").to_pylist()]
+    pieces = p.piece_bytes(proto)
+    assert found == [None if x is None else p.decode_ids(x, pieces) for x in some]
