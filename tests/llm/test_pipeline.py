@@ -17,7 +17,7 @@ def test_query_agrees_with_sql(spark, name):
 
 
 def test_names():
-    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality classifier" and len(corpus_pipeline.STAGES) == 5
 
 
@@ -46,6 +46,35 @@ def test_near_duplicate_stage(spark, docs):
     assert 50 not in found and 61 not in found
 
 
+@pytest.fixture
+def folder(spark, docs, tmp_path):
+    """A documents table whose document 51 holds a benchmark passage over two lines, and 52 only the second of them."""
+    head, tail_ = (" ".join(f"{c}{i}" for i in range(14)) for c in "ab")
+    more = [(80, f"start\n{head}\n{tail_}\nend", "en", "s", 1, 0), (81, "clean words", None, "s", 1, 0), (None, f"{head} {tail_}", "en", "s", 1, 0)]
+    docs.union(spark.createDataFrame(more, docs.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, f"{head} {tail_}"), (2, None), (None, "clean words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+def test_decontamination_stage_knows_the_texts_that_documents_came_from(spark, docs, folder):
+    head = " ".join(f"a{i}" for i in range(14))
+    came = docs.union(spark.createDataFrame([(80, f"start\n{head}\nend", "en", "s", 1, 0), (81, "clean words", None, "s", 1, 0), (None, None, None, None, None, None)], docs.schema))
+    found = corpus_pipeline.decontaminated(spark, came, folder)
+    assert found.schema.names == came.schema.names
+    assert {r.doc_id for r in came.collect()} - {r.doc_id for r in found.collect()} == {80}
+    assert corpus_pipeline.decontaminated(spark, came.limit(0), folder).collect() == []
+
+
+def test_first_and_last_stage_on_nulls_and_empty_tables(spark, docs, folder):
+    """Without labels every document stays; NULL and empty texts have no pieces."""
+    assert corpus_pipeline.good_documents(spark, docs, folder).count() == docs.count()
+    ids = corpus_pipeline.encoded(spark, docs, folder)
+    assert {(r.doc_id, r.n_pieces) for r in ids.where("doc_id >= 70").collect()} == {(70, 0), (71, 0)} and ids.count() == docs.count()
+    for stage in (corpus_pipeline.good_documents, corpus_pipeline.encoded):
+        assert stage(spark, docs.limit(0), folder).collect() == []
+
+
 def test_whole_pipeline_keeps_clean_documents_and_drops_the_rest(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
