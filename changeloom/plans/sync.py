@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,6 +10,7 @@ from pyspark.sql import types as T
 
 from changeloom.names import REASON
 from changeloom.operators.apply import apply_changes, apply_summary, keyless_inserts, summarise, without_key
+from changeloom.operators.otherkeys import apply_any_key
 from changeloom.operators.records import (
     UNKNOWN_TABLE,
     applied_prefix,
@@ -50,8 +50,7 @@ def apply_records(
     """The target after the records that go to it, and the records set aside.
 
     With ``stop_at_first_bad`` only those before the first bad one are applied. Records may name
-    different key columns: each run of records with one key column is one apply step, and one run
-    is the usual case.
+    different key columns (see ``otherkeys``).
     """
     after = target.toDF(*[c.upper() for c in target.columns])
     typed = land_records(records, upper_schema(target), [table], table, key)
@@ -60,34 +59,7 @@ def apply_records(
     else:
         good = typed.where(F.col("_reason").isNull())
 
-    return apply_runs(after, good).toDF(*target.columns), rejected(typed)
-
-
-def apply_runs(after: DataFrame, good: DataFrame) -> DataFrame:
-    """The target after typed records, one step per stretch of records with one key column."""
-    runs = 0
-    for run_key, run in key_runs(good):
-        if runs:
-            after = take_snapshot(after, new_folder(after.sparkSession, "run"))
-        after = apply_changes(after, run, run_key, present="_present", seq="_seq", operation="_operation")
-        runs += 1
-    return after
-
-
-def key_runs(good: DataFrame) -> Iterator[tuple[str, DataFrame]]:
-    """The longest stretches of typed records, in order, that have one key column each."""
-    after_seq = None
-    while True:
-        rest = good if after_seq is None else good.where(F.col("_seq") > after_seq)
-        first = rest.agg(F.min_by("_key_column", "_seq")).first()[0]
-        if first is None:
-            return
-        other = rest.where(F.col("_key_column") != first).agg(F.min("_seq")).first()[0]
-        if other is None:
-            yield first, rest
-            return
-        yield first, rest.where(F.col("_seq") < other)
-        after_seq = other - 1
+    return apply_any_key(after, good, key.upper()).toDF(*target.columns), rejected(typed)
 
 
 def apply_prefix(
@@ -100,7 +72,7 @@ def apply_prefix(
     """
     upper = target.toDF(*[c.upper() for c in target.columns])
     typed = land_records(records, upper_schema(target), [table], table, key)
-    after = apply_runs(upper, applied_prefix(typed, "_seq", "_reason"))
+    after = apply_any_key(upper, applied_prefix(typed, "_seq", "_reason"), key.upper())
     return after.toDF(*target.columns), rejected(typed), prefix_count(typed, "_seq", "_reason")
 
 
