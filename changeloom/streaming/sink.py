@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from changeloom.names import REASON
+from changeloom.operators.otherkeys import apply_any_key
 from changeloom.operators.records import (
     OTHER_KEY,
     UNKNOWN_TABLE,
@@ -105,13 +106,15 @@ class ChangeSink:
 class RecordSink:
     """Collects JSON records for one table under ``root``, and sets bad ones aside.
 
-    Changes are merged by one key column. Records that name another are set aside too, since no
-    order-free merge can mix them.
+    Changes are merged by one key column, and records that name another are set aside too. With ``any_key``
+    they are taken: which row they mean depends on all records before them, so the typed records
+    themselves are kept, and resolved when the table is read. ``fold_into`` bounds how many there are.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, schema: T.StructType, table: str, key: str, merge_every: int = 10
+        self, spark: SparkSession, root: str, schema: T.StructType, table: str, key: str, merge_every: int = 10, any_key: bool = False
     ):
+        self.log = VersionedTable(spark, f"{root.rstrip('/')}/records") if any_key else None
         self.schema = schema
         self.table = table
         self.key = key.upper()
@@ -123,7 +126,7 @@ class RecordSink:
 
     def write_batch(self, batch: DataFrame, batch_id: int = 0) -> None:
         parsed = parse_records(batch, self.table, self.key)
-        other_key = F.when(F.col("_key_column") != self.key, F.lit(OTHER_KEY))
+        other_key = F.when((F.col("_key_column") != self.key) & F.lit(self.log is None), F.lit(OTHER_KEY))
         typed = typed_records(parsed, self.schema, [self.table])
         # Kept for the two writes below; what an executor loses of it is parsed again.
         typed = typed.withColumn("_reason", F.coalesce("_reason", other_key)).persist()
@@ -131,7 +134,11 @@ class RecordSink:
             # A batch that is run again replaces what it set aside before; another reader's stays.
             reader = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
             rejected(typed).write.mode("overwrite").parquet(f"{self.rejects}/reader={reader}/batch={batch_id}")
-            self.sink.write_batch(typed.where(F.col("_reason").isNull()))
+            good = typed.where(F.col("_reason").isNull())
+            if self.log is None:
+                self.sink.write_batch(good)
+            else:
+                self.log.append(good.select("_seq", "_operation", "_key_column", "_present", *[n.upper() for n in self.schema.names]))
         finally:
             typed.unpersist()
 
@@ -141,7 +148,21 @@ class RecordSink:
     def current(self, target: DataFrame) -> DataFrame:
         """The target with all changes so far."""
         upper = target.toDF(*[c.upper() for c in target.columns])
-        return self.sink.current(upper).toDF(*target.columns)
+        if self.log is None:
+            return self.sink.current(upper).toDF(*target.columns)
+        if not self.log.live_entries():
+            return target
+        # A record that was read again is the same in all columns.
+        return apply_any_key(upper, self.log.read().dropDuplicates(), self.key).toDF(*target.columns)
+
+    def fold_into(self, table: VersionedTable) -> None:
+        """Write the target with all changes as its new version; see ``ChangeSink.fold_into``."""
+        if self.log is None:
+            self.sink.fold_into(table)
+            return
+        table.replace(self.current(table.read()))
+        if self.log.live_entries():
+            self.log.replace(self.log.read().limit(0))
 
 
 class RoutedSink:
@@ -151,12 +172,12 @@ class RoutedSink:
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, tables: dict[str, tuple[T.StructType, str]], default_table: str, merge_every: int = 10
+        self, spark: SparkSession, root: str, tables: dict[str, tuple[T.StructType, str]], default_table: str, merge_every: int = 10, any_key: bool = False
     ):
         self.default_table = default_table
         self.rejects = f"{root.rstrip('/')}/unknown"
         self.sinks = {
-            name.upper(): RecordSink(spark, f"{root.rstrip('/')}/{name.upper()}", schema, name, key, merge_every)
+            name.upper(): RecordSink(spark, f"{root.rstrip('/')}/{name.upper()}", schema, name, key, merge_every, any_key)
             for name, (schema, key) in tables.items()
         }
 

@@ -1,7 +1,8 @@
 """Tailing a tracking table with Structured Streaming.
 
 The table is landed as files; a stream reads each file once and keeps its position in the
-checkpoint. Files per micro-batch are the bound that a page size is for a database reader.
+checkpoint. Files per micro-batch are the bound that a page size is for a database reader (``tail``), or rows
+are, and the position is a tracking id (``tail_rows``).
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from changeloom.names import TRACKING_ID
+from changeloom.names import DEFAULT_BATCH_SIZE, TRACKING_ID
 from changeloom.sources.scratch import new_folder
+from changeloom.sources.tracking import TrackingSource
 from changeloom.sources.versions import take_snapshot
 
 
@@ -95,6 +97,19 @@ def tail(
     return stream if after is None else stream.where(F.col(TRACKING_ID) > after)
 
 
+def tail_rows(
+    spark: SparkSession, path: str, schema: T.StructType, rows: int = DEFAULT_BATCH_SIZE, after: int | None = None, purge: bool = False
+) -> DataFrame:
+    """The landing folder as a stream with ``rows`` changes per micro-batch, in order of their ids.
+
+    With ``purge`` files leave the folder once all their changes are in a committed batch.
+    """
+    spark.dataSource.register(TrackingSource)
+    reader = spark.readStream.format("tracking").schema(schema).option("path", path).option("rowsPerBatch", rows)
+    reader = reader.option("purge", str(purge).lower())
+    return (reader if after is None else reader.option("after", after)).load()
+
+
 def start(writer: DataStreamWriter, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Start a stream that resumes from ``checkpoint``: polling at an interval, or until it has
     read what is there."""

@@ -306,3 +306,39 @@ def prefix_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     records = records.withColumn("after_json", F.when(F.col("value") < largest, F.col("after_json"))).drop("value")
     return sync.apply_prefix(apply_target(spark, sf_dir), records, "T_OTHER", "k")[2]
+
+
+# Purchases name their row by its code alone; those whose row may be gone are left out.
+_BY_CODE_FEED = """(SELECT * FROM feed WHERE event_type <> 'purchase' OR (
+  k IN (SELECT k FROM target) AND k NOT IN (SELECT k FROM feed WHERE is_delete)))"""
+OTHER_KEY_SQL = (
+    "SELECT k, value, props, 'C' || k AS code FROM (" + applied_sql("has_value", "has_props", _BY_CODE_FEED) + ")"
+)
+
+
+def records_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that take turns in naming their row by ``k`` and by ``code``, which is another unique column."""
+    feed, target = change_feed(spark, sf_dir), apply_target(spark, sf_dir)
+    stays = target.select("k").join(feed.where("operation = 'delete'").select("k"), "k", "left_anti")
+    others, purchases = feed.where("event_type <> 'purchase'"), feed.where("event_type = 'purchase'")
+    feed = others.unionByName(purchases.join(stays, "k", "left_semi").select(*feed.columns))
+    code, kind = F.concat(F.lit("C"), F.col("k")).alias("code"), F.col("event_type")
+    after = (
+        F.when(kind == "signup", F.to_json(F.struct("k", code, "value", "props")))
+        .when(kind == "click", F.to_json(F.struct("k", code, "value")))
+        .when(kind == "view", F.to_json(F.struct("k", code, "props")))
+        .when(kind == "purchase", F.to_json(F.struct("value", "props")))
+    )
+    by_code = F.to_json(F.struct(code))
+    key = F.when(kind.isin("click", "purchase"), by_code).otherwise(F.to_json(F.struct("k")))
+    return feed.select("seq", "operation", F.create_map().cast("map<string,string>").alias("metadata"), key.alias("key_json"), after.alias("after_json"))
+
+
+def target_with_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_target(spark, sf_dir).withColumn("code", F.concat(F.lit("C"), F.col("k")))
+
+
+@QUERIES.add(OTHER_KEY_SQL)
+def apply_other_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of two key columns in one step."""
+    return sync.apply_records(target_with_code(spark, sf_dir), records_by_code(spark, sf_dir), "CUSTOMER", "k")[0]

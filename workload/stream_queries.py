@@ -11,8 +11,8 @@ from changeloom.names import TRACKING_ID
 from changeloom.operators import envelope
 from changeloom.sources.scratch import new_folder
 from changeloom.streaming.sink import ChangeSink, RecordSink, RoutedSink
-from changeloom.streaming.tail import land, land_new, start, tail
-from workload.apply_queries import COLUMNS, FULL_SQL, PARTIAL_SQL, TABLES
+from changeloom.streaming.tail import land, land_new, start, tail, tail_rows
+from workload.apply_queries import COLUMNS, FULL_SQL, OTHER_KEY_SQL, PARTIAL_SQL, TABLES, records_by_code, target_with_code
 from workload.apply_queries import QUERIES as APPLY_QUERIES
 from workload.fixtures import TRACKING_SQL, apply_target, change_feed, json_records, tracking_table
 from workload.registry import Registry
@@ -190,3 +190,60 @@ def stream_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = sink.current({name: target for name in TABLES})
     named = [after.select(F.lit(name).alias("table_name"), "*") for name, after in tables.items()]
     return reduce(DataFrame.unionByName, named)
+
+
+@QUERIES.add(OTHER_KEY_SQL)
+def stream_other_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of two key columns, in micro-batches that are not in order, and read twice."""
+    root = new_folder(spark, "stream-other-key")
+    feed, target = _landable(records_by_code(spark, sf_dir)), target_with_code(spark, sf_dir)
+    land(feed, f"{root}/landing")
+    sink = RecordSink(spark, f"{root}/sink", target.schema, "CUSTOMER", "k", any_key=True)
+    for run in (1, 2):
+        stream = tail(spark, f"{root}/landing", feed.schema, max_files=_batch_files(spark))
+        start(sink.writer(stream), f"{root}/checkpoint-{run}").awaitTermination()
+    return sink.current(target)
+
+
+@QUERIES.add(f"""
+WITH {TRACKING_SQL},
+n AS (SELECT CONNECTOR_TRACKING_ID AS id, row_number() OVER (ORDER BY CONNECTOR_TRACKING_ID) AS r, count(*) OVER () // 4 + 1 AS size FROM tracking)
+SELECT (r - 1) // size AS batch, count(*) AS n_rows, min(id) AS first_id, max(id) AS last_id FROM n GROUP BY batch""")
+def stream_rows_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four micro-batches of one number of rows; the first two are read by a run that is stopped."""
+    root = new_folder(spark, "stream-rows")
+    feed = tracking_table(spark, sf_dir)
+    size = feed.count() // 4 + 1
+    land(feed, f"{root}/landing", files=7)
+
+    def write(batch: DataFrame, number: int) -> None:
+        figures = batch.agg(F.count("*").alias("n_rows"), F.min(TRACKING_ID).alias("first_id"), F.max(TRACKING_ID).alias("last_id"))
+        figures.select(F.lit(number).cast("long").alias("batch"), "*").write.mode("overwrite").parquet(f"{root}/out/number={number}")
+
+    stream = tail_rows(spark, f"{root}/landing", feed.schema, size).writeStream.foreachBatch(write)
+    query = start(stream, f"{root}/checkpoint", "0 seconds")
+    while not query.lastProgress or query.lastProgress["batchId"] < 1:
+        query.awaitTermination(0.05)
+    query.stop()
+    query = start(stream, f"{root}/checkpoint", "0 seconds")
+    query.processAllAvailable()
+    query.stop()
+    return spark.read.parquet(f"{root}/out").drop("number")
+
+
+@QUERIES.add(_RECORDS_SQL)
+def stream_commit_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed lands in three parts; files leave the folder as their changes are committed, and none is read twice."""
+    root = new_folder(spark, "stream-commit-purge")
+    feed = tracking_table(spark, sf_dir)
+    total, most = feed.agg(F.count("*"), F.max(TRACKING_ID)).first()
+    for part in range(3):
+        within = (F.col(TRACKING_ID) > (most * part / 3 if part else -1)) & (F.col(TRACKING_ID) <= most * (part + 1) / 3)
+        land(feed.where(within), f"{root}/landing", files=4)
+        stream = tail_rows(spark, f"{root}/landing", feed.schema, total // 9 + 1, purge=True)
+        records = envelope.cdc_records(stream, "CUSTOMER", keys=["K"]).good
+        flat = records.select("seq", "operation", F.col("key.K").alias("k"), F.col("after.VALUE").alias("value"))
+        query = start(flat.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/checkpoint", "0 seconds")
+        query.processAllAvailable()
+        query.stop()
+    return spark.read.parquet(f"{root}/out")
