@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeloom.names import REASON
-from changeloom.operators.apply import apply_changes, apply_summary, keyless_inserts, summarise, without_key
+from changeloom.operators.apply import apply_changes, apply_summary, keyless_inserts, split_unordered, summarise, without_key
 from changeloom.operators.otherkeys import apply_any_key
 from changeloom.operators.records import (
     UNKNOWN_TABLE,
@@ -141,9 +141,10 @@ def apply_measured(
 
     The summary is written first. When its size in memory, estimated from rows and row width, is
     below the limit it is broadcast and the target is read without a shuffle; else both sides are
-    shuffled as usual.
+    shuffled as usual. Rows without an order change nothing.
     """
     spark = feed.sparkSession
+    feed = split_unordered(feed).good
     path = new_folder(spark, "summary")
     summarise(feed.where(~without_key(feed, key)), key, columns, present).write.parquet(path)
     summary = spark.read.parquet(path)

@@ -10,6 +10,8 @@ from changeloom.names import REASON
 from changeloom.operators import apply as apply_ops
 from changeloom.operators import records as record_ops
 from changeloom.plans import sync
+from changeloom.plans.touched import PartitionedTarget
+from changeloom.sources.scratch import new_folder
 from workload.fixtures import (
     FEED_SQL,
     TARGET_SQL,
@@ -342,3 +344,24 @@ def target_with_code(spark: SparkSession, sf_dir: str) -> DataFrame:
 def apply_other_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of two key columns in one step."""
     return sync.apply_records(target_with_code(spark, sf_dir), records_by_code(spark, sf_dir), "CUSTOMER", "k")[0]
+
+
+_SLIVER = "(SELECT * FROM feed WHERE k % 97 = 0)"
+
+
+@QUERIES.add(applied_sql("has_value", "has_props", _SLIVER))
+def apply_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of a few keys: only the parts of the target that hold them are rewritten."""
+    rows = apply_target(spark, sf_dir)
+    target = PartitionedTarget(spark, f"{new_folder(spark, 'target')}/table", "k", rows.schema, parts=32)
+    target.create(rows)
+    target.apply(change_feed(spark, sf_dir).where("k % 97 = 0"), COLUMNS, present="present")
+    return target.read()
+
+
+@QUERIES.add(applied_sql("has_value", "has_props", "(SELECT * FROM feed WHERE k IS NOT NULL)"))
+def apply_measured_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beside the changes come as many without an order, half of them without a key: they change nothing."""
+    feed = change_feed(spark, sf_dir)
+    unordered = feed.withColumns({"seq": F.lit(None).cast("bigint"), "k": F.when(F.col("seq") % 2 == 0, F.col("k")), "props": F.lit("lost")})
+    return sync.apply_measured(apply_target(spark, sf_dir), feed.unionByName(unordered), "k", COLUMNS, present="present")
