@@ -42,14 +42,17 @@ def to_state(
     present: str | None = None,
     seq: str | list[str] = "seq",
     operation: str = "operation",
+    row_id: list[str] | None = None,
 ) -> DataFrame:
     """The feed's changes, one row per key plus one per upsert without a key.
 
-    Equal upserts without a key in one batch are as many inserts. In batches of their own they
-    count as replays of one, unless their ``seq`` differ. Rows without an order change nothing.
+    Equal upserts without a key in one batch are as many inserts. ``row_id`` names the columns that tell rows of the
+    source apart (see ``streaming.tail.with_row_id``): the same ones in another batch are a replay, others are
+    inserts of their own. Without it equal rows of two batches count as replays of one, unless
+    their ``seq`` differ. Rows without an order change nothing.
     """
     keyless = without_key(feed, key)
-    content = F.xxhash64(operation, *columns, *([present] if present else []))
+    content = F.xxhash64(operation, *columns, *([present] if present else []), *(row_id or []))
     marked = split_unordered(feed, seq).good.withColumns(
         {KEYLESS_SEQ: F.when(keyless, order_of(seq)), KEYLESS_ROW: F.when(keyless, content)}
     )
@@ -77,6 +80,12 @@ def merge_states(states: list[DataFrame], key: str, columns: list[str]) -> DataF
     return _merge(reduce(DataFrame.unionByName, states), [key, *KEYLESS], columns)
 
 
+def merge_keyed(changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Like ``merge_states`` for rows with a key: grouped by the key alone, which keeps buckets of it."""
+    missing = {name: F.lit(None).cast(changes.schema[name].dataType) for name in KEYLESS}
+    return _merge(changes, [key], columns).select(*[missing.get(c, F.col(c)).alias(c) for c in changes.columns])
+
+
 def apply_state(
     target: DataFrame,
     state: DataFrame,
@@ -85,15 +94,18 @@ def apply_state(
     defaults: dict[str, Column] | None = None,
     broadcast_state: bool = False,
     unique_target: bool = False,
+    keyless: DataFrame | None = None,
 ) -> DataFrame:
     """The target after all changes in a state, or in the rows of many states put together.
 
     Target rows count as before every change. Rows with a key are merged by the key alone, so that
-    the join with the target needs no further shuffle of them.
+    the join with the target needs no further shuffle of them. Rows without one are in the state too, or
+    apart, in ``keyless``.
     """
-    keyed = _merge(state.where(F.col(KEYLESS_SEQ).isNull()), [key], columns)
+    keyed = _merge(state if keyless is not None else state.where(F.col(KEYLESS_SEQ).isNull()), [key], columns)
     applied = apply_summary(target, keyed, key, columns, defaults, broadcast_state, unique_target)
-    upserts = state.where(F.col(KEYLESS_SEQ).isNotNull() & F.col(LAST_UPSERT).isNotNull())
+    others = state if keyless is None else keyless
+    upserts = others.where(F.col(KEYLESS_SEQ).isNotNull() & F.col(LAST_UPSERT).isNotNull())
     row = insert_columns(target, F.col, [key], live_value, columns, defaults)
     merged = _merge(upserts, [key, *KEYLESS], columns)
     each = merged.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(KEYLESS_COUNT))))

@@ -82,6 +82,12 @@ class VersionedTable:
             raise ValueError(f"nothing was written to {self.root}")
         return self.read_entries(entries)
 
+    def _folder(self, number: int) -> str:
+        return f"part-{number}-{uuid.uuid4().hex}"
+
+    def _write(self, df: DataFrame, folder: str) -> None:
+        df.write.parquet(f"{self.root}/{folder}")
+
     def append(self, df: DataFrame) -> int:
         """Add the rows of ``df``."""
         return self.replace(df, first=self.last_entry() + 1)
@@ -89,8 +95,8 @@ class VersionedTable:
     def replace(self, df: DataFrame, first: int = 0, level: int = 0) -> int:
         """Put ``df``, which may be built from earlier writes, in the place of all since ``first``."""
         number = self.last_entry() + 1
-        entry = Entry(number, f"part-{number}-{uuid.uuid4().hex}", first, level)
-        df.write.parquet(f"{self.root}/{entry.folder}")
+        entry = Entry(number, self._folder(number), first, level)
+        self._write(df, entry.folder)
         row = self.spark.range(1).select(
             F.lit(number).cast("bigint").alias("number"),
             F.lit(entry.folder).alias("folder"),

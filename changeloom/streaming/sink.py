@@ -22,7 +22,8 @@ from changeloom.operators.records import (
     table_of,
     typed_records,
 )
-from changeloom.operators.state import apply_state, merge_states, to_state
+from changeloom.operators.state import KEYLESS_SEQ, apply_state, merge_keyed, merge_states, to_state
+from changeloom.sources.bucketed import BucketedTable
 from changeloom.sources.versions import VersionedTable
 
 # Level of the empty write that stands for changes folded into the target: nothing is merged with it.
@@ -33,7 +34,11 @@ class ChangeSink:
     """Collects changes under ``root`` for a target with one key column.
 
     Changes with equal ``seq`` have no order among themselves. Where that can happen, as with two
-    snapshots of one row, give ``seq`` a second column, such as the number of the snapshot.
+    snapshots of one row, give ``seq`` a second column, such as the number of the snapshot. Where equal upserts
+    without a key may come in several batches, name the columns that tell source rows apart (``row_id``).
+
+    With ``buckets`` all that is written lies in so many buckets of the key. Batches are then merged, and read
+    together with a target bucketed alike, without a shuffle. Rows without a key lie beside them, spread.
     """
 
     def __init__(
@@ -46,20 +51,28 @@ class ChangeSink:
         merge_every: int = 10,
         seq: str | list[str] = "seq",
         operation: str = "operation",
+        row_id: list[str] | None = None,
+        buckets: int | None = None,
     ):
         self.key = key
+        self.row_id = row_id
         self.columns = columns
         self.present = present
         self.merge_every = merge_every
         self.seq = seq
         self.operation = operation
-        self.changes = VersionedTable(spark, root)
+        self.changes = BucketedTable(spark, root, key, buckets) if buckets else VersionedTable(spark, root)
+        self.keyless = VersionedTable(spark, f"{root.rstrip('/')}-keyless") if buckets else None
 
     def write_batch(self, batch: DataFrame, batch_id: int = 0) -> None:
         """Add a batch of changes. Adding it once more changes nothing."""
-        self.changes.append(
-            to_state(batch, self.key, self.columns, self.present, self.seq, self.operation)
-        )
+        state = to_state(batch, self.key, self.columns, self.present, self.seq, self.operation, self.row_id)
+        if self.keyless is None:
+            self.changes.append(state)
+        else:
+            is_keyed = F.col(KEYLESS_SEQ).isNull()
+            self.keyless.append(state.where(~is_keyed))
+            self.changes.append(state.where(is_keyed))
         self.merge_recent()
 
     def writer(self, stream: DataFrame) -> DataStreamWriter:
@@ -67,7 +80,12 @@ class ChangeSink:
 
     def state(self) -> DataFrame:
         """All changes so far, one row per key."""
-        return merge_states([self.changes.read()], self.key, self.columns)
+        return self._merged(self.changes.read())
+
+    def _merged(self, changes: DataFrame) -> DataFrame:
+        if self.keyless is None:
+            return merge_states([changes], self.key, self.columns)
+        return merge_keyed(changes, self.key, self.columns)
 
     def merge_recent(self) -> None:
         """Merge the newest writes once there are ``merge_every`` of one level.
@@ -80,18 +98,26 @@ class ChangeSink:
             same = [entry for entry in live if entry.level == level]
             if len(same) < self.merge_every:
                 return
-            merged = merge_states([self.changes.read_entries(same)], self.key, self.columns)
-            self.changes.replace(merged, same[0].first, level + 1)
+            merged = self._merged(self.changes.read_entries(same))
+            replace = self.changes.replace if self.keyless is None else self.changes.replace_dealt
+            replace(merged, same[0].first, level + 1)
 
     def compact(self) -> None:
         """Merge all writes into one; late and replayed changes stay welcome."""
         self.changes.replace(self.state(), level=self.changes.own_entries()[0].level)
 
-    def current(self, target: DataFrame, defaults: dict[str, Column] | None = None) -> DataFrame:
-        """The target with all changes so far."""
+    def current(self, target: DataFrame, defaults: dict[str, Column] | None = None, unique_target: bool = False) -> DataFrame:
+        """The target with all changes so far.
+
+        With ``unique_target`` no two target rows share a key. A target of that kind that is bucketed like the
+        changes is read where it lies.
+        """
         if not self.changes.live_entries():
             return target
-        return apply_state(target, self.changes.read(), self.key, self.columns, defaults)
+        keyless = self.keyless.read() if self.keyless is not None else None
+        return apply_state(
+            target, self.changes.read(), self.key, self.columns, defaults, unique_target=unique_target, keyless=keyless
+        )
 
     def fold_into(self, table: VersionedTable) -> None:
         """Write the target with all changes as its new version, and start collecting afresh.
@@ -101,6 +127,8 @@ class ChangeSink:
         """
         table.replace(self.current(table.read()))
         self.changes.replace(self.changes.read().limit(0), level=FOLDED)
+        if self.keyless is not None:
+            self.keyless.replace(self.keyless.read().limit(0))
 
 
 class RecordSink:

@@ -97,6 +97,15 @@ def tail(
     return stream if after is None else stream.where(F.col(TRACKING_ID) > after)
 
 
+ROW_ID = ["_source_file", "_source_row"]
+
+
+def with_row_id(stream: DataFrame) -> DataFrame:
+    """The rows of ``tail`` with what tells them apart in every reading: their file and their place in it."""
+    place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    return stream.select("*", *[c.alias(name) for c, name in zip(place, ROW_ID, strict=True)])
+
+
 def tail_rows(
     spark: SparkSession, path: str, schema: T.StructType, rows: int = DEFAULT_BATCH_SIZE, after: int | None = None, purge: bool = False
 ) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from changeloom.names import TRACKING_ID
 from changeloom.operators import envelope
+from changeloom.sources.bucketed import declare_bucketed, write_bucketed
 from changeloom.sources.scratch import new_folder
 from changeloom.streaming.sink import ChangeSink, RecordSink, RoutedSink
-from changeloom.streaming.tail import land, land_new, start, tail, tail_rows
+from changeloom.streaming.tail import ROW_ID, land, land_new, start, tail, tail_rows, with_row_id
 from workload.apply_queries import COLUMNS, FULL_SQL, OTHER_KEY_SQL, PARTIAL_SQL, TABLES, records_by_code, target_with_code
 from workload.apply_queries import QUERIES as APPLY_QUERIES
 from workload.fixtures import TRACKING_SQL, apply_target, change_feed, json_records, tracking_table
@@ -247,3 +248,34 @@ def stream_commit_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
         query.processAllAvailable()
         query.stop()
     return spark.read.parquet(f"{root}/out")
+
+
+@QUERIES.add(PARTIAL_SQL)
+def stream_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes and target in buckets of the key: they are merged where they lie."""
+    root = new_folder(spark, "stream-bucketed")
+    feed, target = _landable(change_feed(spark, sf_dir)), apply_target(spark, sf_dir)
+    land(feed, f"{root}/landing")
+    write_bucketed(target, f"{root}/target", "k", 8)
+    sink = ChangeSink(spark, f"{root}/changes", "k", COLUMNS, present="present", merge_every=3, buckets=8)
+    _stream_into(spark, sink, f"{root}/landing", f"{root}/checkpoint", feed.schema)
+    return sink.current(declare_bucketed(spark, f"{root}/target", target.schema, "k", 8), unique_target=True)
+
+
+@QUERIES.add("""
+SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS k, 1.5::DOUBLE AS value, 'same' AS props FROM customer
+UNION ALL SELECT NULL, 1.5::DOUBLE, 'same' FROM customer WHERE c_custkey % 3 = 0""")
+def stream_null_keys_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal rows without a key lie in several files: each is a row of its own, and none is doubled by a second reader."""
+    root = new_folder(spark, "stream-null-keys-repeat")
+    rows = apply_target(spark, sf_dir).select(
+        F.when(F.col("k") % 3 != 0, F.col("k")).alias("k"), F.lit(1.5).alias("value"), F.lit("same").alias("props")
+    )
+    records = envelope.snapshot_records(rows, "CUSTOMER", "k").select("seq", "operation", "after.*")
+    for part in (records, records.where("k IS NULL")):
+        part.write.mode("append").option("maxRecordsPerFile", 400).parquet(f"{root}/landing")
+    sink = ChangeSink(spark, f"{root}/changes", "k", COLUMNS, row_id=ROW_ID)
+    for run in (1, 2):
+        stream = with_row_id(tail(spark, f"{root}/landing", records.schema, max_files=2))
+        start(sink.writer(stream), f"{root}/checkpoint-{run}").awaitTermination()
+    return sink.current(rows.limit(0))
