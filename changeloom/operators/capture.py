@@ -116,7 +116,6 @@ def number_changes(
     it is read twice. The ids then need one small table, with a row per partition, and no window
     over all rows.
     """
-    path = new_folder(changes.sparkSession, "numbered")
     named = [o for o in order if isinstance(o, str)]
     others = [
         f.name
@@ -124,22 +123,29 @@ def number_changes(
         if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
     sort_keys = [F.col(o) if isinstance(o, str) else o for o in [*order, *others]]
+    dated = changes.withColumn(CREATED_AT, F.current_timestamp() if created_at is None else created_at)
+    ranked = rank_rows(dated, sort_keys, TRACKING_ID)
+    return ranked.withColumn(TRACKING_ID, F.lit(start).cast("bigint") + F.col(TRACKING_ID))
+
+
+def rank_rows(rows: DataFrame, sort_keys: list[Column], name: str) -> DataFrame:
+    """The rows with their rank, from 1, in the order of the sort keys, without a window over all of them."""
+    path = new_folder(rows.sparkSession, "numbered")
     identity = F.monotonically_increasing_id()
     (
-        changes.withColumn(CREATED_AT, F.current_timestamp() if created_at is None else created_at)
-        .repartitionByRange(*sort_keys)
+        rows.repartitionByRange(*sort_keys)
         .sortWithinPartitions(*sort_keys)
         .withColumn("_part", F.shiftrightunsigned(identity, 33).cast("int"))
         .withColumn("_place", identity.bitwiseAND(F.lit((1 << 33) - 1)))
         .write.parquet(path)
     )
-    written = changes.sparkSession.read.parquet(path)
+    written = rows.sparkSession.read.parquet(path)
     sizes = written.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     # One row per partition of the write: bounded by the partition count, not by the data.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     return (
         written.join(F.broadcast(offsets), "_part")
-        .withColumn(TRACKING_ID, F.lit(start).cast("bigint") + F.col("_offset") + F.col("_place") + 1)
+        .withColumn(name, F.col("_offset") + F.col("_place") + 1)
         .drop("_part", "_place", "_offset")
     )

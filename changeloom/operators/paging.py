@@ -15,6 +15,7 @@ from changeloom.names import (
     TRACKING_ID,
     require_columns,
 )
+from changeloom.operators.capture import rank_rows
 
 
 def _page(df: DataFrame, ordering: str, after: Any, limit: int) -> DataFrame:
@@ -64,3 +65,19 @@ def ordering_audit(rows: DataFrame, ordering: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where((F.col("n_rows") > 1) | F.col("ordering_value").isNull())
     )
+
+
+def page_index(rows: DataFrame, ordering: str, limit: int = DEFAULT_BATCH_SIZE) -> DataFrame:
+    """Every row with the number of its ``page`` (from 0), all pages at once.
+
+    Pages are those that successive calls of ``snapshot_page`` give, as long as ordering values are unique; of
+    rows that tie, none is lost here. Rows with NULL there follow no value and have no page. The sorted rows
+    are written to the shared folder with their place in their partition (see ``capture.number_changes``); what
+    is looked at together is one row per partition.
+    """
+    if not MIN_BATCH_SIZE <= limit <= MAX_BATCH_SIZE:
+        raise ValueError(f"batch size must lie in {MIN_BATCH_SIZE}..{MAX_BATCH_SIZE}")
+    require_columns(rows, [ordering], "column")
+    placed = rank_rows(rows.where(F.col(ordering).isNotNull()), [F.col(ordering)], "_rank")
+    paged = placed.withColumn("page", F.expr(f"(_rank - 1) div {limit}")).drop("_rank")
+    return paged.unionByName(rows.where(F.col(ordering).isNull()).withColumn("page", F.lit(None).cast("bigint")))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from changeloom.functions.convert import format_datetime
 from changeloom.names import CREATED_AT, MODE_CDC, MODE_SNAPSHOT, OPERATION_TYPE, REASON, TRACKING_ID
-from changeloom.operators import capture, envelope, paging, purge
+from changeloom.operators import capture, digests, envelope, paging, purge
+from changeloom.plans import figures
 from changeloom.plans.handover import Position, source_records
 from changeloom.plans.handover import snapshot_then_cdc as hand_over
 from changeloom.sources.scratch import new_folder
@@ -311,6 +312,13 @@ def capture_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capture.capture_diff(old, new, ["c_custkey"])
 
 
+@QUERIES.add(f"WITH {VERSIONS_SQL} {_DIFF}")
+def capture_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes, from the key ranges whose digests differ."""
+    old, new = table_versions(spark, sf_dir)
+    return digests.capture_by_digest(old, new, ["c_custkey"], coarse=64, fine=256)
+
+
 @QUERIES.add(f"""
 WITH {VERSIONS_SQL}
 SELECT c_custkey, c_mktsegment, "CONNECTOR_OPERATION_TYPE" FROM ({_DIFF})""")
@@ -328,3 +336,22 @@ def tracking_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = table_versions(spark, sf_dir)
     changes = capture.capture_diff(old, new, ["c_custkey"], copy_number="copy")
     return capture.number_changes(changes, ["c_custkey", OPERATION_TYPE]).drop(CREATED_AT, "copy")
+
+
+@QUERIES.add("SELECT o_orderkey, o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS page FROM orders")
+def snapshot_page_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages of 1000 rows at once."""
+    return paging.page_index(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 1000)
+
+
+@QUERIES.add("""
+SELECT max(event_id) AS last_seq, count(*) AS n_records, count(*) FILTER (event_type = 'error') AS n_deletes,
+       count(*) FILTER (value > 99 AND event_type <> 'error') AS n_bad,
+       min(event_id) FILTER (value > 99 AND event_type <> 'error') AS first_bad FROM events""")
+def observed_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position, counts and the first bad record of a run, from the pass that writes its records."""
+    records = envelope.cdc_records(tracking_table(spark, sf_dir), "CUSTOMER", keys=["K"]).good
+    marked = records.withColumn(REASON, F.when(F.col("after.VALUE") > 99, "too large"))
+    watched, found = figures.observed(marked)
+    watched.write.parquet(new_folder(spark, "observed"))
+    return figures.figures_row(marked, found)

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.names import TRACKING_ID
 from changeloom.operators import envelope
+from changeloom.operators.apply import apply_changes
+from changeloom.plans.chunks import ChunkedSnapshot, chunk_ranges
 from changeloom.sources.bucketed import declare_bucketed, write_bucketed
 from changeloom.sources.scratch import new_folder
+from changeloom.streaming.prefix import PrefixSink
 from changeloom.streaming.sink import ChangeSink, RecordSink, RoutedSink
 from changeloom.streaming.tail import ROW_ID, land, land_new, start, tail, tail_rows, with_row_id
-from workload.apply_queries import COLUMNS, FULL_SQL, OTHER_KEY_SQL, PARTIAL_SQL, TABLES, records_by_code, target_with_code
+from workload.apply_queries import COLUMNS, FULL_SQL, OTHER_KEY_SQL, PARTIAL_SQL, TABLES, applied_sql, records_by_code, target_with_code
 from workload.apply_queries import QUERIES as APPLY_QUERIES
 from workload.fixtures import TRACKING_SQL, apply_target, change_feed, json_records, tracking_table
 from workload.registry import Registry
@@ -279,3 +283,60 @@ def stream_null_keys_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = with_row_id(tail(spark, f"{root}/landing", records.schema, max_files=2))
         start(sink.writer(stream), f"{root}/checkpoint-{run}").awaitTermination()
     return sink.current(rows.limit(0))
+
+
+@QUERIES.add(applied_sql("has_value", "has_props", """(SELECT * FROM feed WHERE seq < (
+  SELECT min(seq) FROM feed WHERE NOT is_delete AND value = (SELECT max(value) FROM feed WHERE NOT is_delete)))"""))
+def stream_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upserts with the largest value lack a payload: the stream applies what comes before the first of them, and stops."""
+    root = new_folder(spark, "stream-prefix")
+    feed = change_feed(spark, sf_dir).where("operation <> 'delete'")
+    largest = feed.agg(F.max("value")).first()[0]
+    values = change_feed(spark, sf_dir).select("seq", F.col("value").alias("own"))
+    records = json_records(spark, sf_dir).drop("k").withColumn("metadata", F.create_map().cast("map<string,string>")).join(values, "seq")
+    bad = (F.col("own") == largest) & (F.col("operation") != "delete")
+    records = _landable(records.withColumn("after_json", F.when(~bad, F.col("after_json"))).drop("own"))
+    land(records, f"{root}/landing")
+    target = apply_target(spark, sf_dir)
+    sink = PrefixSink(spark, f"{root}/sink", target.schema, "CUSTOMER", "k")
+    stream = tail_rows(spark, f"{root}/landing", records.schema, records.count() // 3 + 1)
+    query = start(sink.writer(stream), f"{root}/checkpoint", "0 seconds")
+    try:
+        query.processAllAvailable()
+    except StreamingQueryException as error:
+        if "StoppedAtRecord" not in str(error):
+            raise
+    finally:
+        query.stop()
+    return sink.current(target)
+
+
+@QUERIES.add(FULL_SQL)
+def snapshot_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table is read in four chunks while a feed changes it, with a stop after two; the chunks and the feed then
+    give the table as the whole feed leaves it."""
+    root = new_folder(spark, "snapshot-chunks")
+    feed, first = change_feed(spark, sf_dir).drop("present"), apply_target(spark, sf_dir)
+    tracked = feed.withColumn(TRACKING_ID, F.col("seq"))
+    last = feed.agg(F.max("seq")).first()[0]
+    # The clock moves on with each look at the position; the table is read at a time between two looks.
+    clock = {"now": -1}
+
+    def position() -> int:
+        clock["now"] = min(last, clock["now"] + last // 9 + 1)
+        return clock["now"]
+
+    def as_of_now() -> DataFrame:
+        return apply_changes(first, feed.where(F.col("seq") <= clock["now"] + last // 20), "k", COLUMNS)
+
+    def snapshot() -> ChunkedSnapshot:
+        return ChunkedSnapshot(spark, root, ["k"], "k", as_of_now, lambda: tracked, position)
+
+    chunks = chunk_ranges(first, "k", 4)
+    snapshot().run(chunks[:2])
+    snapshot().run(chunks)
+    sink = ChangeSink(spark, f"{root}/changes", "k", COLUMNS)
+    sink.write_batch(snapshot().rows().withColumn("operation", F.lit("snapshot")))
+    begin = snapshot().done().agg(F.min("low")).first()[0]
+    sink.write_batch(feed.where(F.col("seq") > begin))
+    return sink.current(first.limit(0))
