@@ -32,11 +32,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows, written to the shared folder and read back: the lineage ends here."""
-    path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+# Spark's setting by which the shuffle files of a query go when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, purpose: str, free: bool = False) -> DataFrame:
+    """The rows, written to the shared folder and read back: the lineage ends here.
+
+    With ``free`` the shuffle files that led to them go at once; nothing needs them any more.
+    """
+    spark, path = df.sparkSession, new_folder(df.sparkSession, purpose)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    if free:
+        spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free:
+            spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def keyed_rows(df: DataFrame, key: str) -> DataFrame:

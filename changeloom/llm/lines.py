@@ -119,7 +119,7 @@ def _near_repeats(near: DataFrame) -> DataFrame:
         F.min(F.when(F.col("i") == 0, F.col("line"))).alias("own"),
         F.min(F.when(F.col("i") > 0, F.col("line"))).alias("less"),
     )
-    several = stored(variants.join(ends.where("n > 1"), "v").select("v", "i", "line", "own", "less"), "variants")
+    several = stored(variants.join(ends.where("n > 1"), "v").select("v", "i", "line", "own", "less"), "variants", free=True)
     placed = several.groupBy("v", "i").agg(F.min("line").alias("same"))
     joined = several.join(placed, ["v", "i"])
     partner = F.when(F.col("i") == 0, F.col("less")).otherwise(F.least("own", "same"))
@@ -131,12 +131,12 @@ def _near_repeats(near: DataFrame) -> DataFrame:
 
 def line_flags(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 8) -> DataFrame:
     """``(k, p, gone)`` for every line of the rows with a key."""
-    lines = stored(_lines(docs, key, text, min_words), "lines")
+    lines = stored(_lines(docs, key, text, min_words), "lines", free=True)
     earliest = F.min(F.struct("k", "p")).alias("first")
     distinct = lines.where("h IS NOT NULL").groupBy("h", "g").agg(earliest, F.first("halves").alias("halves"))
-    distinct = stored(distinct, "distinct")
-    near = stored(_near(docs, distinct, key, text), "near")
-    repeats = stored(_near_repeats(near), "repeats").select(F.struct("k", "p").alias("first"), F.lit(True).alias("near"))
+    distinct = stored(distinct, "distinct", free=True)
+    near = stored(_near(docs, distinct, key, text), "near", free=True)
+    repeats = stored(_near_repeats(near), "repeats", free=True).select(F.struct("k", "p").alias("first"), F.lit(True).alias("near"))
     # Only lines that occur again or repeat another need a look; most do not.
     stands = distinct.join(repeats, "first", "left").select("h", "g", "first", F.coalesce("near", F.lit(False)).alias("near"))
     joined = lines.select("k", "p", "h", "g").join(stands, ["h", "g"], "left")
@@ -159,7 +159,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
         F.transform(F.sort_array(F.collect_list(F.struct("p", "gone"))), lambda x: x["gone"]).alias("gone")
     )
     removed = F.array_compact(F.transform("gone", lambda x, i: F.when(x, i)))
-    flags = stored(flags.select("k", "gone", removed.alias("removed")), "flags")
+    flags = stored(flags.select("k", "gone", removed.alias("removed")), "flags", free=True)
     empty = F.array().cast("array<int>")
     rows = keyed_rows(docs, key).withColumns({
         "has_lines": F.col("row")[text].isNotNull(),

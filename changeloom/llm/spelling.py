@@ -186,7 +186,7 @@ def near_pairs(words: DataFrame, symbols: tuple[int, ...] = SYMBOLS, crowd: int
             shared = own.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > crowd)
             marked = own.join(shared.select("key", F.lit(True).alias("crowded")).hint("merge"), "key", "left")
             marked = marked.select("word", "n", "key", F.coalesce("crowded", F.lit(False)).alias("crowded"))
-        marked = stored(marked, "reduced")
+        marked = stored(marked, "reduced", free=True)
         quiet = marked.where(~F.col("crowded")).select("key", F.col("word").alias("near"), F.col("n").alias("n_near"))
         edits = partial(_edits, symbols=size, letters=_ALL_LETTERS)
         # A row becomes a hundred: few files must not mean few tasks.
@@ -215,11 +215,11 @@ def near_pairs(words: DataFrame, symbols: tuple[int, ...] = SYMBOLS, crowd: int
 
 def roots_of(forms: DataFrame) -> DataFrame:
     """``(word, root)`` of words with a form: the end of each chain of forms. ``forms`` is ``(word, form)`` without NULLs."""
-    links = stored(forms.select("word", F.col("form").alias("root")), "roots")
+    links = stored(forms.select("word", F.col("form").alias("root")), "roots", free=True)
     while True:
         onward = links.select(F.col("word").alias("root"), F.col("root").alias("further"))
         jumped = links.join(onward.hint("merge"), "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved"))
-        jumped = stored(jumped, "roots")
+        jumped = stored(jumped, "roots", free=True)
         links = jumped.select("word", "root")
         if jumped.where("moved").isEmpty():
             return links
@@ -234,7 +234,7 @@ def group_variants(words: DataFrame, ratio: int = 2, symbols: tuple[int, ...] =
     columns are not carried. An empty vocabulary gives an empty result.
     """
     words = words.where("word IS NOT NULL AND n IS NOT NULL").groupBy("word").agg(F.sum("n").cast("long").alias("n"))
-    words = stored(words, "vocabulary")
+    words = stored(words, "vocabulary", free=True)
     # Strings compare by their UTF-8 bytes, which is the order of their code points.
     best = F.min(F.struct((-F.col("n_near")).alias("less"), "near")).alias("best")
     near = near_pairs(words, symbols, crowd).groupBy("word").agg(F.count("*").alias("n_near"), best)
@@ -244,6 +244,6 @@ def group_variants(words: DataFrame, ratio: int = 2, symbols: tuple[int, ...] =
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(leads, F.col("best.near")).alias("form"), F.when(leads, -F.col("best.less")).alias("form_n"),
     )
-    joined = stored(joined, "forms")
+    joined = stored(joined, "forms", free=True)
     roots = roots_of(joined.where("form IS NOT NULL"))
     return joined.join(roots.hint("merge"), "word", "left").select(*joined.columns, F.coalesce("root", "word").alias("root"))
