@@ -16,13 +16,14 @@ threshold. Then they differ in few shingles: at most ``t * (1 - s) / s``, with `
   that are hot (held by more than ``HOT`` classes, such as parts of a passage in many documents), the
   most frequent first. The order by frequency is the same for all sets, so of the signatures that two
   linked sets agree on both skip a beginning only, each shorter than the whole: one is left to both.
-* **Candidates.** Signatures are dealt to groups. Up to ``HOT`` classes with a signature are paired; of a hot
-  one, only the least class is paired with the others: a star, never all pairs.
+* **Candidates.** Signatures are dealt to groups. Up to ``HOT`` classes with a signature are paired. Of its hot
+  ones a class takes the most frequent, and is paired with the least class there: a star, never all pairs.
 * **Exact verification.** First one edge per class is verified, then components are formed, then what could
   still join two components: the other candidates, and classes of different components that share a
-  kept hot signature. These pass a bitmap filter first: the parity bits of two sets differ in at most
-  as many places as the sets themselves. Pairs inside one component are never expanded, so a large
-  group of copies costs a star.
+  kept hot signature. Those are partitioned anew, a shingle a segment, rarest first, which tells
+  documents with one passage in common apart from alike ones. Both pass a bitmap filter: the parity
+  bits of two sets differ in at most as many places as the sets themselves. Pairs inside one component are
+  never expanded, so a large group of copies costs a star.
 
 Shingles are compared by 64-bit hashes.
 """
@@ -293,19 +294,44 @@ def _kept_hot(found: DataFrame) -> DataFrame:
 
 
 def _hot_stars(kept: DataFrame) -> DataFrame:
-    centres = kept.groupBy("signature").agg(F.min("c").alias("a"))
+    """One pair per class: with the least class of its most frequent kept hot signature."""
+    centres = kept.groupBy("signature").agg(F.min("c").alias("a"), F.count("*").alias("size"))
     stars = kept.join(centres, "signature").where("a <> c")
-    return stars.groupBy("a", F.col("c").alias("b")).agg(F.count("*").alias("times"))
+    one = stars.groupBy(F.col("c").alias("b")).agg(F.max_by("a", F.struct("size", "signature")).alias("a"))
+    return one.select("a", "b", F.lit(1).cast("long").alias("times"))
 
 
-def _strangers(kept: DataFrame, labels: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of classes of different components that share a kept hot signature."""
+def _shingles(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    for step in steps(batches, limit=1 << 20):
+        grams, owner, _ = shingle_sets(step.column("t"), rule.shingle)
+        yield pa.RecordBatch.from_arrays([step.column("c").take(pa.array(owner)), pa.array(grams.view(np.int64))], names=["c", "shingle"])
+
+
+def _strangers(kept: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of classes of different components that share a kept hot signature and may link.
+
+    What makes such a signature hot, a passage of many documents, does not make them alike. So the classes
+    are partitioned once more, as finely as can be, a segment per shingle: in the order from the rarest shingle on,
+    two linked sets share one among the first of either, as many as can differ and one more.
+    """
     named = kept.join(labels, "c", "left").select("signature", "c", F.coalesce("label", "c").alias("label"))
     ends = named.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = named.join(ends.where("low <> high").select("signature"), "signature")
-    mixed = stored(mixed.join(classes.select("c", "n", "f"), "c").select("signature", "c", "label", "n", "f"), "mixed")
-    sides = [mixed.toDF("signature", *[f"{name}{side}" for name in ("c", "label", "n", "f")]) for side in ("a", "b")]
-    met = sides[0].join(sides[1], "signature").where((F.col("labela") < F.col("labelb")) & _may_link(rule))
+    mixed = named.join(ends.where("low <> high").select("signature"), "signature").select("c", "label").distinct()
+    members = stored(mixed.join(classes.select("c", "n", "f"), "c"), "mixed", free=True)
+    rows = texts.join(members.select("c"), "c", "left_semi").mapInArrow(partial(_shingles, rule=rule), "c long, shingle long")
+    rows = stored(rows, "shingles", free=True)
+    common = rows.groupBy("shingle").agg(F.count("*").alias("held"))
+    ranked = rows.join(common, "shingle").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("c").orderBy("held", "shingle"))
+    )
+    # A linked partner holds ``percent`` of the set at least.
+    first = F.col("n") - F.ceil(F.col("n") * rule.percent / 100) + 1
+    prefix = ranked.join(members, "c").where(F.col("rank") <= first)
+    prefix = stored(prefix.select("shingle", "c", "label", "n", "f"), "prefixes", free=True)
+    ends = prefix.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    split = prefix.join(ends.where("low <> high").select("shingle"), "shingle")
+    sides = [split.toDF("shingle", *[f"{name}{side}" for name in ("c", "label", "n", "f")]) for side in ("a", "b")]
+    met = sides[0].join(sides[1], "shingle").where((F.col("labela") < F.col("labelb")) & _may_link(rule))
     return met.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
 
 
@@ -368,22 +394,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     """
     groups = partitions_for(docs)
     source = id_and_text(docs, key, text)
-    sketches = stored(source.mapInArrow(partial(_sketches, rule=rule), "k long, n long, c long, bits binary, f array<long>"), "sketches")
+    sketches = stored(source.mapInArrow(partial(_sketches, rule=rule), "k long, n long, c long, bits binary, f array<long>"), "sketches", free=True)
     filled = sketches.where("n > 0 AND k IS NOT NULL")
-    classes = stored(filled.groupBy("c").agg(F.min("k").alias("k"), F.max("n").alias("n"), F.max("bits").alias("bits"), F.max("f").alias("f")), "classes")
+    classes = stored(filled.groupBy("c").agg(F.min("k").alias("k"), F.max("n").alias("n"), F.max("bits").alias("bits"), F.max("f").alias("f")), "classes", free=True)
 
     index = source.where("k IS NOT NULL").mapInArrow(partial(_index, rule=rule, groups=groups), _INDEX)
-    found = stored(index.repartitionById(groups, "g").mapInArrow(_stars, _FOUND), "found")
-    kept = stored(_kept_hot(found), "hot")
+    found = stored(index.repartitionById(groups, "g").mapInArrow(_stars, _FOUND), "found", free=True)
+    kept = stored(_kept_hot(found), "hot", free=True)
     plain = found.where("hot = 0").select("a", "b", "times").union(_hot_stars(kept))
-    stars = stored(plain.groupBy("a", "b").agg(F.sum("times").alias("times")), "candidates")
-    nodes = stars.select(F.col("a").alias("c")).union(stars.select(F.col("b").alias("c"))).distinct()
+    stars = stored(plain.groupBy("a", "b").agg(F.sum("times").alias("times")), "candidates", free=True)
+    nodes = stars.select(F.col("a").alias("c")).union(stars.select(F.col("b").alias("c"))).union(kept.select("c")).distinct()
     places = nodes.join(classes, "c").select("c", "k")
     texts = source.join(places.hint("shuffle_hash"), "k").select("c", "t")
-    texts = stored(texts.mapInArrow(partial(_of_class, rule=rule), "c long, t string"), "texts")
+    texts = stored(texts.mapInArrow(partial(_of_class, rule=rule), "c long, t string"), "texts", free=True)
 
     first = stars.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a"))
-    links = stored(_links(first, texts, rule), "links")
+    links = stored(_links(first, texts, rule), "links", free=True)
     labels = components(links)
 
     def label_of(pairs: DataFrame, column: str) -> DataFrame:
@@ -392,14 +418,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
         return joined.withColumn(f"label_{column}", F.coalesce(f"label_{column}", column))
 
     split = label_of(label_of(stars.select("a", "b"), "a"), "b").where("label_a <> label_b").select("a", "b")
-    rest = split.union(_strangers(kept, labels, classes, rule)).distinct()
+    rest = split.union(_strangers(kept, labels, classes, texts, rule)).distinct()
     for columns in (("n", "f"), ("bits",)):
         for side in ("a", "b"):
             named = [F.col(c).alias(f"{c}{side}") for c in columns]
             rest = rest.join(classes.select(F.col("c").alias(side), *named), side)
         rest = rest.where(_may_link(rule)).select("a", "b", "na", "nb") if columns[0] == "n" else rest
-    rest = stored(rest.mapInArrow(partial(_alike, rule=rule), "a long, b long"), "pairs")
-    more = stored(_links(rest, texts, rule), "links")
+    rest = stored(rest.mapInArrow(partial(_alike, rule=rule), "a long, b long"), "pairs", free=True)
+    more = stored(_links(rest, texts, rule), "links", free=True)
     if not more.isEmpty():
         labels = components(links.union(more))
 

@@ -129,3 +129,20 @@ def test_shingle_sets_of_a_step():
     texts = [None, "a b c d e f", "A b  c d\te f", "a b", "a b c d e f a b c d e f"]
     _, owner, sizes = j.shingle_sets(pa.array(texts, pa.string()), 5)
     assert sizes.tolist() == [len(shingles(t)) for t in texts] and (np.diff(owner) >= 0).all()
+
+
+def test_a_passage_of_many_documents_hides_no_link(spark):
+    """All documents share 46 words, so all their kept signatures are hot; a few pairs are alike beyond that."""
+    chance = random.Random(9)
+    passage = [f"p{i}" for i in range(46)]
+    rows = []
+    for i in range(80):
+        own = [f"o{i}_{n}" for n in range(12)]
+        words = own[:6] + passage + own[6:]
+        rows.append((i, " ".join(words)))
+        if i % 8 == 0:
+            words[chance.choice([1, 3, -2])] = "edited"
+            rows.append((1000 + i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.k: r.component_id for r in j.near_duplicates(docs).collect()}
+    assert found == brute(rows) and len(set(found.values())) == 80
