@@ -7,6 +7,8 @@ for which it cannot be applied, in the order in which a record is worked on.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,26 +151,44 @@ def _is_filled(value: Column) -> Column:
 
 
 TYPED = "_typed"
-FILLED = "_filled"
+# The first column, in the order of the schema, whose value does not fit.
+UNFIT = "_unfit"
+
+
+def _converter(data_type: T.DataType) -> Callable[[Column], Column]:
+    return lambda value: typed_value(value, data_type)
 
 
 def with_typed_values(parsed: DataFrame, schema: T.StructType) -> DataFrame:
-    """Adds one struct of typed values, each worked out once, and which columns have a value at all.
+    """Adds one struct of typed values, each worked out once, and the name of the first column whose value does not fit.
 
-    The record's key column takes the merge key, which the payload or the record key gave.
+    The record's key column takes the merge key, which the payload or the record key gave. Columns of one type are
+    converted together, as an array: the expression, and the time to plan and compile it, grows with the
+    types of a table, not with its columns.
     """
-    raw = {
-        f"_raw_{i}": F.when(F.col("key_column") == field.name.upper(), F.col("merge_key")).otherwise(
-            F.element_at(F.col("payload"), field.name.upper())
-        )
-        for i, field in enumerate(schema)
-    }
-    rows = evaluate_once(parsed, raw)
-    values = [
-        typed_value(F.col(f"_raw_{i}"), field.dataType).alias(field.name.upper()) for i, field in enumerate(schema)
-    ]
-    filled = [_is_filled(F.col(f"_raw_{i}")).alias(field.name.upper()) for i, field in enumerate(schema)]
-    return evaluate_once(rows, {TYPED: F.struct(*values), FILLED: F.struct(*filled)}).drop(*raw)
+    places: dict[T.DataType, list[int]] = {}
+    for i, field in enumerate(schema):
+        places.setdefault(field.dataType, []).append(i)
+
+    def raw(name: Column) -> Column:
+        return F.when(F.col("key_column") == name, F.col("merge_key")).otherwise(F.element_at(F.col("payload"), name))
+
+    names = [field.name.upper() for field in schema]
+    wanted = {f"_raw_{g}": F.array(*[F.lit(names[i]) for i in own]) for g, own in enumerate(places.values())}
+    rows = evaluate_once(parsed, {column: F.transform(array, raw) for column, array in wanted.items()})
+    rows = evaluate_once(rows, {
+        f"_typed_{g}": F.transform(f"_raw_{g}", _converter(kind)) for g, kind in enumerate(places)
+    })
+    values, unfit = {}, []
+    for g, own in enumerate(places.values()):
+        for place, i in enumerate(own):
+            values[i] = F.get(f"_typed_{g}", F.lit(place)).alias(names[i])
+        misses = F.zip_with(f"_raw_{g}", f"_typed_{g}", lambda value, typed: _is_filled(value) & typed.isNull())
+        unfit.append(F.zip_with(misses, F.array(*[F.lit(i) for i in own]), lambda miss, i: F.when(miss, i)))
+    first = F.get(F.array(*[F.lit(name) for name in names]), F.array_min(F.concat(*unfit)))
+    row = F.struct(*[values[i] for i in range(len(names))])
+    internal = [f"{kind}_{g}" for kind in ("_raw", "_typed") for g in range(len(places))]
+    return evaluate_once(rows, {TYPED: row, UNFIT: first}).drop(*internal)
 
 
 def reason_of(schema: T.StructType | None = None, tables: list[str] | None = None) -> Column:
@@ -195,10 +215,10 @@ def reason_of(schema: T.StructType | None = None, tables: list[str] | None = Non
         known = F.array(*[F.lit(name.upper()) for name in schema.names])
         checks.append((~deletes & (F.size(F.array_except(names, known)) > 0), UNKNOWN_COLUMN))
         checks.append((~F.array_contains(known, F.col("key_column")), UNKNOWN_COLUMN))
-        for field in schema:
-            name = field.name.upper()
-            checks.append((F.col(FILLED)[name] & F.col(TYPED)[name].isNull(), f"{BAD_VALUE} {name}"))
-    return F.coalesce(*[F.when(failed, F.lit(text)) for failed, text in checks])
+    reasons = [F.when(failed, F.lit(text)) for failed, text in checks]
+    if schema is not None:
+        reasons.append(F.when(F.col(UNFIT).isNotNull(), F.concat(F.lit(f"{BAD_VALUE} "), F.col(UNFIT))))
+    return F.coalesce(*reasons)
 
 
 def mark_records(
@@ -216,8 +236,8 @@ def check_records(
     """Records that can be applied, and those set aside with a reason."""
     marked = mark_records(parsed, schema, tables)
     return Split(
-        good=marked.where(F.col(REASON).isNull()).drop(REASON, TYPED, FILLED),
-        rejects=marked.where(F.col(REASON).isNotNull()).drop(TYPED, FILLED),
+        good=marked.where(F.col(REASON).isNull()).drop(REASON, TYPED, UNFIT),
+        rejects=marked.where(F.col(REASON).isNotNull()).drop(TYPED, UNFIT),
     )
 
 
