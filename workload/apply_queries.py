@@ -165,13 +165,16 @@ bad AS (SELECT min(event_id) AS first_bad FROM upserts WHERE value = (SELECT max
 SELECT event_id AS seq FROM events, bad WHERE event_id < first_bad""")
 def prefix_ack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The upserts with the largest value lack a payload: what comes before the first is kept."""
-    upserts = table(spark, sf_dir, "events").where(F.col("event_type") != "error")
-    largest = upserts.agg(F.max("value")).scalar()
-    values = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "value")
-    records = json_records(spark, sf_dir).drop("k").join(values, "seq")
-    records = records.withColumn("after_json", F.when(F.col("value") < largest, F.col("after_json")))
-    parsed = record_ops.parse_records(records, "T_OTHER", "K")
-    return record_ops.applied_prefix(record_ops.mark_records(parsed)).select("seq")
+    target = apply_target(spark, sf_dir).toDF("K", "VALUE", "PROPS")
+    typed = sync.land_records(_with_bad_records(spark, sf_dir), target.schema, ["T_OTHER"], "T_OTHER", "K")
+    return record_ops.applied_prefix(typed, "_seq", "_reason").select(F.col("_seq").alias("seq"))
+
+
+def _with_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records for one table, of which the upserts with the largest value lack a payload."""
+    largest = table(spark, sf_dir, "events").where(F.col("event_type") != "error").agg(F.max("value")).first()[0]
+    records = json_records(spark, sf_dir, keep=("value",)).drop("k").withColumn("metadata", F.create_map().cast("map<string,string>"))
+    return records.withColumn("after_json", F.when(F.col("value") < largest, F.col("after_json"))).drop("value")
 
 
 @QUERIES.add("""
@@ -300,13 +303,7 @@ bad AS (SELECT min(event_id) AS first_bad FROM upserts WHERE value = (SELECT max
 SELECT count(*) AS n_applied FROM events, bad WHERE event_id < first_bad""")
 def prefix_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many records a writer acknowledges that stops at the first one without a payload."""
-    events = table(spark, sf_dir, "events")
-    largest = events.where(F.col("event_type") != "error").agg(F.max("value")).first()[0]
-    values = events.select(F.col("event_id").alias("seq"), "value")
-    records = json_records(spark, sf_dir).drop("k").join(values, "seq").withColumn(
-        "metadata", F.create_map().cast("map<string,string>")
-    )
-    records = records.withColumn("after_json", F.when(F.col("value") < largest, F.col("after_json"))).drop("value")
+    records = _with_bad_records(spark, sf_dir)
     return sync.apply_prefix(apply_target(spark, sf_dir), records, "T_OTHER", "k")[2]
 
 

@@ -88,8 +88,8 @@ TARGET_SQL = """
 target AS (SELECT c_custkey AS k, c_acctbal AS value, c_mktsegment AS props FROM customer)"""
 
 
-def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as JSON records. The names are in mixed case; some keys are only in the record
+def json_records(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``events`` as JSON records, with columns of the feed to ``keep``. The names are in mixed case; some keys are only in the record
     key, and each event type has a table of its own, but ``view`` goes to the default table."""
     feed = change_feed(spark, sf_dir)
     key, value, props = F.col("k"), F.col("value"), F.col("props")
@@ -110,6 +110,7 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         after.alias("after_json"),
         "event_type",
         "k",
+        *keep,
     )
 
 
