@@ -312,7 +312,8 @@ def _strangers(kept: DataFrame, labels: DataFrame, classes: DataFrame, texts: Da
 
     What makes such a signature hot, a passage of many documents, does not make them alike. So the classes
     are partitioned once more, as finely as can be, a segment per shingle: in the order from the rarest shingle on,
-    two linked sets share one among the first of either, as many as can differ and one more.
+    two linked sets share one among the first of either, as many as can differ and one more, which are fewer for
+    the smaller set of a pair.
     """
     named = kept.join(labels, "c", "left").select("signature", "c", F.coalesce("label", "c").alias("label"))
     ends = named.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high"))
@@ -324,14 +325,20 @@ def _strangers(kept: DataFrame, labels: DataFrame, classes: DataFrame, texts: Da
     ranked = rows.join(common, "shingle").withColumn(
         "rank", F.row_number().over(Window.partitionBy("c").orderBy("held", "shingle"))
     )
-    # A linked partner holds ``percent`` of the set at least.
-    first = F.col("n") - F.ceil(F.col("n") * rule.percent / 100) + 1
-    prefix = ranked.join(members, "c").where(F.col("rank") <= first)
-    prefix = stored(prefix.select("shingle", "c", "label", "n", "f"), "prefixes", free=True)
+    # A linked partner holds ``percent`` of the set at least; one that is no smaller holds more.
+    many = F.col("n") - F.ceil(F.col("n") * rule.percent / 100) + 1
+    few = F.col("n") - F.ceil(F.col("n") * (2 * rule.percent) / (100 + rule.percent)) + 1
+    prefix = ranked.join(members, "c").where(F.col("rank") <= many)
+    prefix = stored(prefix.select("shingle", "c", "label", "n", "f", "rank", (F.col("rank") <= few).alias("few")), "prefixes", free=True)
     ends = prefix.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     split = prefix.join(ends.where("low <> high").select("shingle"), "shingle")
-    sides = [split.toDF("shingle", *[f"{name}{side}" for name in ("c", "label", "n", "f")]) for side in ("a", "b")]
-    met = sides[0].join(sides[1], "shingle").where((F.col("labela") < F.col("labelb")) & _may_link(rule))
+    names = ("c", "label", "n", "f", "rank")
+    small, large = (rows.select("shingle", *[F.col(x).alias(f"{x}{side}") for x in names]) for rows, side in ((split.where("few"), "a"), (split, "b")))
+    # The first shingle that a pair shares leaves both room for all that it must share.
+    needed = F.ceil((F.col("na") + F.col("nb")) * rule.percent / (100 + rule.percent))
+    room = 1 + F.least(F.col("na") - F.col("ranka"), F.col("nb") - F.col("rankb")) >= needed
+    in_order = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ca") < F.col("cb")))
+    met = small.join(large, "shingle").where(in_order & (F.col("labela") != F.col("labelb")) & room & _may_link(rule))
     return met.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
 
 

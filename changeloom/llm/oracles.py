@@ -86,8 +86,13 @@ FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id
 """
 
 PREFERENCES = """
-WITH t AS (SELECT conv_id, turn, min({'role': coalesce(role, ''), 'text': coalesce(text, '')}) AS c
-           FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+WITH known AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+l AS (SELECT conv_id, max({'turn': turn, 'text': coalesce(text, '')}) AS last FROM known WHERE role = 'assistant' GROUP BY conv_id),
+w AS (SELECT k.*, coalesce(k.turn = l.last.turn AND role = 'assistant', false) AS is_last, coalesce(n.last.text, p.last.text) AS other
+      FROM known k LEFT JOIN l ON l.conv_id = k.conv_id LEFT JOIN l n ON n.conv_id = k.conv_id + 1 LEFT JOIN l p ON p.conv_id = k.conv_id - 1),
+two AS (SELECT conv_id * 2 AS conv_id, turn, role, text FROM known
+        UNION ALL SELECT conv_id * 2 + 1, turn, role, CASE WHEN is_last THEN other ELSE text END FROM w WHERE NOT is_last OR other IS NOT NULL),
+t AS (SELECT conv_id, turn, min({'role': coalesce(role, ''), 'text': coalesce(text, '')}) AS c FROM two GROUP BY ALL),
 a AS (SELECT coalesce(x.p, y.p) AS pair_id, coalesce(x.turn, y.turn) AS turn, x.c AS chosen, y.c AS rejected
       FROM (SELECT conv_id // 2 AS p, turn, c FROM t WHERE conv_id % 2 = 0) x
       FULL JOIN (SELECT conv_id // 2 AS p, turn, c FROM t WHERE conv_id % 2 = 1) y ON x.p = y.p AND x.turn = y.turn),
@@ -96,7 +101,7 @@ b AS (SELECT a.*, split IS NULL OR turn < split AS shared FROM a JOIN s ON a.pai
 p AS (SELECT pair_id, turn, 'prompt' AS part, chosen AS c FROM b WHERE shared
       UNION ALL SELECT pair_id, turn, 'chosen', chosen FROM b WHERE NOT shared AND chosen IS NOT NULL
       UNION ALL SELECT pair_id, turn, 'rejected', rejected FROM b WHERE NOT shared AND rejected IS NOT NULL),
-r AS (SELECT pair_id, part, turn, c.role AS role, '<|' || replace(c.role, '<|', '< |') || '|>' || chr(10) AS head,
+r AS (SELECT pair_id, part, turn, c.role AS role, '<|' || replace(replace(c.role, '<|', '< |'), '|>', '| >') || '|>' || chr(10) AS head,
              replace(c.text, '<|', '< |') || chr(10) AS body FROM p),
 o AS (SELECT *, sum(length(head || body)) OVER (PARTITION BY pair_id, part ORDER BY turn) AS e FROM r)
 SELECT pair_id, part, turn, role, sha256(head || body) AS segment_sha256, (e - length(head || body))::BIGINT AS "start",

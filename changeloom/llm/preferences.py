@@ -22,7 +22,8 @@ BLOCK = 1024
 
 
 def header(role: Column) -> Column:
-    return F.concat(F.lit("<|"), role, F.lit("|>\n"))
+    # A role can neither begin nor end a header.
+    return F.concat(F.lit("<|"), F.replace(plain(role), F.lit("|>"), F.lit("| >")), F.lit("|>\n"))
 
 
 def plain(text: Column) -> Column:
@@ -75,7 +76,7 @@ def format_preferences(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     )
     parts = F.when(shared, F.array(part("prompt", "chosen"))).otherwise(completions)
     rows = rows.select("pair_id", "turn", F.inline(parts))
-    head, body = header(plain(F.col("role"))), plain(F.col("text"))
+    head, body = header(F.col("role")), plain(F.col("text"))
     rows = rows.select(
         "pair_id", "part", "turn", "role", F.concat(head, body, F.lit("\n")).alias("segment"),
         F.length(head).cast("long").alias("head"), F.floor(F.col("turn") / BLOCK).alias("block"),
@@ -103,3 +104,27 @@ def neighbouring_pairs(turns: DataFrame) -> DataFrame:
     pair = F.floor(F.col("conv_id") / 2).alias("pair_id")
     ids = turns.where("conv_id IS NOT NULL").select(pair).distinct()
     return ids.select("pair_id", (F.col("pair_id") * 2).alias("chosen"), (F.col("pair_id") * 2 + 1).alias("rejected"))
+
+
+def with_swapped_answers(turns: DataFrame) -> DataFrame:
+    """Chosen and rejected conversations from a table without preferences, as conversations ``2 i`` and ``2 i + 1``.
+
+    The chosen one is conversation ``i``. The rejected one has the same turns, but its last assistant turn has the text of
+    the last one of conversation ``i + 1``, or ``i - 1`` where that has none, and is missing if neither has one. Without
+    an assistant turn both are the same. Rows without a conversation or turn number are left out.
+    """
+    known = turns.where("conv_id IS NOT NULL AND turn IS NOT NULL").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
+    )
+    answers = known.where(F.col("role") == TRAINED_ROLE).groupBy("conv_id").agg(
+        F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("last")
+    )
+    beside = {name: answers.select((F.col("conv_id") - step).alias("conv_id"), F.col("last.text").alias(name)) for name, step in (("after", 1), ("before", -1))}
+    swaps = answers.join(beside["after"], "conv_id", "left").join(beside["before"], "conv_id", "left")
+    swaps = swaps.select("conv_id", F.col("last.turn").alias("swapped"), F.coalesce("after", "before").alias("other"))
+    rows = known.join(swaps, "conv_id", "left")
+    is_last = F.coalesce((F.col("turn") == F.col("swapped")) & (F.col("role") == TRAINED_ROLE), F.lit(False))
+    rejected = F.struct((F.col("conv_id") * 2 + 1).alias("conv_id"), F.when(is_last, F.col("other")).otherwise(F.col("text")).alias("text"))
+    chosen = F.struct((F.col("conv_id") * 2).alias("conv_id"), F.col("text").alias("text"))
+    sides = F.array_compact(F.array(chosen, F.when(~(is_last & F.col("other").isNull()), rejected)))
+    return rows.select("turn", "role", F.inline(sides)).select("conv_id", "turn", "role", "text")

@@ -15,7 +15,7 @@ from changeloom.llm.lines import dedup_lines
 from changeloom.llm.pii import as_text, personal_spans
 from changeloom.llm.periods import periodic_runs, with_planted_periods
 from changeloom.llm.pieces import decode, encode
-from changeloom.llm.preferences import format_preferences, neighbouring_pairs
+from changeloom.llm.preferences import format_preferences, neighbouring_pairs, with_swapped_answers
 from changeloom.llm.spelling import group_variants, vocabulary
 from changeloom.llm.substring import remove_repeats
 from changeloom.llm.tokencounts import attribute_tokens
@@ -105,7 +105,7 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @QUERIES.add(oracles.PREFERENCES)
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations")
+    turns = with_swapped_answers(table(spark, sf_dir, "conversations"))
     return format_preferences(turns, neighbouring_pairs(turns)).select(
         "pair_id", "part", "turn", "role", F.sha2("segment", 256).alias("segment_sha256"),
         "start", "end", "loss_start", "loss_end",

@@ -198,6 +198,22 @@ def test_prompt_once_and_masked_completions(spark):
         assert trained == ({"chosen": "A", "rejected": "B"}[r.part] if r.part != "prompt" and r.role == "assistant" else "")
 
 
+def test_roles_and_swapped_answers(spark):
+    turns = [(4, 0, "user", "q"), (4, 1, "assistant", "a"), (4, 2, "user", "more"), (4, 3, "assistant", "last"), (5, 0, "us|>er", "q5"), (5, 1, "assistant", "other"),
+             (9, 0, "user", "alone"), (9, 1, "assistant", "no neighbour"), (11, 0, "user", "no answer"), (None, 0, "user", "x"), (4, None, "user", "x")]
+    swapped = preferences.with_swapped_answers(spark.createDataFrame(turns, TURNS))
+    rows = preferences.format_preferences(swapped, preferences.neighbouring_pairs(swapped)).collect()
+    text = {}
+    for r in sorted(rows, key=lambda r: r.turn):
+        text[r.pair_id, r.part] = text.get((r.pair_id, r.part), "") + r.segment
+    assert text[4, "prompt"] == "<|user|>\nq\n<|assistant|>\na\n<|user|>\nmore\n"
+    assert (text[4, "chosen"], text[4, "rejected"]) == ("<|assistant|>\nlast\n", "<|assistant|>\nother\n")
+    assert text[5, "prompt"] == "<|us| >er|>\nq5\n" and text[5, "rejected"] == "<|assistant|>\nlast\n"
+    assert text[9, "chosen"] == "<|assistant|>\nno neighbour\n" and (9, "rejected") not in text
+    assert text[11, "prompt"] == "<|user|>\nno answer\n" and (11, "chosen") not in text
+    assert preferences.with_swapped_answers(spark.createDataFrame([], TURNS)).count() == 0
+
+
 def test_places_cross_blocks_of_turns(spark, monkeypatch):
     monkeypatch.setattr(preferences, "BLOCK", 4)
     turns = [(c, t, "user", "x" * (t % 3)) for c in (1, 2) for t in range(30)]
