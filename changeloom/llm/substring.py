@@ -1,44 +1,44 @@
-"""Removal of repeated passages by a join of window hashes, partitioned by minimiser (operator 4).
+"""Removal of repeated passages with prefix-partitioned suffix trees (operator 4).
 
-This stands in for prefix-partitioned suffix trees: no suffixes are sorted, and there are no LCPs and no
-inner nodes. Every window of ``window`` words has a hash, and equal hashes are repeats. A window's minimiser is its
-least ``gram``-word sequence (by hash). Equal windows have equal minimisers, so it says in which group a
-window is looked up; neighbouring windows mostly share theirs and travel together as a run, about
-as long as ``(window - gram) / 2`` words. There are as many groups as the session has shuffle
-partitions. Maximal repeats are unions of windows; only the one length can be asked for.
+The leaves are the suffixes that begin a window of ``window`` words. A suffix is labelled with a prefix, and all
+leaves of a prefix lie in one subtree. Prefixes are counted first, and their length varies: a prefix that only one
+document has needs no subtree, one with more than ``most`` runs of leaves is lengthened, and the rest are dealt to
+groups, as many as keep ``GROUP_WORDS`` words in each. In a group the suffixes are sorted (by
+doubling of ranks), longest common prefixes of neighbours are read off the ranks, and stretches of the order
+that share ``window`` words are the inner nodes at that depth. A leaf is a repeat if its node has one in a document
+with a smaller key. A prefix as long as the window is a node itself and is only aggregated.
 
-A step of a scanning task first looks for repeats among its own texts. It sends a window once and
-answers for its other occurrences itself, so that a passage that fills the corpus costs a window per
+A label is not a suffix's first words, but the least (by hash) of the ``length``-word sequences in its window. Equal windows
+have equal labels just so, while neighbouring suffixes mostly share theirs: they travel as one run, with its
+words sent once, where first words would send a window per suffix. A run is cut after ``window`` leaves.
+
+A step of a scanning task first looks for repeats among its own texts, by hashes of windows. It sends a window
+once and answers for its other occurrences itself, so that a passage that fills the corpus costs a window per
 step, not one per document.
 
-Windows are compared by 64-bit hashes of the minimiser with 48-bit hashes of the window; the words
-themselves are not compared again.
+Words are compared by 64-bit hashes. A suffix is known up to the end of its run's words, ``2 * window - 1`` at most:
+longer repeats come out as unions of overlapping spans.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import (
-    Words,
-    gram_hashes,
-    id_and_text,
-    mix,
-    partitions_for,
-    steps,
-    stored,
-)
+from changeloom.llm.common import Words, gram_hashes, id_and_text, mix, partitions_for, steps, stored
 
 STEP = 4 << 20
-_PARTS = ["label", "doc", "start", "count", "leaves", "own_doc", "own_start", "own_end"]
-_SCHEMA = "g int, " + ", ".join(f"{name} binary" for name in _PARTS)
-_SPANS = "k long, s int, e int"
+# Words of suffixes that a group holds on average.
+GROUP_WORDS = 2_000_000
+_RUNS = "p long, k long, h long, s int, n int"
+_RECORDS = "p long, k long, h long, s int, t string"
+_SPANS = "k long, h long, s int, e int"
 
 
 def _least(grams: np.ndarray, width: int) -> np.ndarray:
@@ -68,84 +68,133 @@ def _runs(breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begins, np.diff(np.r_[begins, len(breaks) + 1])
 
 
-def _leaves(batches: Iterator[pa.RecordBatch], window: int, gram: int, groups: int) -> Iterator[pa.RecordBatch]:
-    turn = 0
+def _in_pieces(begin: np.ndarray, count: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs, cut after every ``size`` elements."""
+    pieces = -(-count // size)
+    turn = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return np.repeat(begin, pieces) + turn * size, np.minimum(np.repeat(count, pieces) - turn * size, size)
+
+
+def _asked(step: pa.RecordBatch, words: Words) -> np.ndarray:
+    """Which words begin one of the windows that the column ``runs`` names; all, where there is none."""
+    if "runs" not in step.schema.names:
+        return np.ones(len(words.starts), bool)
+    runs, of = step.column("runs").flatten(), np.asarray(pc.list_parent_indices(step.column("runs")), np.int64)
+    first = words.first[of] + np.asarray(runs.field("s"), np.int64)
+    change = np.zeros(len(words.starts) + 1, np.int64)
+    np.add.at(change, first, 1)
+    np.add.at(change, first + np.asarray(runs.field("n"), np.int64), -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def _labelled(batches: Iterator[pa.RecordBatch], window: int, length: int) -> Iterator[pa.RecordBatch]:
+    """Runs of suffixes with one prefix of ``length`` words; without a prefix those found to be repeats."""
     for step in steps(batches, limit=STEP):
         words = Words(step.column("t"))
         if len(words.starts) < window:
             continue
         ids = np.asarray(step.column("k"), np.int64)
         hashes, owner = words.hashes(), words.owners()
-        place = np.flatnonzero(owner[: len(owner) - window + 1] == owner[window - 1 :])
+        places = len(owner) - window + 1
+        place = np.flatnonzero((owner[:places] == owner[window - 1 :]) & _asked(step, words)[:places])
         if not len(place):
             continue
-        label = gram_hashes(hashes, window)[place]
-        prefix = _least(gram_hashes(hashes, gram), window - gram + 1)[place]
-        doc, start = ids[owner[place]], (place - words.first[owner[place]]).astype(np.int32)
-        known = _beyond_first(label + mix(prefix), doc)
-
-        breaks = (np.diff(place) != 1) | (prefix[1:] != prefix[:-1]) | (known[1:] != known[:-1])
-        begin, count = _runs(breaks)
-        own = known[begin]
-        own_parts = [doc[begin[own]], start[begin[own]], (start[begin[own]] + count[own] + window - 1).astype(np.int32)]
-        begin, count = begin[~own], count[~own].astype(np.int32)
-        group = (prefix[begin] % np.uint64(groups)).astype(np.int64)
-        order = np.argsort(group, kind="stable")
-        begin, count, group = begin[order], count[order], group[order]
-        ends = np.cumsum(count, dtype=np.int64)
-        which = np.repeat(begin - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
-        leaves = label[which].view(np.uint8).reshape(-1, 8)[:, :6]
-        rows = {name: [] for name in ["g", *_PARTS]}
-        heads, sizes = _runs(group[1:] != group[:-1]) if len(group) else ([], [])
-        for a, n in zip(heads, sizes, strict=True):
-            b = a + n
-            rows["g"].append(int(group[a]))
-            parts = [prefix[begin[a:b]], doc[begin[a:b]], start[begin[a:b]], count[a:b]]
-            parts.append(leaves[ends[a] - count[a] : ends[b - 1]])
-            for name, part in zip(_PARTS, [*parts, *[None] * 3], strict=True):
-                rows[name].append(None if part is None else part.tobytes())
-        if own.any():
-            turn += 1
-            rows["g"].append(turn % groups)
-            for name, part in zip(_PARTS, [*[None] * 5, *own_parts], strict=True):
-                rows[name].append(None if part is None else part.tobytes())
+        prefix = _least(gram_hashes(hashes, length), window - length + 1)[place]
+        doc = ids[owner[place]]
+        known = _beyond_first(gram_hashes(hashes, window)[place] + mix(prefix), doc)
+        changes = known[1:] != known[:-1]
+        begin, count = _runs((np.diff(place) != 1) | (owner[place[1:]] != owner[place[:-1]]) | changes | ((prefix[1:] != prefix[:-1]) & ~known[1:]))
+        begin, count = _in_pieces(begin, count, window)
+        at = place[begin]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rows["g"], pa.int32()), *[pa.array(rows[name], pa.binary()) for name in _PARTS]],
-            names=["g", *_PARTS],
+            [
+                pa.array(prefix[begin].view(np.int64), mask=known[begin]),
+                pa.array(doc[begin]),
+                step.column("h").take(pa.array(owner[at])),
+                pa.array((at - words.first[owner[at]]).astype(np.int32)),
+                pa.array(count.astype(np.int32)),
+            ],
+            names=["p", "k", "h", "s", "n"],
         )
 
 
-def _as_array(parts: list[bytes], kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(parts), kind)
+def _with_words(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """The runs, each with the words that its suffixes reach."""
+    for step in steps(batches, limit=STEP):
+        words = Words(step.column("t"))
+        runs, of = step.column("runs").flatten(), np.asarray(pc.list_parent_indices(step.column("runs")), np.int64)
+        first = words.first[of] + np.asarray(runs.field("s"), np.int64)
+        begins = words.starts[first]
+        ends = words.ends[first + np.asarray(runs.field("n"), np.int64) + window - 2]
+        raw = words.raw.tobytes()
+        texts = [raw[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [runs.field("p"), step.column("k").take(pa.array(of)), step.column("h").take(pa.array(of)), runs.field("s"),
+             pa.array(texts, pa.binary()).cast(pa.string())],
+            names=["p", "k", "h", "s", "t"],
+        )
+
+
+class SuffixTree:
+    """The sorted suffixes of some word sequences, and the common prefixes of neighbours.
+
+    Suffixes end with their sequence. ``order`` holds the places of those with ``least`` words or more;
+    ``common[i]`` is how many words ``order[i]`` and ``order[i + 1]`` share.
+    """
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, least: int):
+        self.left = np.repeat(np.cumsum(counts), counts) - np.arange(len(words))
+        ranks = [np.unique(words, return_inverse=True)[1] + 1]
+        span, longest = 1, int(counts.max(initial=0))
+        while span < longest:
+            following = np.zeros(len(words), np.int64)
+            following[:-span] = ranks[-1][span:]
+            following[self.left <= span] = 0
+            ranks.append(np.unique(ranks[-1] * (len(words) + 1) + following, return_inverse=True)[1] + 1)
+            span *= 2
+        deep = np.flatnonzero(self.left >= least)
+        self.order = deep[np.argsort(ranks[-1][deep], kind="stable")]
+        one, other = self.order[:-1].copy(), self.order[1:].copy()
+        self.common = np.zeros(len(one), np.int64)
+        for level in reversed(range(len(ranks))):
+            room = np.minimum(self.left[self.order[:-1]], self.left[self.order[1:]]) - self.common >= 1 << level
+            where = np.flatnonzero(room)
+            equal = where[ranks[level][one[where]] == ranks[level][other[where]]]
+            for side in (one, other, self.common):
+                side[equal] += 1 << level
+
+    def nodes(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the stretches of ``order`` begin that share ``depth`` words, and how long they are."""
+        return _runs(self.common < depth) if len(self.order) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 def _repeats(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    held: dict[str, list[bytes]] = {name: [] for name in _PARTS}
+    """The spans of a group's leaves that also begin in a document with a smaller key."""
+    held: dict[str, list[np.ndarray]] = {name: [] for name in ("k", "h", "s", "words", "counts")}
     for batch in batches:
-        for name in _PARTS:
-            held[name] += [x for x in batch.column(name).to_pylist() if x is not None]
-    doc, start = _as_array(held["doc"], np.int64), _as_array(held["start"], np.int32)
-    count = _as_array(held["count"], np.int32)
-    found = [[_as_array(held["own_doc"], np.int64)], [_as_array(held["own_start"], np.int32)], [_as_array(held["own_end"], np.int32)]]
-    if len(doc):
-        prefix = mix(_as_array(held["label"], np.uint64))
-        wide = np.zeros((int(count.sum()), 8), np.uint8)
-        wide[:, :6] = np.frombuffer(b"".join(held["leaves"]), np.uint8).reshape(-1, 6)
-        held.clear()
-        record = np.repeat(np.arange(len(doc)), count)
-        covered = np.flatnonzero(_beyond_first(mix(wide.view(np.uint64)[:, 0]) + prefix[record], doc[record]))
-        if len(covered):
-            of = record[covered]
-            offset = covered - (np.cumsum(count, dtype=np.int64) - count)[of]
-            begin, length = _runs((of[1:] != of[:-1]) | (np.diff(covered) != 1))
-            first = start[of[begin]] + offset[begin]
-            found[0].append(doc[of[begin]])
-            found[1].append(first.astype(np.int32))
-            found[2].append((first + length + window - 1).astype(np.int32))
-    k, s, e = (np.concatenate(x) for x in found)
-    for i in range(0, len(k), 1 << 16):
-        part = slice(i, i + (1 << 16))
-        yield pa.RecordBatch.from_arrays([pa.array(k[part]), pa.array(s[part]), pa.array(e[part])], names=["k", "s", "e"])
+        words = Words(batch.column("t"))
+        held["words"].append(words.hashes())
+        held["counts"].append(words.counts)
+        for name in ("k", "h", "s"):
+            held[name].append(np.asarray(batch.column(name), np.int64))
+    if not held["k"]:
+        return
+    k, h, s, words, counts = (np.concatenate(held.pop(name)) for name in list(held))
+    tree = SuffixTree(words, counts, window)
+    begin, size = tree.nodes(window)
+    record = np.repeat(np.arange(len(k)), counts)
+    doc = k[record[tree.order]]
+    least = np.repeat(np.minimum.reduceat(doc, begin), size)
+    place = np.sort(tree.order[doc > least])
+    if not len(place):
+        return
+    of = record[place]
+    begin, size = _runs((np.diff(place) != 1) | (of[1:] != of[:-1]))
+    of = of[begin]
+    start = s[of] + place[begin] - (np.cumsum(counts) - counts)[of]
+    columns = [k[of], h[of], start.astype(np.int32), (start + size + window - 1).astype(np.int32)]
+    for i in range(0, len(of), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 16)]) for c in columns], names=["k", "h", "s", "e"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,30 +219,67 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_spans(docs: DataFrame, key: str, text: str, window: int = 50, gram: int = 10) -> DataFrame:
-    """Word spans ``(k, s, e)`` (end exclusive) that windows repeated from smaller ids cover.
+def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``k``, ``h`` (tells texts of one key apart) and ``t``."""
+    return id_and_text(docs, key, text).select("k", F.xxhash64("t").alias("h"), "t")
+
+
+def _by_text(runs: DataFrame) -> DataFrame:
+    return runs.groupBy("k", "h").agg(F.collect_list(F.struct("p", "s", "n")).alias("runs"))
+
+
+def repeated_spans(
+    docs: DataFrame, key: str, text: str, window: int = 50, gram: int = 10, most: int = 20_000
+) -> DataFrame:
+    """Word spans ``(k, h, s, e)`` (end exclusive) that windows repeated from smaller ids cover.
 
-    Spans may touch or overlap. Rows without a key take no part. Rows that share a key count as one
-    document: they cover nothing in each other.
+    ``h`` is the ``xxhash64`` of the text. Spans may touch or overlap. Rows without a key take no part. Rows that
+    share a key count as one document: they cover nothing in each other. ``gram`` is the least length of a
+    prefix; it doubles up to ``window`` where more than ``most`` runs share one.
     """
     if not 0 < gram <= window:
         raise ValueError("gram must be between 1 and window")
-    groups = partitions_for(docs)
-    source = id_and_text(docs, key, text).where(F.col("k").isNotNull())
-    leaves = source.mapInArrow(partial(_leaves, window=window, gram=gram, groups=groups), _SCHEMA)
-    return leaves.repartitionById(groups, "g").mapInArrow(partial(_repeats, window=window), _SPANS)
+    source = _identified(docs, key, text).where(F.col("k").isNotNull())
+    asked, length = source, gram
+    end = F.col("s") + F.col("n") + window - 1
+    found, ready = [], []
+    while True:
+        runs = stored(asked.mapInArrow(partial(_labelled, window=window, length=length), _RUNS), "runs")
+        found.append(runs.where("p IS NULL").select("k", "h", "s", end.alias("e")))
+        counts = runs.where("p IS NOT NULL").groupBy("p").agg(F.count("*").alias("runs"), F.min("k").alias("least"), F.max("k").alias("last"))
+        counts = stored(counts.where("least < last"), "prefixes")
+        shared = runs.join(counts, "p")
+        if length == window:
+            found.append(shared.where("k > least").select("k", "h", "s", end.alias("e")))
+            break
+        ready.append(stored(shared.where(F.col("runs") <= most).select(*runs.columns), "ready"))
+        if counts.where(F.col("runs") > most).isEmpty():
+            break
+        asked = source.join(_by_text(shared.where(F.col("runs") > most)), ["k", "h"])
+        length = min(2 * length, window)
+    if ready:
+        runs = reduce(DataFrame.union, ready)
+        total = runs.agg(F.sum(F.col("n") + window - 1)).first()[0] or 0
+        groups = max(partitions_for(docs), -(-total // GROUP_WORDS))
+        records = source.join(_by_text(runs).hint("shuffle_hash"), ["k", "h"]).mapInArrow(partial(_with_words, window=window), _RECORDS)
+        grouped = records.withColumn("g", F.pmod("p", F.lit(groups)).cast("int")).repartitionById(groups, "g").drop("g")
+        found.append(grouped.mapInArrow(partial(_repeats, window=window), _SPANS))
+    return reduce(DataFrame.union, found)
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 50, gram: int = 10) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 50, gram: int = 10, most: int = 20_000
+) -> DataFrame:
     """Per row: the key as ``k``, ``n_words``, ``n_removed`` and the ``kept`` text.
 
     A word goes if a window of ``window`` words around it also begins in a document with a smaller
     key. Kept words are joined by one space. NULL and empty texts have no words and are kept as ''.
     Texts shorter than a window stay whole. Rows with a NULL key stay whole too. Equal rows give equal
-    results; an empty table gives an empty result. Other columns are not read.
+    results; different texts of one key are each cut where they repeat smaller keys; an empty table gives an
+    empty result. Other columns are not read.
     """
-    spans = stored(repeated_spans(docs, key, text, window, gram), "repeats")
-    spans = spans.groupBy("k").agg(F.collect_list("s").alias("s"), F.collect_list("e").alias("e"))
+    spans = stored(repeated_spans(docs, key, text, window, gram, most), "repeats", free=True)
+    spans = spans.groupBy("k", "h").agg(F.collect_list("s").alias("s"), F.collect_list("e").alias("e"))
     # The spans are the small side: hashing them spares the texts a sort.
-    joined = id_and_text(docs, key, text).join(spans.hint("shuffle_hash"), "k", "left")
+    joined = _identified(docs, key, text).join(spans.hint("shuffle_hash"), ["k", "h"], "left")
     return joined.mapInArrow(_cut, "k long, n_words long, n_removed long, kept string")
