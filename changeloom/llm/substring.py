@@ -35,7 +35,7 @@ from changeloom.llm.common import Words, gram_hashes, id_and_text, mix, partitio
 
 STEP = 4 << 20
 # Words of suffixes that a group holds on average.
-GROUP_WORDS = 2_000_000
+GROUP_WORDS = 1_000_000
 _RUNS = "p long, k long, h long, s int, n int"
 _RECORDS = "p long, k long, h long, s int, t string"
 _SPANS = "k long, h long, s int, e int"
@@ -135,6 +135,11 @@ def _with_words(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
         )
 
 
+def _ranks(values: np.ndarray) -> np.ndarray:
+    """From 1 on; a group is far below the room of 32 bits."""
+    return (np.unique(values, return_inverse=True)[1] + 1).astype(np.int32)
+
+
 class SuffixTree:
     """The sorted suffixes of some word sequences, and the common prefixes of neighbours.
 
@@ -144,13 +149,13 @@ class SuffixTree:
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, least: int):
         self.left = np.repeat(np.cumsum(counts), counts) - np.arange(len(words))
-        ranks = [np.unique(words, return_inverse=True)[1] + 1]
+        ranks = [_ranks(words)]
         span, longest = 1, int(counts.max(initial=0))
         while span < longest:
             following = np.zeros(len(words), np.int64)
             following[:-span] = ranks[-1][span:]
             following[self.left <= span] = 0
-            ranks.append(np.unique(ranks[-1] * (len(words) + 1) + following, return_inverse=True)[1] + 1)
+            ranks.append(_ranks(ranks[-1].astype(np.int64) * (len(words) + 1) + following))
             span *= 2
         deep = np.flatnonzero(self.left >= least)
         self.order = deep[np.argsort(ranks[-1][deep], kind="stable")]
