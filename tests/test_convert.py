@@ -179,3 +179,14 @@ def test_payload_kinds(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     parsed = df.select("t", jsontext.object_names(jsontext.parse_object(F.col("t"))).alias("names"))
     assert {r.t: r.names for r in parsed.collect()} == texts
+
+
+def test_a_hash_of_the_text_is_no_name_for_the_parser(spark):
+    """A JSON parser keeps every name it meets: one of its own for each text made parsing slower with every row."""
+    df = spark.createDataFrame([('{"a":1}',)], "t string").select(jsontext.parse_object(F.col("t")))
+    assert ',{"":' in df._jdf.queryExecution().optimizedPlan().toString()
+    texts = ['{"":5}', '{},{"":5}', '{}', '{"a":1}]', '{"a":1},{"":1}],[{}', "", None, "null"]
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select(
+        "i", jsontext.object_names(jsontext.parse_object(F.col("t"))).alias("names")
+    )
+    assert {r.i: r.names for r in found.collect()} == {0: [""], 1: None, 2: [], 3: None, 4: None, 5: None, 6: None, 7: []}
