@@ -220,3 +220,11 @@ def test_rejects_of_another_reader_stay(spark, tmp_path):
         stream = tail(spark, str(tmp_path / "landing"), bad.schema)
         start(sink.writer(stream), str(tmp_path / reader)).awaitTermination()
     assert spark.read.parquet(sink.rejects).count() == 2
+
+
+def test_a_part_of_the_landed_files_has_one_for_every_core(spark, tmp_path):
+    from workload.stream_queries import _batch_files
+
+    land(changes(spark, *[(i, "create", i, "x", None) for i in range(200)]), str(tmp_path / "landing"))
+    assert _batch_files(spark) == spark.sparkContext.defaultParallelism
+    assert len(list((tmp_path / "landing").glob("*.parquet"))) >= 2 * _batch_files(spark)
