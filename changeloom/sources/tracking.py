@@ -33,11 +33,11 @@ from pyspark.sql.types import StructType
 from changeloom.names import DEFAULT_BATCH_SIZE, TRACKING_ID
 
 # Changes that a task reads, about.
-ROWS_PER_TASK = 250_000
+ROWS_PER_TASK = 50_000
 
 
 class RowGroup(NamedTuple):
-    """A part of a file, and the bounds of the ids in it."""
+    """A part of a file, how many ids are in it, and their bounds."""
 
     file: str
     number: int
@@ -96,12 +96,12 @@ class TrackingReader(DataSourceStreamReader):
             for number in range(metadata.num_row_groups):
                 group = metadata.row_group(number)
                 bounds = group.column(place).statistics
-                if bounds is not None and bounds.has_min_max:
-                    groups.append(RowGroup(path, number, group.num_rows, bounds.min, bounds.max))
+                if bounds is not None and bounds.has_min_max and bounds.has_null_count:
+                    groups.append(RowGroup(path, number, group.num_rows - bounds.null_count, bounds.min, bounds.max))
                 elif group.num_rows:
                     ids = _ids(store, RowGroup(path, number, 0, 0, 0))
                     if len(ids):
-                        groups.append(RowGroup(path, number, group.num_rows, int(ids.min()), int(ids.max())))
+                        groups.append(RowGroup(path, number, len(ids), int(ids.min()), int(ids.max())))
         return groups
 
     def _planned(self) -> int | None:
@@ -125,16 +125,33 @@ class TrackingReader(DataSourceStreamReader):
         """The id of the last of the next ``rowsPerBatch`` changes."""
         position = self._planned()
         position = self.after if position is None else position
+        groups = [g for g in self._groups() if g.high > position]
+        last, left, begin = position, self.rows, 0
+        while left and begin < len(groups):
+            # Groups whose ids lie among each other's are looked at together.
+            high, end = groups[begin].high, begin + 1
+            while end < len(groups) and groups[end].low <= high:
+                high, end = max(high, groups[end].high), end + 1
+            together, rows = groups[begin:end], sum(g.rows for g in groups[begin:end])
+            if together[0].low > position and rows <= left:
+                # All of them are in the batch, whatever their ids.
+                last, left = high, left - rows
+            else:
+                ids = self._first_ids(together, position, left)
+                last, left = int(ids[-1]) if len(ids) else last, left - len(ids)
+            begin = end
+        return {"id": last}
+
+    def _first_ids(self, groups: list[RowGroup], position: int, rows: int) -> np.ndarray:
+        """The least ids after a position, in order."""
         store, _ = _opened(self.path)
         ids = np.zeros(0, np.int64)
-        for group in self._groups():
-            if group.high <= position:
-                continue
-            if len(ids) >= self.rows and group.low > ids[self.rows - 1]:
+        for group in groups:
+            if len(ids) >= rows and group.low > ids[rows - 1]:
                 break
             more = _ids(store, group)
-            ids = np.sort(np.r_[ids, more[more > position]])[: self.rows]
-        return {"id": int(ids[-1]) if len(ids) else position}
+            ids = np.sort(np.r_[ids, more[more > position]])[:rows]
+        return ids
 
     def partitions(self, start: dict, end: dict) -> list[Part]:
         self._plan(end["id"])

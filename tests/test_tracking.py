@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeloom.names import TRACKING_ID
+from changeloom.sources import tracking
 from changeloom.sources.tracking import TrackingReader
 from changeloom.streaming.tail import start, tail_rows
 
@@ -108,3 +109,18 @@ def test_a_batch_whose_commit_was_lost_is_read_again(spark, tmp_path):
     query.stop()
     second = (1, [5, 6, 7, 8, 9])
     assert seen == [(0, [0, 1, 2, 3, 4]), second, second, (2, [10, 11])]
+
+
+def test_ids_are_read_only_where_a_batch_ends(tmp_path, monkeypatch):
+    for n in range(10):
+        write(tmp_path / "t", f"{n}.parquet", range(100 * n, 100 * n + 100))
+    read = []
+    ids = tracking._ids
+    monkeypatch.setattr(tracking, "_ids", lambda store, group: read.append(group.low) or ids(store, group))
+    source = reader(tmp_path / "t", rowsPerBatch=450)
+    at, ends = source.initialOffset(), []
+    while (end := source.latestOffset()) != at:
+        source.partitions(at, end)
+        ends.append(end["id"])
+        at = end
+    assert ends == [449, 899, 999] and read == [400, 400]
