@@ -228,3 +228,12 @@ def test_a_part_of_the_landed_files_has_one_for_every_core(spark, tmp_path):
     land(changes(spark, *[(i, "create", i, "x", None) for i in range(200)]), str(tmp_path / "landing"))
     assert _batch_files(spark) == spark.sparkContext.defaultParallelism
     assert len(list((tmp_path / "landing").glob("*.parquet"))) >= 2 * _batch_files(spark)
+
+
+def test_more_files_of_one_size_make_larger_batches_not_more(spark, tmp_path):
+    from workload.stream_queries import _share_of_files
+
+    feed = changes(spark, *[(i, "create", i, "x", None) for i in range(120)])
+    for rows in (3, 24, 120):
+        feed.limit(rows).coalesce(1).write.option("maxRecordsPerFile", 1).parquet(str(tmp_path / f"{rows}"))
+    assert [_share_of_files(spark, str(tmp_path / f"{rows}"), feed.schema) for rows in (3, 24, 120)] == [2, 2, 10]
