@@ -43,6 +43,7 @@ MEMORY = 300_000
 # Units with more characters are solved one by one.
 LONG = 64
 ENCODED = "k long, rank int, score double, ids array<int>"
+LISTED = "k long, score double, ids array<int>, others array<struct<score: double, ids: array<int>>>"
 _HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -398,6 +399,27 @@ def _encode(batches: Iterator[pa.RecordBatch], proto: bytes, n: int) -> Iterator
         )
 
 
+def _id_lists(ids: list[np.ndarray]) -> pa.Array:
+    offsets = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)))
+
+
+def _encode_lists(batches: Iterator[pa.RecordBatch], proto: bytes, n: int) -> Iterator[pa.RecordBatch]:
+    units = Units(Model(proto))
+    for step in steps(batches, limit=ENCODED_BYTES):
+        rows = list(encode_texts(step.column("t").to_pylist(), units, n))
+        best, more = [r for r in rows if r[1] == 1], [r for r in rows if r[1] > 1]
+        fields = [pa.array([r[2] for r in more], pa.float64()), _id_lists([r[3] for r in more])]
+        counts = np.bincount(np.array([r[0] for r in more], np.int64), minlength=step.num_rows)
+        others = pa.ListArray.from_arrays(
+            pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.StructArray.from_arrays(fields, names=["score", "ids"])
+        )
+        yield pa.RecordBatch.from_arrays(
+            [step.column("k"), pa.array([r[2] for r in best], pa.float64()), _id_lists([r[3] for r in best]), others],
+            names=["k", "score", "ids", "others"],
+        )
+
+
 def decode_ids(ids: list[int], output: list[bytes]) -> str:
     """The text of pieces; the first space mark was added by encoding and goes."""
     joined = b"".join([output[i] for i in ids])
@@ -472,6 +494,13 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
     return id_and_text(docs, key, text).mapInArrow(partial(_encode, proto=read_model(model), n=n), ENCODED)
 
 
+def encode_lists(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", n: int = 3) -> DataFrame:
+    """``(k, score, ids, others)``: like ``encode`` with one row per text, the second to ``n``-th best in ``others``, by rank."""
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    return id_and_text(docs, key, text).mapInArrow(partial(_encode_lists, proto=read_model(model), n=n), LISTED)
+
+
 def decode(encoded: DataFrame, model: str, name: str = "decoded") -> DataFrame:
     """The rows with the text of their ``ids`` in a column of a new name; NULL ids give NULL."""
     if name in encoded.columns:

@@ -10,7 +10,7 @@ from changeloom.llm.cotraining import score
 from changeloom.llm.decontaminate import contaminated_passages, without_contaminated
 from changeloom.llm.jaccard import near_duplicates
 from changeloom.llm.lines import dedup_lines
-from changeloom.llm.pieces import encode
+from changeloom.llm.pieces import encode_lists
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -59,9 +59,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The best segmentation of every document: ``(doc_id, score, n_pieces, ids)``."""
-    best = encode(docs, PIECES)
-    return best.select(F.col("k").alias("doc_id"), "score", F.size("ids").alias("n_pieces"), "ids")
+    """The three best segmentations of every document: ``(doc_id, score, n_pieces, ids, others)``, the best one first."""
+    listed = encode_lists(docs, PIECES, n=3)
+    return listed.select(F.col("k").alias("doc_id"), "score", F.size("ids").alias("n_pieces"), "ids", "others")
 
 
 STAGES = [

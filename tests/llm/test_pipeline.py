@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
+from changeloom.llm.pieces import encode
 from changeloom.llm.queries import QUERIES
 from tests.harness import SF_DIR, differences
 from tests.llm.test_jaccard import brute
@@ -86,3 +87,12 @@ def test_whole_pipeline_keeps_clean_documents_and_drops_the_rest(spark):
     leaked = {r.doc_id for r in entry_point.queries()["op1_benchmark_decontamination"](spark, SF_DIR).collect()}
     assert leaked and not kept & leaked
     assert result.where(F.size("ids") != F.col("n_pieces")).count() == 0
+
+
+def test_last_stage_gives_the_n_best_segmentations(spark, docs, folder):
+    few = docs.where("doc_id IN (3, 50, 70, 71)").union(spark.createDataFrame([(None, "one two", None, None, None, None)], docs.schema))
+    wanted = {(r.k, r["rank"]): (r.score, r.ids) for r in encode(few, corpus_pipeline.PIECES, n=3).collect()}
+    found = {}
+    for r in corpus_pipeline.encoded(spark, few, folder).collect():
+        found |= {(r.doc_id, rank): (o.score, o.ids) for rank, o in enumerate([r, *r.others], 1)}
+    assert found == wanted and {k for k, rank in found if rank == 3} == {3, 50, None}
