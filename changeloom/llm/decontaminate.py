@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from changeloom.llm.common import Words, gram_hashes, id_and_text, mix, span_hashes, steps
 
 PAD = np.uint64(0)
-# Longer steps than elsewhere: each one has a fixed cost per item length.
-STEP = 4 << 20
+# Longer steps than elsewhere: each one has a fixed cost per item length. Its arrays are many times the texts.
+STEP = 2 << 20
 # Words of the sequences that windows are filtered by.
 GRAM = 3
 # Places that walk at once.

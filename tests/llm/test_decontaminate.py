@@ -180,3 +180,16 @@ def test_passages_do_not_overlap_and_leave_none():
         assert edges == sorted(edges)
         assert all(edit_distance(item, words[s:e]) == x <= 2 for x, s, e in taken)
         assert all(edit_distance(item, words[a:b]) > 2 for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+def test_a_step_holds_two_megabytes_of_text(monkeypatch):
+    """A worker's arrays take many times the texts of a step."""
+    import pyarrow as pa
+
+    from changeloom.llm import decontaminate
+
+    seen = []
+    monkeypatch.setattr(decontaminate, "_found", lambda column, *_: seen.append(sum(map(len, column.to_pylist()))) or [])
+    batch = pa.record_batch({"k": list(range(40)), "t": ["word " * 20000] * 40})
+    assert list(decontaminate._matches(iter([batch]), None, decontaminate.Settings())) == []
+    assert sum(seen) == 4_000_000 and max(seen) <= 2 << 20
