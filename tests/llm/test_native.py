@@ -229,3 +229,12 @@ def test_turns_of_nulls_repeats_and_missing_sides(spark):
     assert sorted((r.pair_id, r.part, len(r.segment)) for r in rows) == [(1, "prompt", 6), (2, "chosen", 100010)]
     empty = spark.createDataFrame([], TURNS)
     assert preferences.format_preferences(empty, preferences.neighbouring_pairs(empty)).count() == 0
+
+
+def test_texts_of_turns_are_moved_once_to_their_places(spark, capsys):
+    turns = spark.createDataFrame([(c, t, "user", f"{c // 2} {t}") for c in range(4) for t in range(3)], TURNS)
+    found = preferences.format_preferences(turns, preferences.neighbouring_pairs(turns))
+    found.explain("formatted")
+    moved = [part for part in capsys.readouterr().out.split("\n\n") if ") Exchange\n" in part]
+    assert moved and sum("text#" in part or "content#" in part or "segment#" in part for part in moved) <= 1
+    assert found.where("part = 'prompt'").count() == 6 == found.count()
