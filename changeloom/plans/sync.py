@@ -26,6 +26,8 @@ from changeloom.sources.versions import take_snapshot
 # A summary is broadcast only when its rows were measured to be at most this. In the hash table of a
 # broadcast they take about four times as much.
 BROADCAST_BYTES = 64 << 20
+# Parsing tasks per core, so that one that is slower than the others is not waited for long.
+PARTS_PER_CORE = 3
 
 
 def upper_schema(df: DataFrame) -> T.StructType:
@@ -38,9 +40,12 @@ def land_records(
     """JSON records as typed changes for tables of one schema (see ``typed_records``).
 
     They are written to the shared folder: parsing is the costly step, and the changes are read
-    more than once afterwards.
+    more than once afterwards. The records are spread first, so that all cores parse alike, however few
+    files or partitions they come in.
     """
-    typed = typed_records(parse_records(records, default_table, default_key), schema, tables)
+    parts = PARTS_PER_CORE * records.sparkSession.sparkContext.defaultParallelism
+    spread = records.repartition(parts, "seq", "key_json", "after_json")
+    typed = typed_records(parse_records(spread, default_table, default_key), schema, tables)
     return take_snapshot(typed, new_folder(records.sparkSession, "records"))
 
 

@@ -128,3 +128,11 @@ def test_texts_of_values(spark):
     found = df.select(*[otherkeys.key_text(f.name, f.dataType).alias(f.name) for f in df.schema]).collect()
     assert [tuple(r) for r in found] == [("0.0", "01", "5"), ("0.0", "02", None)]
     assert df.select(F.col("i")).count() == 2
+
+
+def test_records_of_one_partition_are_parsed_by_many_tasks(spark):
+    rows = [(i, "create", {}, f'{{"id":{i}}}', f'{{"n":{i}}}') for i in range(200)]
+    records = spark.createDataFrame(rows, RECORDS).coalesce(1)
+    typed = sync.land_records(records, sync.upper_schema(spark.createDataFrame([], TARGET)), ["users"], "users", "id")
+    assert len(typed.inputFiles()) >= spark.sparkContext.defaultParallelism
+    assert sorted((r["_seq"], r["ID"], r["N"]) for r in typed.collect()) == [(i, i, i) for i in range(200)]
