@@ -138,7 +138,7 @@ def with_swapped_answers(turns: DataFrame) -> DataFrame:
     )
     said = known.where(F.col("role") == TRAINED_ROLE)
     lasts = said.groupBy("conv_id").agg(F.max("turn").alias("turn"))
-    beside = {name: lasts.select((F.col("conv_id") - step).alias("conv_id"), (F.col("conv_id")).alias(name)) for name, step in (("after", 1), ("before", -1))}
+    beside = {name: lasts.select((F.col("conv_id") - step).alias("conv_id"), F.col("conv_id").alias(name)) for name, step in (("after", 1), ("before", -1))}
     swaps = lasts.join(beside["after"], "conv_id", "left").join(beside["before"], "conv_id", "left")
     swaps = swaps.select("conv_id", "turn", F.coalesce("after", "before").alias("source"))
     # Texts are looked up for the last turns alone; all others stay as they are.
