@@ -21,9 +21,11 @@ threshold. Then they differ in few shingles: at most ``t * (1 - s) / s``, with `
 * **Exact verification.** First one edge per class is verified, then components are formed, then what could
   still join two components: the other candidates, and classes of different components that share a
   kept hot signature. Those are partitioned anew, a shingle a segment, rarest first, which tells
-  documents with one passage in common apart from alike ones. Both pass a bitmap filter: the parity
+  documents with one passage in common apart from alike ones. In rounds, each class there tries the most
+  alike of the centres of its shingles, other ones each round, and components are formed again; only
+  then the pairs that are left are listed, all of them. Both pass a bitmap filter: the parity
   bits of two sets differ in at most as many places as the sets themselves. Pairs inside one component are
-  never expanded, so a large group of copies costs a star.
+  never expanded, so a large group of copies, or of near copies that mostly link, costs some stars.
 
 Shingles are compared by 64-bit hashes.
 """
@@ -54,6 +56,8 @@ from changeloom.llm.components import components
 LARGEST = 1 << 31
 # A signature of more classes than this is hot.
 HOT = 8
+# Rounds of trials at most, trials of a class in each, and the share of them that must link for another round.
+ROUNDS, TRIALS, PAYS = 4, 3, 0.5
 
 
 class Rule(NamedTuple):
@@ -127,14 +131,18 @@ def _folded_bits(grams: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _differ() -> Column:
+    """In how many places the folded bits of two classes differ."""
+    return F.aggregate(
+        F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
+    )
+
+
 def _may_link(rule: Rule) -> Column:
     """Whether sizes and folded bits of two classes leave room for a link."""
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
-    differ = F.aggregate(
-        F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
-    )
     allowed = F.floor(small * (100 - rule.percent) / rule.percent)
-    return (100 * small >= rule.percent * large) & (differ <= allowed)
+    return (100 * small >= rule.percent * large) & (_differ() <= allowed)
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
@@ -307,17 +315,22 @@ def _shingles(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([step.column("c").take(pa.array(owner)), pa.array(grams.view(np.int64))], names=["c", "shingle"])
 
 
-def _strangers(kept: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of classes of different components that share a kept hot signature and may link.
+def _of_several(rows: DataFrame, labels: DataFrame, by: str) -> DataFrame:
+    """The rows whose ``by`` is shared by classes of different components, with the ``label`` of the component."""
+    named = rows.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    ends = named.groupBy(by).agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return named.join(ends.where("low <> high").select(by), by)
+
+
+def _prefixes(kept: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """The rarest shingles of the classes that share a kept hot signature with another component.
 
     What makes such a signature hot, a passage of many documents, does not make them alike. So the classes
     are partitioned once more, as finely as can be, a segment per shingle: in the order from the rarest shingle on,
     two linked sets share one among the first of either, as many as can differ and one more, which are fewer for
     the smaller set of a pair.
     """
-    named = kept.join(labels, "c", "left").select("signature", "c", F.coalesce("label", "c").alias("label"))
-    ends = named.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = named.join(ends.where("low <> high").select("signature"), "signature").select("c", "label").distinct()
+    mixed = _of_several(kept, labels, "signature").select("c").distinct()
     members = stored(mixed.join(classes.select("c", "n", "f"), "c"), "mixed", free=True)
     rows = texts.join(members.select("c"), "c", "left_semi").mapInArrow(partial(_shingles, rule=rule), "c long, shingle long")
     rows = stored(rows, "shingles", free=True)
@@ -329,9 +342,31 @@ def _strangers(kept: DataFrame, labels: DataFrame, classes: DataFrame, texts: Da
     many = F.col("n") - F.ceil(F.col("n") * rule.percent / 100) + 1
     few = F.col("n") - F.ceil(F.col("n") * (2 * rule.percent) / (100 + rule.percent)) + 1
     prefix = ranked.join(members, "c").where(F.col("rank") <= many)
-    prefix = stored(prefix.select("shingle", "c", "label", "n", "f", "rank", (F.col("rank") <= few).alias("few")), "prefixes", free=True)
-    ends = prefix.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    split = prefix.join(ends.where("low <> high").select("shingle"), "shingle")
+    return stored(prefix.select("shingle", "c", "n", "f", "rank", (F.col("rank") <= few).alias("few")), "prefixes", free=True)
+
+
+def _trials(prefixes: DataFrame, labels: DataFrame, tried: DataFrame, number: int, rule: Rule) -> DataFrame:
+    """A few pairs ``(a, b)`` per class that may join two components: with the most alike centres of its shingles.
+
+    The centre of a shingle is any class with it, another one in each round.
+    """
+    rows = _of_several(prefixes, labels, "shingle")
+    lot = F.xxhash64("c", "shingle", F.lit(number))
+    centres = rows.groupBy("shingle").agg(F.min_by(F.struct("c", "label", "n", "f"), F.struct(lot, "c")).alias("centre"))
+    star = rows.join(centres, "shingle").where("label <> centre.label")
+    star = star.select(
+        "c", F.least("c", "centre.c").alias("a"), F.greatest("c", "centre.c").alias("b"),
+        F.col("n").alias("na"), F.col("centre.n").alias("nb"), F.col("f").alias("fa"), F.col("centre.f").alias("fb"),
+    )
+    star = star.where(_may_link(rule)).select("c", "a", "b", _differ().alias("differ")).distinct()
+    star = star.join(tried, ["a", "b"], "left_anti")
+    rank = F.row_number().over(Window.partitionBy("c").orderBy("differ", "a", "b"))
+    return star.withColumn("rank", rank).where(F.col("rank") <= TRIALS).select("a", "b").distinct()
+
+
+def _strangers(prefixes: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """All pairs of classes of different components that share a shingle of their prefixes and may link."""
+    split = _of_several(prefixes, labels, "shingle")
     names = ("c", "label", "n", "f", "rank")
     small, large = (rows.select("shingle", *[F.col(x).alias(f"{x}{side}") for x in names]) for rows, side in ((split.where("few"), "a"), (split, "b")))
     # The first shingle that a pair shares leaves both room for all that it must share.
@@ -419,13 +454,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     links = stored(_links(first, texts, rule), "links", free=True)
     labels = components(links)
 
+    prefixes = _prefixes(kept, labels, classes, texts, rule)
+    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    for number in range(ROUNDS):
+        trials = stored(_trials(prefixes, labels, tried, number, rule), "trials", free=True)
+        more = stored(_links(trials, texts, rule), "links", free=True)
+        new, of = more.count(), trials.count()
+        if new:
+            links, tried = links.union(more), tried.union(trials)
+            labels = components(links)
+        if new <= of * PAYS:
+            break
+
     def label_of(pairs: DataFrame, column: str) -> DataFrame:
         own = labels.select(F.col("c").alias(column), F.col("label").alias(f"label_{column}"))
         joined = pairs.join(own, column, "left")
         return joined.withColumn(f"label_{column}", F.coalesce(f"label_{column}", column))
 
     split = label_of(label_of(stars.select("a", "b"), "a"), "b").where("label_a <> label_b").select("a", "b")
-    rest = split.union(_strangers(kept, labels, classes, texts, rule)).distinct()
+    rest = split.union(_strangers(prefixes, labels, rule)).distinct()
     for columns in (("n", "f"), ("bits",)):
         for side in ("a", "b"):
             named = [F.col(c).alias(f"{c}{side}") for c in columns]

@@ -146,3 +146,28 @@ def test_a_passage_of_many_documents_hides_no_link(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.k: r.component_id for r in j.near_duplicates(docs).collect()}
     assert found == brute(rows) and len(set(found.values())) == 80
+
+
+def test_pairs_of_a_group_of_near_copies_grow_with_its_size(spark, monkeypatch):
+    """Near copies of one text, with a passage that others have too, so that their first pairs do not join them."""
+    chance = random.Random(3)
+    words = [f"x{i}" for i in range(5000)]
+    text = lambda n: [chance.choice(words) for _ in range(n)]
+    base, passage, size, rows = text(160), text(60), 120, []
+    for k in range(size):
+        own = list(base)
+        for edit in range(1 + k % 3):
+            own[chance.randrange(160)] = f"e{k}_{edit}"
+        rows.append((k, " ".join(own + passage)))
+    rows += [(1000 + k, " ".join(text(160) + passage)) for k in range(400)]
+    links, compared = j._links, []
+
+    def counted(pairs, *others):
+        compared.append(pairs.count())
+        return links(pairs, *others)
+
+    monkeypatch.setattr(j, "_links", counted)
+    found = {r.k: r.component_id for r in j.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute(rows) and set(found.values()) == {0, *range(1000, 1400)}
+    # The first of these are one pair per class; all pairs of the group are 7,140.
+    assert sum(compared[1:]) <= 5 * size
